@@ -94,7 +94,7 @@ def tag_sections(rows: DataFrame, layout: DataFrame, report, name: str, row: str
     tagged = rows.join(lay, rows[row].between(lay["row_start"], lay["row_end"]))
     parents = rows.select(*report, F.col(row).alias("parent_row"), F.col(name).alias(parent_col))
     return (tagged.join(parents, report + ["parent_row"], "left")
-            .select(*report, row, level_col, name, parent_col,
+            .select(*rows.columns, level_col, parent_col,
                     (F.col(level_col) == leaf_level).alias(leaf_col)))
 
 
