@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions._util import col
+from .joins import broadcast_if_small
 
 
 def _keys(keys) -> list[str]:
@@ -61,8 +62,9 @@ def newer_than_known(df: DataFrame, known: DataFrame, keys, ts: str, hwm: str =
     """Rows strictly newer than their key's high-water mark; keys never seen pass.
 
     Late rows (at or before the mark) are dropped, i.e. a zero-delay watermark
-    per key. ``known`` has one row per key, so AQE can broadcast it when small.
+    per key. ``known`` has one row per key; it is broadcast when proven small
+    so the rows are never shuffled on a (typically low-cardinality) key.
     """
     keys = _keys(keys)
-    joined = df.join(known.select(*keys, hwm), keys, "left")
+    joined = df.join(broadcast_if_small(known.select(*keys, hwm)), keys, "left")
     return joined.filter(F.col(hwm).isNull() | (F.col(ts) > F.col(hwm))).drop(hwm)

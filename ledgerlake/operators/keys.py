@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 from .dedup import dedup
+from .joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
 
 
 def _keys(keys) -> list[str]:
@@ -57,14 +58,20 @@ def assign_keys(candidates: DataFrame, nk, key_col: str,
 
 
 def resolve_key(df: DataFrame, dim: DataFrame, on, key: str, *, nullable: bool = False,
-                label: str | None = None) -> DataFrame:
+                label: str | None = None, max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS
+                ) -> DataFrame:
     """Add ``dim.key`` by joining on natural key(s) ``on``.
 
     ``nullable=False``: every row must resolve; an unresolved key fails the job
-    (``raise_error`` inside the plan - no extra pass over the data).
+    (``raise_error`` inside the plan - no extra pass over the data). A
+    dimension proven small is broadcast, so the fact side is never shuffled
+    on a low-cardinality natural key.
     """
     on = _keys(on)
-    out = df.join(dim.select(*on, key), on, "left")
+    lookup = dim.select(*on, key)
+    if max_broadcast_rows:
+        lookup = broadcast_if_small(lookup, max_broadcast_rows)
+    out = df.join(lookup, on, "left")
     if nullable:
         return out
     msg = F.concat(F.lit(f"unresolved {label or key} for "), F.concat_ws("|", *[F.col(c).cast("string") for c in on]))
@@ -74,7 +81,7 @@ def resolve_key(df: DataFrame, dim: DataFrame, on, key: str, *, nullable: bool =
 def resolve_optional_key(df: DataFrame, dim: DataFrame, nk_col: str, dim_nk: str, key: str,
                          out: str) -> DataFrame:
     """Self-dimension lookup (parent): NULL text -> NULL key; non-NULL text must resolve."""
-    d = dim.select(F.col(dim_nk).alias("_pnk"), F.col(key).alias(out))
+    d = broadcast_if_small(dim.select(F.col(dim_nk).alias("_pnk"), F.col(key).alias(out)))
     joined = df.join(d, df[nk_col] == d["_pnk"], "left").drop("_pnk")
     bad = F.col(nk_col).isNotNull() & F.col(out).isNull()
     return joined.withColumn(

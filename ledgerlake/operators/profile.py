@@ -51,6 +51,17 @@ def profile_whitespace(df: DataFrame, name, by) -> DataFrame:
                                       F.count(F.lit(1)).alias("n"))
 
 
+def profile_whitespace_arrays(df: DataFrame, values: str, by) -> DataFrame:
+    """``profile_whitespace`` over an array column (e.g. the text nodes of a page):
+    counted per row with array functions, so the row's other columns are never
+    copied into one row per element, then summed per group."""
+    arr = F.col(values)
+    per_row = df.select(*_list(by), F.size(F.filter(arr, has_edge_whitespace)).alias("_dirty"),
+                        F.size(arr).alias("_n"))
+    return per_row.groupBy(*_list(by)).agg(F.sum("_dirty").cast("long").alias("dirty"),
+                                           F.sum("_n").cast("long").alias("n"))
+
+
 def dirty_values(df: DataFrame, name: str) -> DataFrame:
     """The values themselves next to their stripped form."""
     return df.filter(has_edge_whitespace(F.col(name))).select(name, strip(F.col(name)).alias("stripped"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..functions import scalars as sc
 from ..functions import web
-from ..operators import dedup, grid, keys, profile, quality, reshape
+from ..operators import dedup, grid, joins, keys, profile, quality, reshape
 from ..sources.tables import TABLES, ntz, table
 from ..streaming.status import ingest_status
 from .calendar_dim import build_dim_date
@@ -205,8 +205,8 @@ def bool_parse(spark, d):
 @query
 def whitespace_profile(spark, d):
     p = _t(spark, d, "pages")
-    nodes = p.select(web.page_lang("html").alias("lang"), F.explode(web.text_nodes("html")).alias("t"))
-    return profile.profile_whitespace(nodes, "t", "lang")
+    nodes = p.select(web.page_lang("html").alias("lang"), web.text_nodes("html").alias("nodes"))
+    return profile.profile_whitespace_arrays(nodes, "nodes", "lang")
 
 
 # ---------------------------------------------------------------- listing pages
@@ -356,7 +356,9 @@ def manifest_entries(spark, d):
     template = dedup.latest_per_key(o, "o_orderstatus", "o_orderdate", tie="o_orderkey") \
         .select("o_orderstatus", F.col("o_orderpriority").alias("template_name"))
     fname = cal.report_file_name("o_orderdate")
-    return o.join(template, "o_orderstatus").select(
+    # One template row per source: broadcast once its size is proven, so orders
+    # are never shuffled on the (few-valued) source key.
+    return o.join(joins.broadcast_if_small(template), "o_orderstatus").select(
         "o_orderkey", F.col("o_orderstatus").alias("source"),
         F.concat(F.lit("raw/"), F.lower("o_orderstatus"), F.lit("/"), fname).alias("local_path"),
         fname.alias("file_name"), "template_name")
