@@ -32,6 +32,12 @@ def has_edge_whitespace(c) -> Column:
     return col(c).rlike(_EDGE_WS)
 
 
+def has_text(c) -> Column:
+    """``length(strip(c)) > 0``, decided by finding one non-whitespace character
+    (stops at the first one instead of rewriting the whole text)."""
+    return col(c).rlike("[^" + WHITESPACE_CLASS[1:])
+
+
 def blank_to_null(c) -> Column:
     """Stripped text, or NULL when nothing is left."""
     return F.nullif(strip(c), F.lit(""))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import has_edge_whitespace, strip
+from ..functions.scalars import has_edge_whitespace, has_text, strip
 from ..functions.web import preview
 from .dedup import first_per_key
 
@@ -62,9 +62,10 @@ def profile_whitespace_arrays(df: DataFrame, values: str, by) -> DataFrame:
                                            F.sum("_n").cast("long").alias("n"))
 
 
-def dirty_values(df: DataFrame, name: str) -> DataFrame:
-    """The values themselves next to their stripped form."""
-    return df.filter(has_edge_whitespace(F.col(name))).select(name, strip(F.col(name)).alias("stripped"))
+def dirty_values(df: DataFrame, name: str, key=()) -> DataFrame:
+    """The values themselves (with their ``key`` columns) next to their stripped form."""
+    return df.filter(has_edge_whitespace(F.col(name))).select(*_list(key), name,
+                                                              strip(F.col(name)).alias("stripped"))
 
 
 def classify_density(df: DataFrame, report, order: str, text: str, *, sample_rows: int = 500,
@@ -76,7 +77,7 @@ def classify_density(df: DataFrame, report, order: str, text: str, *, sample_row
     """
     report = _list(report)
     sampled = first_per_key(df, report, [F.col(order).asc()], k=sample_rows)
-    has_data = F.length(strip(F.col(text))) > 0
+    has_data = F.coalesce(has_text(F.col(text)), F.lit(False))
     agg = sampled.groupBy(*report).agg(
         F.count_if(has_data).alias("rows_with_data"),
         F.min_by(F.when(has_data, F.col(text)), F.when(has_data, F.col(order))).alias("_first"))

@@ -396,6 +396,33 @@ def density_summary(spark, d):
     return profile.density_summary(density_classify(spark, d))
 
 
+@query
+def negative_positions(spark, d):
+    c = profile.negative_positions(_t(spark, d, "customer"), ["c_acctbal"], "c_custkey") \
+        .select(F.col("c_custkey").alias("row_key"), "col", "value")
+    s = profile.negative_positions(_t(spark, d, "supplier"), ["s_acctbal"], "s_suppkey") \
+        .select(F.col("s_suppkey").alias("row_key"), "col", "value")
+    return c.unionByName(s)
+
+
+@query
+def dirty_text_nodes(spark, d):
+    p = _t(spark, d, "pages").select("page_id", F.posexplode(web.text_nodes("html")).alias("pos", "node"))
+    return profile.dirty_values(p, "node", ["page_id", "pos"])
+
+
+@query
+def not_null_violations(spark, d):
+    o = quality.violations_not_null(_t(spark, d, "orders"),
+                                    ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"], "o_orderkey")
+    li = quality.violations_not_null(_t(spark, d, "lineitem"),
+                                     ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"],
+                                     "l_orderkey")
+    return (o.select(F.lit("orders").alias("table_name"), F.col("o_orderkey").alias("row_key"), "null_column")
+            .unionByName(li.select(F.lit("lineitem").alias("table_name"), F.col("l_orderkey").alias("row_key"),
+                                   "null_column")))
+
+
 @query
 def unique_violations(spark, d):
     return quality.violations_unique(_t(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
@@ -486,8 +513,9 @@ GROUP BY event_id""",
     "anchor_check": """
 WITH cells AS (SELECT conv_id, turn AS row_idx, 0 AS col_idx, role AS value FROM conversations WHERE role IS NOT NULL),
 ext AS (SELECT conv_id, MAX(row_idx) AS last_row FROM cells GROUP BY conv_id),
-a(anchor_row, anchor_col, expected) AS (VALUES (0, 0, 'user'), (1, 0, 'assistant'), (2, 0, 'user')),
-w AS (SELECT ext.conv_id, ext.last_row, a.anchor_row, a.anchor_col, a.expected FROM ext CROSS JOIN a)
+w AS (SELECT conv_id, last_row, UNNEST([{'anchor_row': 0, 'anchor_col': 0, 'expected': 'user'},
+  {'anchor_row': 1, 'anchor_col': 0, 'expected': 'assistant'}, {'anchor_row': 2, 'anchor_col': 0, 'expected': 'user'}],
+  recursive := true) FROM ext)
 SELECT w.conv_id, w.anchor_row, w.anchor_col, w.expected, c.value AS actual,
   CASE WHEN w.last_row < w.anchor_row THEN 'missing_row' ELSE 'mismatch' END AS reason
 FROM w LEFT JOIN cells c ON c.conv_id = w.conv_id AND c.row_idx = w.anchor_row AND c.col_idx = w.anchor_col
@@ -521,8 +549,8 @@ SELECT CAST(SUM(headcount) AS BIGINT) AS naive_sum, CAST(SUM(CASE WHEN gn=0 THEN
     "share_of_total": """
 WITH a AS (SELECT n_name, COUNT(*) AS headcount FROM customer JOIN nation ON c_nationkey=n_nationkey GROUP BY n_name),
 g AS (SELECT CAST(SUM(headcount) AS BIGINT) AS total FROM a)
-SELECT n_name, headcount, CASE WHEN total=0 THEN NULL ELSE ROUND(CAST(headcount AS DOUBLE)/total*100, 6) END AS share_pct
-FROM a CROSS JOIN g""",
+SELECT n_name, headcount, CASE WHEN (SELECT total FROM g) = 0 THEN NULL
+  ELSE ROUND(CAST(headcount AS DOUBLE) / (SELECT total FROM g) * 100, 6) END AS share_pct FROM a""",
     "rollup_reconcile": """
 WITH leaf AS (SELECT n_regionkey, c_nationkey, COUNT(*) AS v FROM customer JOIN nation ON c_nationkey=n_nationkey GROUP BY 1,2),
 sub AS (SELECT n_regionkey, COUNT(*) AS v FROM customer JOIN nation ON c_nationkey=n_nationkey GROUP BY 1)
@@ -646,6 +674,22 @@ WITH r AS (SELECT source, doc_id, text, ROW_NUMBER() OVER (PARTITION BY source O
 c AS (SELECT source, COUNT(*) FILTER (WHERE length(regexp_replace(text, '^{_WS}+|{_WS}+$', '', 'g')) > 0) <= 2 AS sparse
   FROM r WHERE rn <= 500 GROUP BY source)
 SELECT COUNT(*) FILTER (WHERE NOT sparse) AS usable, COUNT(*) FILTER (WHERE sparse) AS sparse FROM c""",
+    "negative_positions": """
+SELECT c_custkey AS row_key, 'c_acctbal' AS col, c_acctbal AS value FROM customer WHERE c_acctbal < 0
+UNION ALL SELECT s_suppkey, 's_acctbal', s_acctbal FROM supplier WHERE s_acctbal < 0""",
+    "dirty_text_nodes": f"""
+SELECT page_id, CAST(pos - 1 AS INTEGER) AS pos, node, regexp_replace(node, '^{_WS}+|{_WS}+$', '', 'g') AS stripped
+FROM (SELECT page_id, UNNEST(nodes) AS node, generate_subscripts(nodes, 1) AS pos
+      FROM (SELECT page_id, regexp_extract_all(html, '>([^<]*)<', 1) AS nodes FROM pages) a) b
+WHERE regexp_matches(node, '^{_WS}+|{_WS}+$')""",
+    "not_null_violations": """
+SELECT 'orders' AS table_name, o_orderkey AS row_key, CASE WHEN o_custkey IS NULL THEN 'o_custkey'
+  WHEN o_orderstatus IS NULL THEN 'o_orderstatus' WHEN o_totalprice IS NULL THEN 'o_totalprice'
+  ELSE 'o_orderdate' END AS null_column FROM orders
+WHERE o_custkey IS NULL OR o_orderstatus IS NULL OR o_totalprice IS NULL OR o_orderdate IS NULL
+UNION ALL SELECT 'lineitem', l_orderkey, CASE WHEN l_orderkey IS NULL THEN 'l_orderkey' WHEN l_partkey IS NULL THEN 'l_partkey'
+  WHEN l_suppkey IS NULL THEN 'l_suppkey' WHEN l_quantity IS NULL THEN 'l_quantity' ELSE 'l_extendedprice' END FROM lineitem
+WHERE l_orderkey IS NULL OR l_partkey IS NULL OR l_suppkey IS NULL OR l_quantity IS NULL OR l_extendedprice IS NULL""",
     "unique_violations": """
 SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1""",
     "functional_dependency": """

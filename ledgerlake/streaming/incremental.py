@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,10 +96,11 @@ class IncrementalIngest:
     tables under shared folders; ``checkpoint`` is the stream's progress log."""
 
     def __init__(self, spark: SparkSession, landing: str, warehouse_root: str, manifest_path: str,
-                 status_path: str, checkpoint: str, source: str = "CGD"):
+                 status_path: str, checkpoint: str, source: str = "CGD", raw_path: str | None = None):
         self.spark, self.landing, self.source = spark, landing, source
         self.warehouse_root, self.manifest_path = warehouse_root, manifest_path
         self.status_path, self.checkpoint = status_path, checkpoint
+        self.raw_path = raw_path
 
     def seed_manifest(self, entries: DataFrame) -> None:
         """Initial lineage (e.g. from the JSON manifest document)."""
@@ -121,6 +123,16 @@ class IncrementalIngest:
             # Ordinals continue the manifest; the window spans only this batch's new files.
             fresh = fresh.withColumn("ordinal", base + F.dense_rank().over(
                 Window.orderBy("report_date", "sha256")).cast("long"))
+            if self.raw_path:
+                # Raw zone: the unwrapped bytes of every new report, partitioned by source;
+                # a replayed batch only adds hashes the raw table does not hold yet.
+                raw = new.select("source", "report_date", "sha256", "payload")
+                try:
+                    held = spark.read.parquet(self.raw_path).select("sha256")
+                    raw = raw.join(held, "sha256", "left_anti")
+                except AnalysisException:
+                    pass
+                raw.write.mode("append").partitionBy("source").parquet(self.raw_path)
             wh = Warehouse(spark, self.warehouse_root)
             reports.run_reports(wh, new.select("path", F.col("payload").alias("content")), None,
                                 fresh, lambda fs, sheet: workbook.cells_from_binary(fs, sheets=[sheet]))

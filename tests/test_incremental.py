@@ -17,7 +17,7 @@ def _book(tag: str) -> bytes:
 def _ingest(spark, scratch, ckpt="ckpt"):
     os.makedirs(f"{scratch}/landing", exist_ok=True)
     return IncrementalIngest(spark, f"{scratch}/landing", f"{scratch}/wh", f"{scratch}/manifest",
-                             f"{scratch}/status", f"{scratch}/{ckpt}")
+                             f"{scratch}/status", f"{scratch}/{ckpt}", raw_path=f"{scratch}/raw")
 
 
 def _statuses(df):
@@ -54,5 +54,7 @@ def test_stream_ingest_new_duplicate_late_and_replay(spark, scratch):
     assert again["2026_07_10.xlsx"] == "duplicate" and again["2026_07_24.xlsx"] == "duplicate"
     assert wh.read("fact_disbursement").count() == 144
     assert manifest.read_manifest_table(spark, f"{scratch}/manifest").count() == 3
+    raw = spark.read.parquet(f"{scratch}/raw")
+    assert raw.count() == 2 and raw.select("source").distinct().first().source == "CGD"
     per_source = status_by_source(spark.read.parquet(f"{scratch}/status")).collect()
     assert {r.status for r in per_source} <= {"new", "failed", "duplicate", "nothing_new"}
