@@ -108,3 +108,28 @@ def reconcile(stated: DataFrame, children: DataFrame, key, value: str, *, tolera
     diff = F.abs(F.col(stated_col) - F.col(children_col))
     match: Column = (F.col(stated_col) == F.col(children_col)) if tolerance == 0 else (diff <= tolerance)
     return out.withColumn("matches", match)
+
+
+def classify_sheet_density(cells: DataFrame, inventory: DataFrame, *, sample_rows: int = 500,
+                           usable_min_rows: int = 2, preview_chars: int = 60) -> DataFrame:
+    """Per workbook sheet: rows holding at least one cell within the first
+    ``sample_rows`` rows, ``sparse`` when at most ``usable_min_rows`` do, and a
+    preview of the first text cell in reading order. Sheets without any cell
+    (from the ``inventory``) are listed with 0 rows.
+
+    The row filter reaches the scan; cells are first reduced to one row per
+    sheet row (partial aggregation), then to one row per sheet.
+    """
+    sample = cells.filter(F.col("row_idx") < sample_rows)
+    per_row = sample.groupBy("path", "sheet", "row_idx").agg(
+        F.min_by(F.when(F.col("num").isNull(), F.col("value")),
+                 F.when(F.col("num").isNull() & F.col("value").isNotNull(), F.col("col_idx"))).alias("_text"))
+    per_sheet = per_row.groupBy("path", "sheet").agg(
+        F.count(F.lit(1)).alias("rows_with_data"),
+        F.min_by("_text", F.when(F.col("_text").isNotNull(), F.col("row_idx"))).alias("_first"))
+    out = inventory.select("path", "sheet_index", "sheet").join(per_sheet, ["path", "sheet"], "left")
+    rows = F.coalesce(F.col("rows_with_data"), F.lit(0)).cast("long")
+    return out.select("path", "sheet_index", "sheet", rows.alias("rows_with_data"),
+                      (rows <= usable_min_rows).alias("sparse"),
+                      preview(F.col("_first"), preview_chars).alias("first_cell_text"))
+

@@ -185,3 +185,15 @@ def _inventory(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def sheet_inventory(files: DataFrame) -> DataFrame:
     """Every sheet of every workbook, empty sheets included (reads only the workbook part)."""
     return files.select("path", "content").mapInPandas(_inventory, SHEET_SCHEMA)
+
+
+def latest_file(spark: SparkSession, path: str, glob: str = "*.xlsx") -> str:
+    """The lexicographically last matching file (dated names sort by date);
+    raises ``FileNotFoundError`` when there is none. Only paths are read."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", "true").load(path).select("path"))
+    last = files.agg(F.max("path").alias("p")).first().p
+    if last is None:
+        raise FileNotFoundError(f"no {glob} under {path}")
+    return last
+
