@@ -60,6 +60,12 @@ def strict_number(c, dtype: str = "double") -> Column:
     return col(c).cast(dtype)
 
 
+def required_number(c, dtype: str = "double", what: str = "value") -> Column:
+    """Strict parse that also rejects a missing value (an empty cell fails the job)."""
+    parsed = col(c).cast(dtype)
+    return F.coalesce(parsed, F.raise_error(F.lit(f"missing {what}")).cast(dtype))
+
+
 def lenient_number(c, dtype: str = "double") -> Column:
     """Blank text is NULL; anything else must parse strictly."""
     return blank_to_null(c).cast(dtype)

@@ -71,7 +71,7 @@ def clean_cgd(staging: DataFrame) -> DataFrame:
     """
     measures = [f"{p}_{m}" for p, _, _ in CGD_GROUPS for m in CGD_MEASURES]
     wide = staging.select("path", "row_idx", "ministry_code", "ministry_name",
-                          *[sc.strict_number(F.col(c), "double").alias(c) for c in measures])
+                          *[sc.required_number(F.col(c), "double", c).alias(c) for c in measures])
     groups = [(p, name, leaf) for p, name, leaf in CGD_GROUPS]
     long = reshape.wide_to_long(wide, ["path", "row_idx", "ministry_code", "ministry_name"], groups,
                                 CGD_MEASURES, name_col="expense_type_name")
@@ -88,7 +88,7 @@ def clean_ocsc(staging: DataFrame) -> DataFrame:
     report's first grand-total row (a report without one fails)."""
     s = staging.select(
         "path", "row_idx", sc.strip("category_name").alias("category_name"),
-        sc.strict_number("headcount", "long").alias("headcount"), "hierarchy_level",
+        sc.required_number("headcount", "long", "headcount").alias("headcount"), "hierarchy_level",
         sc.blank_to_null("parent_category").alias("parent_category"),
         (F.col("hierarchy_level") == 2).alias("is_leaf"))
     totals = (s.filter(F.col("hierarchy_level") == 0).groupBy("path")

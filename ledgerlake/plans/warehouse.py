@@ -94,8 +94,22 @@ class Warehouse:
         df = self._scan(name)
         return df if df is not None else self.spark.createDataFrame([], SCHEMAS[name])
 
+    def write_checks(self, name: str, df: DataFrame) -> list[tuple[str, DataFrame]]:
+        """Constraints a pending write must satisfy (NOT NULL, CHECK)."""
+        required = [f.name for f in SCHEMAS[name].fields if not f.nullable]
+        checks = [(f"{name}.not_null", quality.violations_not_null(df, required, required[:1]))]
+        if name == "dim_date":
+            checks.append(("dim_date.check_era", quality.violations_check(
+                df, F.col("fiscal_year_ce") == F.col("fiscal_year_be") - 543, "date_natural_key",
+                "ce_eq_be_minus_543")))
+        return checks
+
     def append(self, name: str, df: DataFrame) -> None:
-        w = df.select(*SCHEMAS[name].names).write.mode("append")
+        """Append rows after checking them; a violation raises and nothing is written."""
+        df = df.select(*SCHEMAS[name].names)
+        checks = self.write_checks(name, df)
+        quality.enforce(*[c for _, c in checks], names=[n for n, _ in checks])
+        w = df.write.mode("append")
         if name in PARTITION_BY:
             w = w.partitionBy(*PARTITION_BY[name])
         w.parquet(self.path(name))

@@ -190,3 +190,23 @@ def test_violation_reasons(spark, scratch):
     v = reports.structure_violations(files, _cells_of(files, CGD_SHEET), CGD_LAYOUT).collect()
     assert [(r.anchor_row, r.reason) for r in v] == [(29, "missing_row")]
     assert OCSC_LAYOUT.anchors == ()
+
+
+def test_missing_measure_fails_the_job(spark, scratch):
+    g = cgd_grid()
+    g[6] = list(g[6]); g[6][7] = None                     # an empty 'disbursed' cell
+    write(f"{scratch}/raw/cgd/2026_07_03.xlsx", make_xlsx({CGD_SHEET: g}))
+    staging = reports.extract_cgd(_cells_of(_files(spark, scratch, "cgd"), CGD_SHEET))
+    with pytest.raises(Exception, match="missing recurring_disbursed"):
+        reports.clean_cgd(staging).collect()
+
+
+def test_write_time_constraints(spark, scratch):
+    from ledgerlake.operators.quality import ConstraintViolation
+    wh = Warehouse(spark, f"{scratch}/wh")
+    bad = spark.createDataFrame([(1, "FY2567", None, 2567, 2023, None, None, None)],
+                                "date_key long, date_natural_key string, report_date date, fiscal_year_be int, "
+                                "fiscal_year_ce int, month int, quarter int, is_month_end boolean")
+    with pytest.raises(ConstraintViolation, match="check_era"):
+        wh.append("dim_date", bad)
+    assert wh.read("dim_date").count() == 0
