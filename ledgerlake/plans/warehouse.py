@@ -59,6 +59,15 @@ SURROGATE_KEYS = {
     "dim_date": "date_key", "dim_ministry": "ministry_key", "dim_expense_type": "expense_type_key",
     "dim_personnel_category": "personnel_category_key", "dim_source": "source_id",
 }
+FOREIGN_KEYS = {
+    "fact_disbursement": {"date_key": ("dim_date", "date_key"), "ministry_key": ("dim_ministry", "ministry_key"),
+                          "expense_type_key": ("dim_expense_type", "expense_type_key"),
+                          "source_id": ("dim_source", "source_id")},
+    "fact_workforce_summary": {"date_key": ("dim_date", "date_key"),
+                               "personnel_category_key": ("dim_personnel_category", "personnel_category_key"),
+                               "parent_category_key": ("dim_personnel_category", "personnel_category_key"),
+                               "source_id": ("dim_source", "source_id")},
+}
 PARTITION_BY = {"fact_disbursement": ["date_key"], "fact_workforce_summary": ["date_key"]}
 TABLE_ORDER = ("dim_date", "dim_ministry", "dim_expense_type", "dim_personnel_category", "dim_source",
                "fact_disbursement", "fact_workforce_summary")
@@ -95,13 +104,26 @@ class Warehouse:
         return df if df is not None else self.spark.createDataFrame([], SCHEMAS[name])
 
     def write_checks(self, name: str, df: DataFrame) -> list[tuple[str, DataFrame]]:
-        """Constraints a pending write must satisfy (NOT NULL, CHECK)."""
+        """Constraints a pending write must satisfy: NOT NULL, CHECK, UNIQUE / PRIMARY
+        KEY (within the batch and against stored rows with the same keys) and
+        FOREIGN KEY (fact references must exist in their dimensions)."""
         required = [f.name for f in SCHEMAS[name].fields if not f.nullable]
         checks = [(f"{name}.not_null", quality.violations_not_null(df, required, required[:1]))]
         if name == "dim_date":
             checks.append(("dim_date.check_era", quality.violations_check(
                 df, F.col("fiscal_year_ce") == F.col("fiscal_year_be") - 543, "date_natural_key",
                 "ce_eq_be_minus_543")))
+        uniques = [NATURAL_KEYS[name]] + ([[SURROGATE_KEYS[name]]] if name in SURROGATE_KEYS else [])
+        stored = self.read(name)
+        for cols in uniques:
+            incoming = df.select(*cols)
+            # Only stored rows sharing a key with the batch can collide.
+            clash = stored.select(*cols).join(incoming.distinct(), cols, "left_semi")
+            checks.append((f"{name}.unique({','.join(cols)})",
+                           quality.violations_unique(incoming.unionByName(clash), cols)))
+        for col_name, (dim, dim_col) in FOREIGN_KEYS.get(name, {}).items():
+            parent = self.read(dim).select(dim_col)
+            checks.append((f"{name}.fk({col_name})", quality.violations_fk(df, parent, col_name, dim_col)))
         return checks
 
     def append(self, name: str, df: DataFrame) -> None:

@@ -210,3 +210,16 @@ def test_write_time_constraints(spark, scratch):
     with pytest.raises(ConstraintViolation, match="check_era"):
         wh.append("dim_date", bad)
     assert wh.read("dim_date").count() == 0
+
+
+def test_unique_and_foreign_keys_are_rejected(spark, scratch):
+    from ledgerlake.operators.quality import ConstraintViolation
+    wh, _ = _load(spark, scratch, f"{scratch}/wh")
+    dup = wh.read("dim_ministry").limit(1).withColumn("ministry_key", F.lit(999).cast("long"))
+    with pytest.raises(ConstraintViolation, match="unique"):
+        wh.append("dim_ministry", dup)                         # same ministry_code again
+    fact = wh.read("fact_disbursement").limit(1).withColumn("ministry_key", F.lit(424242).cast("long")) \
+        .withColumn("date_key", F.lit(777).cast("long"))
+    with pytest.raises(ConstraintViolation, match="fk"):
+        wh.append("fact_disbursement", fact)                   # unknown ministry and date
+    assert wh.read("fact_disbursement").count() == 72 and wh.read("dim_ministry").count() == 24
