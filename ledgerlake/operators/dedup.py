@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions._util import col
-from .joins import broadcast_if_small
+from .joins import lookup_join
 
 
 def _keys(keys) -> list[str]:
@@ -63,8 +63,9 @@ def newer_than_known(df: DataFrame, known: DataFrame, keys, ts: str, hwm: str =
 
     Late rows (at or before the mark) are dropped, i.e. a zero-delay watermark
     per key. ``known`` has one row per key; it is broadcast when proven small
-    so the rows are never shuffled on a (typically low-cardinality) key.
+    so the rows are never shuffled on a (typically low-cardinality) key, and
+    joined salted otherwise.
     """
     keys = _keys(keys)
-    joined = df.join(broadcast_if_small(known.select(*keys, hwm)), keys, "left")
+    joined = lookup_join(df, known.select(*keys, hwm), keys, "left")
     return joined.filter(F.col(hwm).isNull() | (F.col(ts) > F.col(hwm))).drop(hwm)

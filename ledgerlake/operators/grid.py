@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .joins import lookup_join
+
 
 def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
@@ -61,7 +63,7 @@ def slice_between_header_and_total(df: DataFrame, report, row: str = "row_idx",
     data, so reports of different length are sliced correctly."""
     report = _list(report)
     ext = report_extent(df, report, row)
-    return (df.join(ext, report)
+    return (lookup_join(df, ext, report)
             .filter(F.col(row).between(F.lit(header_rows), F.col("last_row") - 1))
             .drop("last_row"))
 
@@ -93,7 +95,7 @@ def tag_sections(rows: DataFrame, layout: DataFrame, report, name: str, row: str
     lay = F.broadcast(layout.select(level_col, "row_start", "row_end", "parent_row"))
     tagged = rows.join(lay, rows[row].between(lay["row_start"], lay["row_end"]))
     parents = rows.select(*report, F.col(row).alias("parent_row"), F.col(name).alias(parent_col))
-    return (tagged.join(parents, report + ["parent_row"], "left")
+    return (lookup_join(tagged, parents, report + ["parent_row"], "left")
             .select(*rows.columns, level_col, parent_col,
                     (F.col(level_col) == leaf_level).alias(leaf_col)))
 

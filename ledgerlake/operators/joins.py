@@ -24,3 +24,32 @@ def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """``F.broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
     return F.broadcast(df) if is_small(df, max_rows) else df
+
+
+# Salt buckets for joins whose lookup is too big to broadcast.
+DEFAULT_SALT_BUCKETS = 16
+
+
+def lookup_join(df: DataFrame, lookup: DataFrame, on, how: str = "inner",
+                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+    """Join ``df`` to a per-key ``lookup`` (one row per key: extents, totals,
+    known marks, dimension rows), safe when one key holds a large share of ``df``.
+
+    A lookup proven small is broadcast and ``df`` is not shuffled at all.
+    Otherwise the join is salted: every ``df`` row gets a deterministic salt
+    (a hash of the row, so a retried task reproduces it) and the lookup is
+    replicated once per salt, so a hot key's rows spread over ``salt_buckets``
+    reducers instead of one. (AQE's skew-join split does not apply here: the
+    lookup is usually an aggregate, not a plain shuffle stage.)
+    """
+    on = [on] if isinstance(on, str) else list(on)
+    if is_small(lookup, max_rows):
+        return df.join(F.broadcast(lookup), on, how)
+    if salt_buckets <= 1:
+        return df.join(lookup, on, how)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
+    salted = df.withColumn("_salt", salt)
+    replicated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                                 F.lit(salt_buckets - 1).cast("long"))))
+    return salted.join(replicated, on + ["_salt"], how).drop("_salt")

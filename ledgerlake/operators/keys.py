@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 from .dedup import dedup
-from .joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
+from .joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
 
 
 def _keys(keys) -> list[str]:
@@ -65,13 +65,10 @@ def resolve_key(df: DataFrame, dim: DataFrame, on, key: str, *, nullable: bool =
     ``nullable=False``: every row must resolve; an unresolved key fails the job
     (``raise_error`` inside the plan - no extra pass over the data). A
     dimension proven small is broadcast, so the fact side is never shuffled
-    on a low-cardinality natural key.
+    on a low-cardinality natural key; a larger one is joined salted.
     """
     on = _keys(on)
-    lookup = dim.select(*on, key)
-    if max_broadcast_rows:
-        lookup = broadcast_if_small(lookup, max_broadcast_rows)
-    out = df.join(lookup, on, "left")
+    out = lookup_join(df, dim.select(*on, key), on, "left", max_rows=max_broadcast_rows)
     if nullable:
         return out
     msg = F.concat(F.lit(f"unresolved {label or key} for "), F.concat_ws("|", *[F.col(c).cast("string") for c in on]))
@@ -81,8 +78,8 @@ def resolve_key(df: DataFrame, dim: DataFrame, on, key: str, *, nullable: bool =
 def resolve_optional_key(df: DataFrame, dim: DataFrame, nk_col: str, dim_nk: str, key: str,
                          out: str) -> DataFrame:
     """Self-dimension lookup (parent): NULL text -> NULL key; non-NULL text must resolve."""
-    d = broadcast_if_small(dim.select(F.col(dim_nk).alias("_pnk"), F.col(key).alias(out)))
-    joined = df.join(d, df[nk_col] == d["_pnk"], "left").drop("_pnk")
+    d = dim.select(F.col(dim_nk).alias(nk_col), F.col(key).alias(out))
+    joined = lookup_join(df, d, nk_col, "left")
     bad = F.col(nk_col).isNotNull() & F.col(out).isNull()
     return joined.withColumn(
         out, F.when(bad, F.raise_error(F.concat(F.lit("unresolved parent "), F.col(nk_col))).cast("long"))
@@ -136,7 +133,7 @@ def in_known(df: DataFrame, known: DataFrame, on, flag: str = "is_known") -> Dat
     """Flag rows whose key occurs in ``known`` (EXISTS), without duplicating rows."""
     on = _keys(on)
     k = known.select(*on).distinct().withColumn(flag, F.lit(True))
-    return df.join(k, on, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    return lookup_join(df, k, on, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
 def not_in_known(df: DataFrame, known: DataFrame, on) -> DataFrame:

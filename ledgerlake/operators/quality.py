@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import lookup_join
+
 
 class StructureValidationError(Exception):
     """A report's layout differs from its configuration; nothing was written."""
@@ -39,14 +41,21 @@ def violations_not_null(df: DataFrame, cols: Sequence[str], key) -> DataFrame:
 
 def violations_fk(child: DataFrame, parent: DataFrame, child_cols, parent_cols=None,
                   check_name: str | None = None, key=None) -> DataFrame:
-    """Child rows whose non-NULL reference has no parent row (NULL references pass)."""
+    """Child rows whose non-NULL reference has no parent row (NULL references pass).
+
+    The distinct references are checked first (partial aggregation collapses a
+    hot reference before any shuffle), then the child rows holding a missing
+    reference are picked out with a lookup join on that (usually tiny) set.
+    """
     child_cols = _list(child_cols)
     parent_cols = _list(parent_cols) if parent_cols is not None else child_cols
     p = parent.select(*[F.col(pc).alias(cc) for pc, cc in zip(parent_cols, child_cols)])
     present = F.lit(True)
     for c in child_cols:
         present = present & F.col(c).isNotNull()
-    out = child.filter(present).join(p, child_cols, "left_anti")
+    referencing = child.filter(present)
+    missing = referencing.select(*child_cols).distinct().join(p, child_cols, "left_anti")
+    out = lookup_join(referencing, missing, child_cols, "left_semi")
     if key is not None:
         out = out.select(*[F.col(k) for k in _list(key)])
     if check_name is not None:

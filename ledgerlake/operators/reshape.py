@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions._util import col
+from .joins import lookup_join
 
 
 def wide_to_long(df: DataFrame, ids: Sequence[str], groups: Sequence[tuple[str, str, bool]],
@@ -66,7 +67,7 @@ def share_of_total(df: DataFrame, value: str, *, total: Column | None = None, by
         src = df.filter(total_rows) if total_rows is not None else df
         agg = F.max(value) if total_rows is not None else F.sum(value)
         totals = src.groupBy(*by).agg(agg.cast("double").alias("_total"))
-        out_df = df.join(totals, list(by), "left")
+        out_df = lookup_join(df, totals, list(by), "left")
         t = F.col("_total")
         pct = F.when(t != 0, v / t * 100.0)
         if digits is not None:

@@ -58,10 +58,10 @@ def _order_amounts_wide(spark, d) -> DataFrame:
 
 def _customer_geo(spark, d) -> DataFrame:
     c = _t(spark, d, "customer").select("c_custkey", "c_nationkey")
-    n = _t(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    r = _t(spark, d, "region").select("r_regionkey", "r_name")
-    return (c.join(n, c.c_nationkey == n.n_nationkey)
-            .join(r, n.n_regionkey == r.r_regionkey))
+    n = _t(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")
+    r = _t(spark, d, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    # Customers are never shuffled on the (few-valued) nation / region keys.
+    return joins.lookup_join(joins.lookup_join(c, n, "c_nationkey"), r, "n_regionkey")
 
 
 def _nation_rollup(spark, d) -> DataFrame:
@@ -143,8 +143,8 @@ def share_of_total(spark, d):
 @query
 def rollup_reconcile(spark, d):
     c = _t(spark, d, "customer").select("c_nationkey")
-    n = _t(spark, d, "nation").select("n_nationkey", "n_regionkey")
-    cn = c.join(n, c.c_nationkey == n.n_nationkey)
+    n = _t(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
+    cn = joins.lookup_join(c, n, "c_nationkey")
     leaf = cn.groupBy("n_regionkey", "c_nationkey").agg(F.count(F.lit(1)).alias("v"))
     sub = cn.groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("v"))
     out = profile.reconcile(sub, leaf, "n_regionkey", "v")
@@ -358,7 +358,7 @@ def manifest_entries(spark, d):
     fname = cal.report_file_name("o_orderdate")
     # One template row per source: broadcast once its size is proven, so orders
     # are never shuffled on the (few-valued) source key.
-    return o.join(joins.broadcast_if_small(template), "o_orderstatus").select(
+    return joins.lookup_join(o, template, "o_orderstatus").select(
         "o_orderkey", F.col("o_orderstatus").alias("source"),
         F.concat(F.lit("raw/"), F.lower("o_orderstatus"), F.lit("/"), fname).alias("local_path"),
         fname.alias("file_name"), "template_name")

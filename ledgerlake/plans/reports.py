@@ -93,7 +93,7 @@ def clean_ocsc(staging: DataFrame) -> DataFrame:
         (F.col("hierarchy_level") == 2).alias("is_leaf"))
     totals = (s.filter(F.col("hierarchy_level") == 0).groupBy("path")
               .agg(F.min_by("headcount", "row_idx").alias("_grand")))
-    out = s.join(joins.broadcast_if_small(totals), "path", "left")    # one row per report
+    out = joins.lookup_join(s, totals, "path", "left")                # one row per report
     grand = F.coalesce(F.col("_grand"), F.raise_error(F.concat(F.lit("no grand total row in "), F.col("path")))
                        .cast("long"))
     return out.withColumn("share_pct", sc.safe_pct("headcount", grand)).drop("_grand")
@@ -137,7 +137,7 @@ def _append_facts(wh: Warehouse, name: str, facts: DataFrame, ordinal) -> int:
     batch = dedup.dedup(facts, nk, ordinal, keep="first")
     touched = batch.select("date_key").distinct()
     # Only the partitions of the dates being loaded are read back.
-    existing = wh.read(name).join(touched, "date_key", "left_semi")
+    existing = joins.lookup_join(wh.read(name), touched, "date_key", "left_semi")
     new = batch.join(existing.select(*nk), nk, "left_anti").cache()
     n = new.count()
     if n:
@@ -160,7 +160,7 @@ def load_cgd(wh: Warehouse, clean: DataFrame, reports: DataFrame) -> int:
         "ministry_code", F.col("ministry_name").alias("ministry_name_th"),
         F.col("ministry_name").alias("source_name_raw")))
     rk = _report_keys(reports, src, dates, cal.date_natural_key(F.to_date("report_date")))
-    f = clean.join(joins.broadcast_if_small(rk), "path")               # one row per report
+    f = joins.lookup_join(clean, rk, "path")                           # one row per report
     f = keys.resolve_key(f, min_dim.select("ministry_code", "ministry_key"), "ministry_code", "ministry_key")
     f = keys.resolve_key(f, et_dim.select("expense_type_name", "expense_type_key"), "expense_type_name",
                          "expense_type_key")
@@ -175,7 +175,7 @@ def load_ocsc(wh: Warehouse, clean: DataFrame, reports: DataFrame) -> int:
                        keep="first")
     cat_dim = _upsert_dim(wh, "dim_personnel_category", cats.select("category_name"))
     rk = _report_keys(reports, src, dates, cal.fiscal_year_natural_key(F.col("fiscal_year_be")))
-    f = clean.join(joins.broadcast_if_small(rk), "path")               # one row per report
+    f = joins.lookup_join(clean, rk, "path")                           # one row per report
     cd = cat_dim.select("category_name", "personnel_category_key")
     f = keys.resolve_key(f, cd, "category_name", "personnel_category_key")
     f = keys.resolve_optional_key(f, cat_dim, "parent_category", "category_name", "personnel_category_key",

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import web
+from ..operators import joins
 from ..plans import reports
 from ..plans.warehouse import Warehouse
 from ..session import checkpoint_dir
@@ -70,7 +71,8 @@ def classify_files(files: DataFrame, entries: DataFrame | None, source: str) ->
     n_entries = src_entries.select(F.count(F.lit(1))).scalar()
     known = src_entries.select("sha256").distinct().withColumn("known_hash", F.lit(True))
     f = (f.withColumn("hwm", hwm).withColumn("has_template", F.when(n_entries > 0, F.lit(True)))
-         .join(known, "sha256", "left"))
+         )
+    f = joins.lookup_join(f, known, "sha256", "left")
     # Same bytes twice in one batch: the earliest date (then path) is the original.
     first = F.row_number().over(Window.partitionBy("sha256").orderBy(F.col("report_date").asc_nulls_last(), "path"))
     f = f.withColumn("_copy", F.when(F.col("sha256").isNotNull(), first > 1).otherwise(F.lit(False)))
