@@ -9,6 +9,7 @@ that the planner's shuffle join is kept, with AQE splitting skewed partitions.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +45,10 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on, how: str = "inner",
     lookup is usually an aggregate, not a plain shuffle stage.)
     """
     on = [on] if isinstance(on, str) else list(on)
+    # The size check runs the lookup (often an aggregate over a big input);
+    # persisting it lets the join reuse that work instead of recomputing it.
+    # Lost blocks are recomputed from lineage, so executor loss is harmless.
+    lookup = lookup.persist(StorageLevel.MEMORY_AND_DISK)
     if is_small(lookup, max_rows):
         return df.join(F.broadcast(lookup), on, how)
     if salt_buckets <= 1:
