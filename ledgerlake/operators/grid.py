@@ -13,7 +13,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .joins import lookup_join
 
@@ -105,13 +104,6 @@ def row_extent(cells: DataFrame, report, row: str = "row_idx") -> DataFrame:
     return cells.groupBy(*_list(report), row).agg(F.max("col_idx").alias("last_col"))
 
 
-ANCHOR_SCHEMA = T.StructType([
-    T.StructField("anchor_row", T.IntegerType()),
-    T.StructField("anchor_col", T.IntegerType()),
-    T.StructField("expected", T.StringType()),
-])
-
-
 def check_anchors(cells: DataFrame, anchors: Sequence[tuple[int, int, str]], report,
                   row: str = "row_idx") -> DataFrame:
     """Every (report, anchor) whose cell text differs from the expected text.

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
-from ..operators import quality
+from ..operators import joins, quality
 
 L, I, S, D, B, TS, DT, BY = (T.LongType(), T.IntegerType(), T.StringType(), T.DoubleType(),
                              T.BooleanType(), T.TimestampType(), T.DateType(), T.ByteType())
@@ -117,8 +117,9 @@ class Warehouse:
         stored = self.read(name)
         for cols in uniques:
             incoming = df.select(*cols)
-            # Only stored rows sharing a key with the batch can collide.
-            clash = stored.select(*cols).join(incoming.distinct(), cols, "left_semi")
+            # Only stored rows sharing a key with the batch can collide; for facts the
+            # broadcast semi join on date_key also prunes the stored partitions.
+            clash = joins.lookup_join(stored.select(*cols), incoming.distinct(), cols, "left_semi")
             checks.append((f"{name}.unique({','.join(cols)})",
                            quality.violations_unique(incoming.unionByName(clash), cols)))
         for col_name, (dim, dim_col) in FOREIGN_KEYS.get(name, {}).items():
