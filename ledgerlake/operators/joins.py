@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Rows of a lookup that may be broadcast (a few dozen MB at lookup row widths).
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
@@ -53,7 +54,8 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on, how: str = "inner",
         return df.join(F.broadcast(lookup), on, how)
     if salt_buckets <= 1:
         return df.join(lookup, on, how)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
+    hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    salt = F.pmod(F.xxhash64(*hashable), F.lit(salt_buckets)) if hashable else F.lit(0).cast("long")
     salted = df.withColumn("_salt", salt)
     replicated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
                                                                  F.lit(salt_buckets - 1).cast("long"))))

@@ -81,3 +81,11 @@ def test_fk_check_with_hot_reference(spark):
     parent = spark.range(1, 41).select(F.col("id").alias("report"))   # report 0 is missing
     v = quality.violations_fk(child, parent, "report")
     assert v.count() == 6000 and v.select("report").distinct().first().report == 0
+
+
+def test_salted_join_accepts_map_columns(spark):
+    from ledgerlake.operators import joins
+    df = spark.createDataFrame([(1, {"a": 1}), (2, {"b": 2})], "k long, m map<string,int>")
+    lookup = spark.createDataFrame([(1, "x"), (2, "y")], "k long, v string")
+    out = {r.k: r.v for r in joins.lookup_join(df, lookup, "k", max_rows=1).collect()}
+    assert out == {1: "x", 2: "y"}
