@@ -305,6 +305,12 @@ def surrogate_keys(spark, d):
     return keys.assign_keys(pri, "natural_key", "sk")
 
 
+@query
+def customer_keys(spark, d):
+    names = _t(spark, d, "customer").select(F.col("c_name").alias("natural_key"))
+    return keys.assign_keys(names, "natural_key", "sk")
+
+
 @query
 def resolve_fact_keys(spark, d):
     o = _t(spark, d, "orders").select("o_orderkey", "o_orderstatus")
@@ -625,6 +631,9 @@ WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",
     "surrogate_keys": """
 SELECT CAST(ROW_NUMBER() OVER (ORDER BY natural_key) AS BIGINT) AS sk, natural_key
 FROM (SELECT DISTINCT o_orderpriority AS natural_key FROM orders) x""",
+    "customer_keys": """
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY natural_key) AS BIGINT) AS sk, natural_key
+FROM (SELECT DISTINCT c_name AS natural_key FROM customer) x""",
     "resolve_fact_keys": """
 WITH d AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY k) AS BIGINT) AS status_key, k FROM (SELECT DISTINCT o_orderstatus AS k FROM orders) x)
 SELECT o.o_orderkey, d.status_key FROM orders o JOIN d ON o.o_orderstatus = d.k""",
