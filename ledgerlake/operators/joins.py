@@ -19,12 +19,19 @@ DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    A plain count: partial counts per partition, one row each to the final
+    count. (``limit(n).count()`` would instead funnel up to ``n`` rows per
+    partition through a single-partition exchange.) Persist ``df`` first when
+    it is used again, so the count and the later use share one computation.
+    """
+    return df.count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
+    """``F.broadcast(df)`` when its size is proven small, else ``df`` (persisted either way)."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
