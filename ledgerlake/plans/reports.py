@@ -191,10 +191,19 @@ def attach_reports(files: DataFrame, entries: DataFrame, source: str) -> DataFra
     return f.join(e, "_fname").drop("_fname")
 
 
+def unmatched_files(files: DataFrame, entries: DataFrame, source: str) -> DataFrame:
+    """Landed files without a manifest entry (they would have no date or lineage)."""
+    return files.select("path").join(attach_reports(files, entries, source).select("path"), "path", "left_anti")
+
+
 def run_reports(wh: Warehouse, cgd_files: DataFrame | None, ocsc_files: DataFrame | None,
                 entries: DataFrame, cells_of) -> dict[str, int]:
     """Validate, extract, clean and load both sources. ``cells_of(files, sheet)``
-    decodes the given files (see ``sources.workbook``). Returns facts written."""
+    decodes the given files (see ``sources.workbook``). Returns facts written.
+    Every file must have a manifest entry; otherwise nothing is written."""
+    checks = [(f"{src} file without manifest entry", unmatched_files(f, entries, src))
+              for src, f in (("CGD", cgd_files), ("OCSC", ocsc_files)) if f is not None]
+    quality.enforce(*[c for _, c in checks], names=[n for n, _ in checks])
     wh.ensure_schema()
     out = {"fact_disbursement": 0, "fact_workforce_summary": 0}
     if cgd_files is not None:

@@ -223,3 +223,13 @@ def test_unique_and_foreign_keys_are_rejected(spark, scratch):
     with pytest.raises(ConstraintViolation, match="fk"):
         wh.append("fact_disbursement", fact)                   # unknown ministry and date
     assert wh.read("fact_disbursement").count() == 72 and wh.read("dim_ministry").count() == 24
+
+
+def test_file_without_manifest_entry_fails(spark, scratch):
+    from ledgerlake.operators.quality import ConstraintViolation
+    hashes = _land(scratch)
+    wh = Warehouse(spark, f"{scratch}/wh")
+    only_ocsc = _entries(spark, hashes).filter("source = 'OCSC'")
+    with pytest.raises(ConstraintViolation, match="without manifest entry"):
+        reports.run_reports(wh, _files(spark, scratch, "cgd"), _files(spark, scratch, "ocsc"), only_ocsc, _cells_of)
+    assert wh.read("fact_workforce_summary").count() == 0
