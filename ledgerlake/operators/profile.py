@@ -68,6 +68,16 @@ def dirty_values(df: DataFrame, name: str, key=()) -> DataFrame:
                                                               strip(F.col(name)).alias("stripped"))
 
 
+def dirty_values_in_arrays(df: DataFrame, values: str, key=(), pos_col: str = "pos",
+                           value_col: str = "value") -> DataFrame:
+    """``dirty_values`` over an array column: elements are indexed and filtered
+    inside the array, so only the dirty ones become rows (0-based ``pos``)."""
+    indexed = F.transform(F.col(values), lambda x, i: F.struct(i.alias(pos_col), x.alias(value_col)))
+    dirty = F.filter(indexed, lambda s: has_edge_whitespace(s[value_col]))
+    return (df.select(*_list(key), F.inline(dirty))
+            .select(*_list(key), pos_col, value_col, strip(F.col(value_col)).alias("stripped")))
+
+
 def classify_density(df: DataFrame, report, order: str, text: str, *, sample_rows: int = 500,
                      usable_min_rows: int = 2, preview_chars: int = 60) -> DataFrame:
     """Per report, within its first ``sample_rows`` rows (by ``order``): rows that

@@ -413,8 +413,8 @@ def negative_positions(spark, d):
 
 @query
 def dirty_text_nodes(spark, d):
-    p = _t(spark, d, "pages").select("page_id", F.posexplode(web.text_nodes("html")).alias("pos", "node"))
-    return profile.dirty_values(p, "node", ["page_id", "pos"])
+    p = _t(spark, d, "pages").select("page_id", web.text_nodes("html").alias("nodes"))
+    return profile.dirty_values_in_arrays(p, "nodes", "page_id", value_col="node")
 
 
 @query
