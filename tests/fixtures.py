@@ -167,3 +167,13 @@ def write(path: str, data: bytes) -> str:
 def sha256(data: bytes) -> str:
     import hashlib
     return hashlib.sha256(data).hexdigest()
+
+
+def plan_text(df) -> str:
+    """The physical plan as ``explain()`` prints it (final adaptive plan once executed)."""
+    import contextlib
+    import io as _io
+    buf = _io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from fixtures import make_xlsx, write
+from fixtures import plan_text, make_xlsx, write
 from ledgerlake.operators import dedup, grid, joins, keys, profile, reshape
 from ledgerlake.sources import workbook
 
@@ -72,8 +72,7 @@ def test_resolve_key_fails_on_unknown(spark):
 def test_broadcast_if_small(spark):
     small = spark.range(10)
     assert joins.is_small(small, 10) and not joins.is_small(small, 9)
-    plan = spark.range(100).join(joins.broadcast_if_small(small, 10), "id")._jdf.queryExecution() \
-        .executedPlan().toString()
+    plan = plan_text(spark.range(100).join(joins.broadcast_if_small(small, 10), "id"))
     assert "Broadcast" in plan
 
 

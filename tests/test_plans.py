@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from fixtures import plan_text
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 pytestmark = pytest.mark.skipif(not os.path.exists(f"{SF_DIR}/orders.parquet"), reason="test data not present")
@@ -13,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.exists(f"{SF_DIR}/orders.parquet"),
 def _plan(spark, name):
     df = entry.queries()[name](spark, SF_DIR)
     df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+    return plan_text(df)
 
 
 def test_top1_per_key_limits_before_the_shuffle(spark):

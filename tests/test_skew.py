@@ -3,6 +3,7 @@ join is split by AQE instead of landing in one task."""
 
 from pyspark.sql import functions as F
 
+from fixtures import plan_text
 from ledgerlake.operators import dedup, grid, keys
 
 HOT_CONF = {
@@ -42,7 +43,7 @@ def test_slice_with_hot_report_is_exact_and_split(spark):
         df = grid.slice_between_header_and_total(_rows(spark), "report")
         n = df.count()
         per = {r.report: r.n for r in df.groupBy("report").agg(F.count(F.lit(1)).alias("n")).collect()}
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        plan = plan_text(df)
         return n, per, plan
     n, per, plan = _with_conf(spark, HOT_CONF, run)
     assert per[0] == 6000 - 2 and all(per[r] == 300 - 2 for r in range(1, 41)) and n == 5998 + 40 * 298
