@@ -9,7 +9,6 @@ that the planner's shuffle join is kept, with AQE splitting skewed partitions.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,15 +22,15 @@ def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
 
     A plain count: partial counts per partition, one row each to the final
     count. (``limit(n).count()`` would instead funnel up to ``n`` rows per
-    partition through a single-partition exchange.) Persist ``df`` first when
-    it is used again, so the count and the later use share one computation.
+    partition through a single-partition exchange.) Only the columns the
+    lookup needs are read; nothing is cached, so nothing can pile up in a
+    long-running session.
     """
     return df.count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when its size is proven small, else ``df`` (persisted either way)."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    """``F.broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
@@ -53,10 +52,6 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on, how: str = "inner",
     lookup is usually an aggregate, not a plain shuffle stage.)
     """
     on = [on] if isinstance(on, str) else list(on)
-    # The size check runs the lookup (often an aggregate over a big input);
-    # persisting it lets the join reuse that work instead of recomputing it.
-    # Lost blocks are recomputed from lineage, so executor loss is harmless.
-    lookup = lookup.persist(StorageLevel.MEMORY_AND_DISK)
     if is_small(lookup, max_rows):
         return df.join(F.broadcast(lookup), on, how)
     if salt_buckets <= 1:

@@ -119,13 +119,15 @@ def append_if_absent(incoming: DataFrame, path: str, nk, ordinal=None, fmt: str
     if target is None and ordinal is not None:
         new = dedup(incoming, _keys(nk), ordinal, keep="first")
     new = new.cache()
-    n = new.count()
-    if n:
-        w = new.write.mode("append").format(fmt)
-        if partition_by:
-            w = w.partitionBy(*_keys(partition_by))
-        w.save(path)
-    new.unpersist()
+    try:
+        n = new.count()
+        if n:
+            w = new.write.mode("append").format(fmt)
+            if partition_by:
+                w = w.partitionBy(*_keys(partition_by))
+            w.save(path)
+    finally:
+        new.unpersist()
     return n
 
 

@@ -108,10 +108,12 @@ def _upsert_dim(wh: Warehouse, name: str, candidates: DataFrame) -> DataFrame:
     nk, key = NATURAL_KEYS[name], SURROGATE_KEYS[name]
     existing = wh.read(name)
     new = keys.absent_rows(existing, candidates, nk).cache()
-    if not new.isEmpty():
-        keyed = keys.assign_keys(new, nk, key, existing=existing)
-        wh.append(name, new.join(keyed, nk))
-    new.unpersist()
+    try:
+        if not new.isEmpty():
+            keyed = keys.assign_keys(new, nk, key, existing=existing)
+            wh.append(name, new.join(keyed, nk))
+    finally:
+        new.unpersist()
     return wh.read(name)
 
 
@@ -139,10 +141,12 @@ def _append_facts(wh: Warehouse, name: str, facts: DataFrame, ordinal) -> int:
     # Only the partitions of the dates being loaded are read back.
     existing = joins.lookup_join(wh.read(name), touched, "date_key", "left_semi")
     new = batch.join(existing.select(*nk), nk, "left_anti").cache()
-    n = new.count()
-    if n:
-        wh.append(name, new)
-    new.unpersist()
+    try:
+        n = new.count()
+        if n:
+            wh.append(name, new)
+    finally:
+        new.unpersist()
     return n
 
 
@@ -207,15 +211,20 @@ def run_reports(wh: Warehouse, cgd_files: DataFrame | None, ocsc_files: DataFram
     wh.ensure_schema()
     out = {"fact_disbursement": 0, "fact_workforce_summary": 0}
     if cgd_files is not None:
+        # Cached: validation and extraction both read the decoded cells.
         cells = cells_of(cgd_files, CGD_LAYOUT.sheet).cache()
-        validate_structure(cgd_files, cells, CGD_LAYOUT)
-        clean = clean_cgd(extract_cgd(cells))
-        out["fact_disbursement"] = load_cgd(wh, clean, attach_reports(cgd_files, entries, "CGD"))
-        cells.unpersist()
+        try:
+            validate_structure(cgd_files, cells, CGD_LAYOUT)
+            clean = clean_cgd(extract_cgd(cells))
+            out["fact_disbursement"] = load_cgd(wh, clean, attach_reports(cgd_files, entries, "CGD"))
+        finally:
+            cells.unpersist()
     if ocsc_files is not None:
         cells = cells_of(ocsc_files, OCSC_LAYOUT.sheet).cache()
-        validate_structure(ocsc_files, cells, OCSC_LAYOUT)
-        clean = clean_ocsc(extract_ocsc(cells))
-        out["fact_workforce_summary"] = load_ocsc(wh, clean, attach_reports(ocsc_files, entries, "OCSC"))
-        cells.unpersist()
+        try:
+            validate_structure(ocsc_files, cells, OCSC_LAYOUT)
+            clean = clean_ocsc(extract_ocsc(cells))
+            out["fact_workforce_summary"] = load_ocsc(wh, clean, attach_reports(ocsc_files, entries, "OCSC"))
+        finally:
+            cells.unpersist()
     return out

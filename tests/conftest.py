@@ -17,7 +17,7 @@ from ledgerlake.session import build_session  # noqa: E402
 def spark():
     ckpt = tempfile.mkdtemp(prefix="ledgerlake-test-ckpt-")
     s = build_session("local[4]", app="ledgerlake-tests", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": ckpt})
+                      extra={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g"})
     yield s
     s.stop()
 

@@ -1,5 +1,5 @@
-"""A hot key holding a third of all rows: results stay exact and the shuffle
-join is split by AQE instead of landing in one task."""
+"""A hot key holding a third of all rows: results stay exact, and its rows are
+broadcast-joined or salted across reducers instead of landing in one task."""
 
 from pyspark.sql import functions as F
 
