@@ -81,18 +81,32 @@ def records_from_cells(cells: DataFrame, layout: DataFrame, fields: Sequence[str
         *[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields])
 
 
-def tag_sections(rows: DataFrame, layout: DataFrame, report, name: str, row: str = "row_idx",
+def tag_sections(rows: DataFrame, layout, report, name: str, row: str = "row_idx",
                  *, level_col: str = "hierarchy_level", parent_col: str = "parent_category",
                  leaf_col: str = "is_leaf", leaf_level: int = 2) -> DataFrame:
     """Tag every row with its hierarchy level from the layout's row ranges and
     resolve its parent's name (the row named by ``parent_row``) per report.
 
-    Range join against the broadcast layout (a handful of ranges), then an
-    equi-join on ``(report, row)`` for the parent.
+    ``layout`` is either the ranges themselves, ``[(level, first, last,
+    parent_row), ...]`` - turned into a ``CASE WHEN`` projection, no join - or
+    a layout DataFrame, range-joined as a broadcast. Rows outside every range
+    are dropped. The parent's name comes from a lookup join on
+    ``(report, row)``.
     """
     report = _list(report)
-    lay = F.broadcast(layout.select(level_col, "row_start", "row_end", "parent_row"))
-    tagged = rows.join(lay, rows[row].between(lay["row_start"], lay["row_end"]))
+    if isinstance(layout, DataFrame):
+        lay = F.broadcast(layout.select(level_col, "row_start", "row_end", "parent_row"))
+        tagged = rows.join(lay, rows[row].between(lay["row_start"], lay["row_end"]))
+    else:
+        r = F.col(row)
+        level = parent_row = None
+        for lvl, first, last, parent in layout:
+            hit = r.between(int(first), int(last))
+            p = F.lit(None if parent is None else int(parent)).cast("int")
+            level = F.when(hit, F.lit(int(lvl))) if level is None else level.when(hit, F.lit(int(lvl)))
+            parent_row = F.when(hit, p) if parent_row is None else parent_row.when(hit, p)
+        tagged = (rows.withColumn(level_col, level).withColumn("parent_row", parent_row)
+                  .filter(F.col(level_col).isNotNull()))
     parents = rows.select(*report, F.col(row).alias("parent_row"), F.col(name).alias(parent_col))
     return (lookup_join(tagged, parents, report + ["parent_row"], "left")
             .select(*rows.columns, level_col, parent_col,

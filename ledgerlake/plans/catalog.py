@@ -91,8 +91,7 @@ def grid_to_records(spark, d):
 @query
 def hierarchy_tag(spark, d):
     rows = _conversation_rows(spark, d).select("conv_id", "row_idx", F.col("role").alias("category_name"))
-    layout = grid.layout_rows(spark, CONVERSATION_SECTIONS)
-    return grid.tag_sections(rows, layout, "conv_id", "category_name")
+    return grid.tag_sections(rows, CONVERSATION_SECTIONS, "conv_id", "category_name")
 
 
 @query

@@ -58,7 +58,7 @@ def extract_ocsc(cells: DataFrame, layout: Layout = OCSC_LAYOUT) -> DataFrame:
     spark = cells.sparkSession
     sheet = cells.filter(F.col("sheet") == layout.sheet)
     recs = grid.records_from_cells(sheet, grid.layout_columns(spark, layout.columns), list(layout.columns), "path")
-    return grid.tag_sections(recs, grid.layout_rows(spark, layout.sections), "path", "category_name")
+    return grid.tag_sections(recs, layout.sections, "path", "category_name")
 
 
 # ---------------------------------------------------------------- clean

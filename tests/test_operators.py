@@ -142,3 +142,17 @@ def test_sheet_density_and_latest_file(spark, scratch):
     assert workbook.latest_file(spark, f"{scratch}/raw").endswith("2026_07_10.xlsx")
     with pytest.raises(FileNotFoundError):
         workbook.latest_file(spark, f"{scratch}/raw", glob="*.none")
+
+
+def test_tag_sections_config_and_dataframe_layouts_agree(spark):
+    sections = ((0, 0, 0, None), (1, 1, 1, 0), (2, 2, 4, 1), (1, 5, 5, 0), (2, 6, 9, 5))
+    rows = spark.createDataFrame([("r", i, f"n{i}") for i in range(12)] + [("s", i, f"m{i}") for i in range(4)],
+                                 "path string, row_idx int, name string")
+    a = grid.tag_sections(rows, sections, "path", "name")
+    b = grid.tag_sections(rows, grid.layout_rows(spark, sections), "path", "name")
+    key = lambda df: sorted(tuple(r) for r in df.select("path", "row_idx", "hierarchy_level", "parent_category",
+                                                        "is_leaf").collect())
+    assert key(a) == key(b)
+    got = {(r.path, r.row_idx): (r.hierarchy_level, r.parent_category) for r in a.collect()}
+    assert got[("r", 0)] == (0, None) and got[("r", 3)] == (2, "n1") and got[("r", 7)] == (2, "n5")
+    assert ("r", 10) not in got and got[("s", 3)] == (2, "m1")
