@@ -67,18 +67,25 @@ def slice_between_header_and_total(df: DataFrame, report, row: str = "row_idx",
             .drop("last_row"))
 
 
-def records_from_cells(cells: DataFrame, layout: DataFrame, fields: Sequence[str], report,
+def records_from_cells(cells: DataFrame, layout, fields: Sequence[str], report,
                        row: str = "row_idx") -> DataFrame:
     """Cells -> one record per report row with a column per layout field.
 
-    The layout join keeps only configured columns right after the scan; the
-    pivot is a single conditional aggregation on ``(report, row)`` (explicit
-    field list, one shuffle, partial aggregation).
+    ``layout`` is ``{field: col_idx}`` (configuration: the cells are filtered to
+    the configured columns and pivoted directly on ``col_idx``, no join) or a
+    layout DataFrame ``(col_idx, field)`` (joined as a broadcast). Either way the
+    pivot is a single conditional aggregation on ``(report, row)`` with an
+    explicit field list: one shuffle, partial aggregation.
     """
     report = _list(report)
-    picked = cells.join(F.broadcast(layout), "col_idx")
+    if isinstance(layout, DataFrame):
+        picked = cells.join(F.broadcast(layout), "col_idx")
+        return picked.groupBy(*report, row).agg(
+            *[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields])
+    wanted = {f: int(layout[f]) for f in fields}
+    picked = cells.filter(F.col("col_idx").isin(sorted(set(wanted.values()))))
     return picked.groupBy(*report, row).agg(
-        *[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields])
+        *[F.max(F.when(F.col("col_idx") == i, F.col("value"))).alias(f) for f, i in wanted.items()])
 
 
 def tag_sections(rows: DataFrame, layout, report, name: str, row: str = "row_idx",

@@ -84,8 +84,7 @@ def grid_slice(spark, d):
 @query
 def grid_to_records(spark, d):
     cells = grid.table_cells(_t(spark, d, "conversations"), "conv_id", "turn", ["role", "text"])
-    layout = grid.layout_columns(spark, {"speaker": 0, "utterance": 1})
-    return grid.records_from_cells(cells, layout, ["speaker", "utterance"], "conv_id")
+    return grid.records_from_cells(cells, {"speaker": 0, "utterance": 1}, ["speaker", "utterance"], "conv_id")
 
 
 @query

@@ -47,17 +47,14 @@ def validate_structure(files: DataFrame, cells: DataFrame, layout: Layout) -> No
 
 def extract_cgd(cells: DataFrame, layout: Layout = CGD_LAYOUT) -> DataFrame:
     """One wide staging row per ministry row: ``path, row_idx`` + every layout field as text."""
-    spark = cells.sparkSession
     rows = grid.grid_slice(cells.filter(F.col("sheet") == layout.sheet), *layout.data_rows)
-    fields = list(layout.columns)
-    return grid.records_from_cells(rows, grid.layout_columns(spark, layout.columns), fields, "path")
+    return grid.records_from_cells(rows, layout.columns, list(layout.columns), "path")
 
 
 def extract_ocsc(cells: DataFrame, layout: Layout = OCSC_LAYOUT) -> DataFrame:
     """Grand total, subtotals and leaves with level and (raw) parent name."""
-    spark = cells.sparkSession
     sheet = cells.filter(F.col("sheet") == layout.sheet)
-    recs = grid.records_from_cells(sheet, grid.layout_columns(spark, layout.columns), list(layout.columns), "path")
+    recs = grid.records_from_cells(sheet, layout.columns, list(layout.columns), "path")
     return grid.tag_sections(recs, layout.sections, "path", "category_name")
 
 

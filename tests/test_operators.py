@@ -156,3 +156,13 @@ def test_tag_sections_config_and_dataframe_layouts_agree(spark):
     got = {(r.path, r.row_idx): (r.hierarchy_level, r.parent_category) for r in a.collect()}
     assert got[("r", 0)] == (0, None) and got[("r", 3)] == (2, "n1") and got[("r", 7)] == (2, "n5")
     assert ("r", 10) not in got and got[("s", 3)] == (2, "m1")
+
+
+def test_records_from_cells_config_and_dataframe_layouts_agree(spark):
+    cells = spark.createDataFrame([("p", 1, 0, "a"), ("p", 1, 2, "b"), ("p", 1, 5, "x"), ("p", 2, 2, "c")],
+                                  "path string, row_idx int, col_idx int, value string")
+    mapping = {"first": 0, "third": 2}
+    a = grid.records_from_cells(cells, mapping, ["first", "third"], "path")
+    b = grid.records_from_cells(cells, grid.layout_columns(spark, mapping), ["first", "third"], "path")
+    rows = lambda df: sorted(tuple(r) for r in df.select("path", "row_idx", "first", "third").collect())
+    assert rows(a) == rows(b) == [("p", 1, "a", "b"), ("p", 2, None, "c")]
