@@ -130,18 +130,23 @@ def check_anchors(cells: DataFrame, anchors: Sequence[tuple[int, int, str]], rep
     """Every (report, anchor) whose cell text differs from the expected text.
 
     ``reason`` is ``missing_row`` when the report is too short to hold the
-    anchor row, else ``mismatch`` (an empty cell counts as a mismatch). The
-    anchor list is configuration; each report gets one row per anchor by a
-    generator, then one left join to the cells.
+    anchor row, else ``mismatch`` (an empty cell counts as a mismatch). One
+    aggregation per report computes its last row and the text at every anchor
+    position (the anchor list is configuration, so this is a fixed number of
+    conditional aggregates - partial aggregation, no join); the anchors are
+    then unpacked into rows.
     """
     report = _list(report)
-    lits = F.array(*[F.struct(F.lit(int(r)).alias("anchor_row"), F.lit(int(c)).alias("anchor_col"),
-                              F.lit(t).alias("expected")) for r, c, t in anchors])
-    wanted = report_extent(cells, report, row).select(*report, "last_row", F.inline(lits))
-    actual = cells.select(*report, F.col(row).alias("anchor_row"), F.col("col_idx").alias("anchor_col"),
-                          F.col("value").alias("actual"))
-    joined = wanted.join(actual, report + ["anchor_row", "anchor_col"], "left")
-    return (joined.filter(~F.col("actual").eqNullSafe(F.col("expected")))
+    r, c = F.col(row), F.col("col_idx")
+    aggs = [F.max(row).alias("last_row")] + [
+        F.max(F.when((r == int(ar)) & (c == int(ac)), F.col("value"))).alias(f"_anchor{i}")
+        for i, (ar, ac, _) in enumerate(anchors)]
+    per_report = cells.groupBy(*report).agg(*aggs)
+    unpacked = F.array(*[F.struct(F.lit(int(ar)).alias("anchor_row"), F.lit(int(ac)).alias("anchor_col"),
+                                  F.lit(t).alias("expected"), F.col(f"_anchor{i}").alias("actual"))
+                         for i, (ar, ac, t) in enumerate(anchors)])
+    checked = per_report.select(*report, "last_row", F.inline(unpacked))
+    return (checked.filter(~F.col("actual").eqNullSafe(F.col("expected")))
             .select(*report, "anchor_row", "anchor_col", "expected", "actual",
                     F.when(F.col("last_row") < F.col("anchor_row"), F.lit("missing_row"))
                     .otherwise(F.lit("mismatch")).alias("reason")))
