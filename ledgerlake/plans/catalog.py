@@ -482,6 +482,30 @@ def ingest_status_by_part(spark, d):
     return ingest_status(parts, latest, known, "p_partkey")
 
 
+# Which operator-inventory lines each query exercises.
+COVERS: dict[str, tuple[str, ...]] = {
+    "grid_slice": ("B1", "B4"), "grid_to_records": ("B2", "H2"), "hierarchy_tag": ("B3", "C8", "G1"),
+    "row_extent": ("B14",), "anchor_check": ("B13", "C7", "I25", "K2", "K3"),
+    "wide_to_long": ("B10", "H1"), "hierarchy_rollup": ("B11", "D19"), "leaf_vs_naive_sum": ("B9", "D7", "D18"),
+    "share_of_total": ("C9", "I3"), "rollup_reconcile": ("D8", "K11"), "ratio_null_on_zero": ("I1", "I2"),
+    "era_date_parse": ("B7", "I9"), "fiscal_calendar": ("I10", "I11", "I12", "I13"),
+    "conformed_dates": ("G2", "I14", "I15"), "strict_cast": ("I6", "I7"), "bool_parse": ("I8",),
+    "whitespace_profile": ("D15", "I4"), "listing_links": ("I19",), "page_has_file_link": ("B12",),
+    "resolve_relative_url": ("I18",), "download_args": ("I17",), "prefix_count": ("B5", "D12", "I23"),
+    "latest_per_key": ("A4", "D1", "D2", "F1"), "dim_last_wins": ("D4",), "first_wins": ("D5",),
+    "distinct_levels": ("D17", "G3"), "first_last_row": ("F4",), "high_water_mark": ("D3", "J1", "J2"),
+    "content_hash_dedup": ("I20", "J3"), "hash_already_known": ("C5",), "surrogate_keys": ("E1",),
+    "customer_keys": ("E1",), "resolve_fact_keys": ("C1", "C4"), "insert_if_absent": ("C3", "J5", "J6"),
+    "parent_key_lookup": ("C2", "I5", "K9"), "star_join_leaf_sum": ("C6",),
+    "manifest_entries": ("A9", "B8", "C11", "I16", "I21"), "table_row_counts": ("A12", "D6"),
+    "key_profile": ("D9", "K6"), "measure_profile": ("D10", "D11"), "density_classify": ("D13", "D14", "F3", "I22"),
+    "density_summary": ("D14",), "negative_positions": ("D11",), "dirty_text_nodes": ("D15", "I4"),
+    "not_null_violations": ("K6",), "unique_violations": ("K5",), "functional_dependency": ("D16",),
+    "fk_violations": ("C10", "K7"), "check_violations": ("K8", "K10"), "pattern_violations": ("K12",),
+    "ingest_status_by_part": ("J7",),
+}
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -18,8 +18,9 @@ def con():
     return duck_connection(SF_DIR)
 
 
-def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(SQL)
+def test_every_query_has_an_oracle_and_inventory_lines():
+    from ledgerlake.plans.catalog import COVERS
+    assert set(entry.queries()) == set(SQL) == set(COVERS)
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
