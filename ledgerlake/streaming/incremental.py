@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import calendar as cal
 from ..functions import web
 from ..operators import joins
 from ..plans import reports
@@ -136,8 +137,11 @@ class IncrementalIngest:
                     pass
                 raw.write.mode("append").partitionBy("source").parquet(self.raw_path)
             wh = Warehouse(spark, self.warehouse_root)
-            reports.run_reports(wh, new.select("path", F.col("payload").alias("content")), None,
-                                fresh, lambda fs, sheet: workbook.cells_from_binary(fs, sheets=[sheet]))
+            # Reports are keyed by their canonical, date-derived file name (the same
+            # name the manifest entry records), whatever the landed file was called.
+            landed = new.select(cal.report_file_name("report_date").alias("path"), F.col("payload").alias("content"))
+            reports.run_reports(wh, landed, None, fresh,
+                                lambda fs, sheet: workbook.cells_from_binary(fs, sheets=[sheet]))
             # Replays must not duplicate lineage: only hashes not yet in the manifest are appended.
             fresh = fresh.join(entries.select("sha256"), "sha256", "left_anti")
             manifest.append_entries(fresh, self.manifest_path)

@@ -49,12 +49,16 @@ def test_stream_ingest_new_duplicate_late_and_replay(spark, scratch):
     assert entries.count() == 3
     assert entries.filter(F.col("report_date") == "2026-07-24").first().local_path == "raw/cgd/2026_07_24.xlsx"
 
+    write(f"{scratch}/landing/report_2026_07_31.xlsx", _book("31"))   # date inside a longer name
+    assert _statuses(ing.run()) == {"report_2026_07_31.xlsx": "new"}
+    assert wh.read("fact_disbursement").count() == 216
+
     # Replay the whole landing zone with a fresh checkpoint: nothing is loaded twice.
     again = _statuses(_ingest(spark, scratch, ckpt="ckpt2").run())
     assert again["2026_07_10.xlsx"] == "duplicate" and again["2026_07_24.xlsx"] == "duplicate"
-    assert wh.read("fact_disbursement").count() == 144
-    assert manifest.read_manifest_table(spark, f"{scratch}/manifest").count() == 3
+    assert wh.read("fact_disbursement").count() == 216
+    assert manifest.read_manifest_table(spark, f"{scratch}/manifest").count() == 4
     raw = spark.read.parquet(f"{scratch}/raw")
-    assert raw.count() == 2 and raw.select("source").distinct().first().source == "CGD"
+    assert raw.count() == 3 and raw.select("source").distinct().first().source == "CGD"
     per_source = status_by_source(spark.read.parquet(f"{scratch}/status")).collect()
     assert {r.status for r in per_source} <= {"new", "failed", "duplicate", "nothing_new"}
