@@ -182,7 +182,8 @@ def fiscal_calendar(spark, d):
 
 @query
 def conformed_dates(spark, d):
-    dates = _t(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("report_date"))
+    # Years come from the distinct dates, so both branches share one scan and shuffle.
+    dates = _t(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("report_date")).distinct()
     years = dates.select(cal.fiscal_year_be("report_date").alias("fiscal_year_be"))
     return build_dim_date(dates, years)
 
