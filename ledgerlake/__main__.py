@@ -2,6 +2,7 @@
 
     load    validate, extract, clean and load report files into the warehouse
     ingest  process newly landed files once (AvailableNow stream) and print their status
+    check   is there a newer report? (saved listing pages + manifest -> status, download URL)
     counts  row count of every warehouse table
 """
 
@@ -55,6 +56,20 @@ def cmd_ingest(args) -> int:
     return 1 if any(r.status == "failed" for r in status) else 0
 
 
+def cmd_check(args) -> int:
+    from pyspark.sql import functions as F
+
+    from .streaming.check import check_listings, listing_config
+    spark = _session()
+    pages = (spark.read.text(args.pages, wholetext=True)
+             .select(F.lit(args.source).alias("source"), F.col("value").alias("html")))
+    cfg = listing_config(spark, {args.source: (args.prefix, args.base_url)})
+    rows = check_listings(pages, _entries(spark, args.manifest), cfg).collect()
+    for r in rows:
+        print(f"{r.source}: {r.status} {r.report_date or ''} {r.download_url or r.reason or ''}")
+    return 1 if any(r.status == "failed" for r in rows) else 0
+
+
 def cmd_counts(args) -> int:
     spark = _session()
     for r in Warehouse(spark, args.warehouse).row_counts().collect():
@@ -79,6 +94,13 @@ def main(argv=None) -> int:
     ing.add_argument("--checkpoint", required=True, help="stream progress folder on shared storage")
     ing.add_argument("--raw", help="raw zone table for the unwrapped payloads")
     ing.set_defaults(fn=cmd_ingest)
+    chk = sub.add_parser("check", help="is there a newer report on the saved listing pages?")
+    chk.add_argument("--pages", required=True, help="saved listing page(s), one HTML document per file")
+    chk.add_argument("--manifest", required=True)
+    chk.add_argument("--source", default="CGD")
+    chk.add_argument("--prefix", required=True, help="title prefix of report rows")
+    chk.add_argument("--base-url", required=True, help="site root the download links are relative to")
+    chk.set_defaults(fn=cmd_check)
     cnt = sub.add_parser("counts", help="row count of every warehouse table")
     cnt.add_argument("--warehouse", required=True)
     cnt.set_defaults(fn=cmd_counts)

@@ -25,3 +25,17 @@ def test_load_and_counts_commands(spark, scratch, capsys):
     assert main(["counts", "--warehouse", f"{scratch}/wh"]) == 0
     out = capsys.readouterr().out
     assert "fact_workforce_summary: 25 rows" in out and "dim_ministry: 24 rows" in out
+
+
+def test_check_command(spark, scratch, capsys):
+    from test_listing import PREFIX, _page, _row
+    write(f"{scratch}/pages/listing.html", _page([_row("30/06/2569", 1), _row("03/07/2569", 1438191564296)])
+          .encode("utf-8"))
+    doc = {"files": [{"source": "CGD", "source_url": "https://example.org", "local_path": "raw/cgd/2026_06_30.xlsx",
+                      "report_date": "2026-06-30", "sha256": "h"}]}
+    with open(f"{scratch}/manifest.json", "w", encoding="utf-8") as f:
+        json.dump(doc, f)
+    code = main(["check", "--pages", f"{scratch}/pages", "--manifest", f"{scratch}/manifest.json",
+                 "--prefix", PREFIX, "--base-url", "https://www.cgd.go.th"])
+    out = capsys.readouterr().out
+    assert code == 0 and "CGD: new 2026-07-03 https://www.cgd.go.th/cs/Satellite?" in out
