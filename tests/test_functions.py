@@ -84,3 +84,21 @@ def test_file_link_predicate(spark):
 def test_sha256_matches_hashlib(spark):
     import hashlib
     assert _one(spark, web.sha256_hex, "ข้อความ") == hashlib.sha256("ข้อความ".encode()).hexdigest()
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 32), st.integers(0, 13), st.integers(2400, 2700)), min_size=20, max_size=60))
+def test_era_date_matches_python_rule(spark, triples):
+    def expected(d, m, y):
+        try:
+            return dt.date(y - 543, m, d)
+        except ValueError:
+            return None
+    texts = [f"{d:02d}/{m:02d}/{y}" for d, m, y in triples]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    got = [r.o for r in df.select(cal.parse_era_date("v").alias("o")).collect()]
+    assert got == [expected(d, m, y) for d, m, y in triples]
