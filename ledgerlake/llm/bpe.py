@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS = 128           # documents that a task holds encoded at once
-PIECES = 400_000     # encoded pieces that a task remembers; beyond, it starts anew
+PIECES = 400_000     # encoded pieces that a worker remembers (frequent ones come early)
 PAIRS = 2_000_000    # remembered adjacency decisions
 
 
@@ -107,13 +107,11 @@ class Codec:
 
     def encode(self, text: str | None) -> list[int]:
         pieces, out = self.pieces, []
-        if len(pieces) > PIECES:
-            pieces.clear()
         for piece in self.split_text(text or ""):
             ids = pieces.get(piece)
             if ids is None:
                 ids = self.encode_piece(piece)
-                if len(piece) < 64:
+                if len(piece) < 64 and len(pieces) < PIECES:
                     pieces[piece] = ids
             out += ids
         return out

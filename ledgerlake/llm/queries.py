@@ -9,8 +9,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, quality_rules, shards
+from ledgerlake.llm import bpe, html_text, quality_rules, secrets_scan, shards
 from ledgerlake.llm.store import read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -22,17 +23,34 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(done, ["doc_id"])
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = html_text.extract(spark, read(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return done.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard(spark, read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and digest from the spans that the combined automaton finds."""
+    found = secrets_scan.find(read(spark, sf_dir, "documents", "doc_id", "text"), keep=["doc_id"])
+    kinds = [r.kind for r in secrets_scan.BASE]
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    return found.select("doc_id", *map(count, kinds), F.sha2(secrets_scan.listing(base), 256).alias("base_sha256"),
+                        secrets_scan.listing(F.col("spans")).alias("spans"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(spark, read(spark, sf_dir, "documents", "doc_id", "text", "source"), ["doc_id"])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_html_extraction": op2_html_extraction,
     "op6_sampled_splitters": op6_sampled_splitters,
+    "op7_secret_scan": op7_secret_scan,
     "op8_quality_rules": op8_quality_rules,
 }
 
