@@ -26,9 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ROWS = 128           # documents that a task holds encoded at once
-PIECES = 400_000     # encoded pieces that a worker remembers (frequent ones come early)
-PAIRS = 2_000_000    # remembered adjacency decisions
+ROWS = 48            # documents that a task holds encoded at once
+PIECES = 150_000     # encoded pieces that a worker remembers (frequent ones come early)
+PAIRS = 300_000      # remembered adjacency decisions
 
 
 class Codec:
@@ -58,7 +58,7 @@ class Codec:
                     self.parts[i], self.joined[left, right] = (left, right), i
                     break
                 left = self.shorter.get(left)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.pieces: dict[str, list[int]] = {}
 
     def _adjacent(self, a: int, b: int) -> bool:
@@ -76,11 +76,12 @@ class Codec:
                 limit, b = b + 1, self.parts[b][0]
 
     def adjacent(self, a: int, b: int) -> bool:
-        known = self.pairs.get((a, b))
+        pair = a << 32 | b
+        known = self.pairs.get(pair)
         if known is None:
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            known = self.pairs[a, b] = self._adjacent(a, b)
+            known = self._adjacent(a, b)
+            if len(self.pairs) < PAIRS:
+                self.pairs[pair] = known
         return known
 
     def encode_piece(self, piece: str) -> list[int]:
