@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, html_text, quality_rules, secrets_scan, shards
+from ledgerlake.llm import bpe, html_text, near_dup, quality_rules, secrets_scan, shards
 from ledgerlake.llm.store import read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -28,6 +28,10 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.link(spark, read(spark, sf_dir, "documents", "doc_id", "text"), size=2)
+
+
 def op6_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard(spark, read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -49,6 +53,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_html_extraction": op2_html_extraction,
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op6_sampled_splitters": op6_sampled_splitters,
     "op7_secret_scan": op7_secret_scan,
     "op8_quality_rules": op8_quality_rules,
