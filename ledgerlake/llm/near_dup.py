@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import words
 from ledgerlake.llm.components import components
-from ledgerlake.llm.store import checkpointed
+from ledgerlake.llm.store import checkpointed, small_batches
 
 K = 128
 AGREE = 80
@@ -167,8 +167,8 @@ def _verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, doc_id: str,
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
                 left = [s for _, s in _sets(part, 2, size)]
                 right = [s for _, s in _sets(part, 3, size)]
                 keep = pa.array([similar(s, t) for s, t in zip(left, right, strict=True)], pa.bool_())
@@ -202,6 +202,7 @@ def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
 
 def link(spark: SparkSession, docs: DataFrame, size: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
+    small_batches(spark)
     found = checkpointed(spark, postings(docs, doc_id, text, size, rarity(docs, text, size)))
     lists = found.where(F.col("cls").isNotNull()).select(F.explode("keys").alias("v"), "cls", "n").distinct()
     lists = lists.withColumn("comp", F.col("cls"))

@@ -15,3 +15,9 @@ def checkpointed(spark: SparkSession, df: DataFrame) -> DataFrame:
 
 def read(spark: SparkSession, sf_dir: str, table: str, *cols: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*cols)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what a Python worker gets at once, however long the texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
