@@ -15,10 +15,14 @@ hash bucket. Inverted lists of those values generate the overlaps:
   in hash order. Two similar texts have many such pairs in common, unlike ones
   hardly any.
 
-A list links its classes to its least class only, then (where components still
-differ) to its greatest, and only for what is left all remaining pairs across
-components are tried: no list is expanded within a component. A union-sketch
-estimate drops hopeless pairs, and the full sets confirm each link.
+A list links its classes to its least class only. Where components still differ,
+the lists' most frequent classes become centres, and each class of such a list
+is compared with its centre. Classes near the centre are then compared among one
+another, across components and in blocks, by their few differences to it: their
+exact similarity follows from those. Pairs with a class far from the centre are
+few and tried one by one, if the triangle inequality allows a link. No list is
+expanded within a component. A union-sketch estimate drops hopeless pairs, and
+full sets decide on each link.
 
 Defined cases: null, empty and blank texts have an empty set and no links; a
 text with fewer words than a shingle is one shingle; repeated rows share a
@@ -39,6 +43,9 @@ from ledgerlake.llm.store import checkpointed, small_batches
 K = 128
 AGREE = 80
 THRESHOLD = (4, 5)         # 0.8, as a fraction of integers
+NEAR = 0.5                 # similarity to a centre from which differences to it are kept
+BLOCK = 1024               # classes that are compared at once
+BLOCK_BYTES = 4096         # of differences that count as one class more
 BUCKETS = 1 << 17          # of the rarity table, whatever the corpus
 BROADCAST_ROWS = 1_000_000  # ids (8 bytes each); beyond, a shuffle
 
@@ -139,12 +146,9 @@ def similar(s: np.ndarray, t: np.ndarray) -> bool:
     return common * den >= (len(s) + len(t) - common) * num
 
 
-def _verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
-    """The pairs (a, b) of classes that are similar by their full sets."""
-    need = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    one = found.join(need, "cls").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    spark = docs.sparkSession
-    one = checkpointed(spark, one)
+def _texts(need: DataFrame, found: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
+    """cls and one text of each class in ``need`` (cls)."""
+    one = checkpointed(docs.sparkSession, found.join(need, "cls").groupBy("cls").agg(F.min("doc_id").alias("doc_id")))
     if one.count() <= BROADCAST_ROWS:
         one = F.broadcast(one)
     at = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("text")).join(one, F.col("d").eqNullSafe(F.col("doc_id")))
@@ -159,9 +163,16 @@ def _verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, doc_id: str,
             yield batch.filter(pa.array(keep))
 
     sets = at.select("cls", "text")
-    if found.where(F.col("cls").isNotNull()).groupBy("doc_id").agg(F.count_distinct("cls").alias("c")).where("c > 1").limit(1).count():
+    several = found.where(F.col("cls").isNotNull()).groupBy("doc_id").agg(F.min("cls").alias("x"), F.max("cls").alias("y"))
+    if several.where("x <> y").limit(1).count():
         sets = sets.mapInArrow(own, "cls long, text string")
-    sets = sets.dropDuplicates(["cls"])
+    return sets.dropDuplicates(["cls"])
+
+
+def _verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
+    """The pairs (a, b) of classes that are similar by their full sets."""
+    need = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    sets = _texts(need, found, docs, doc_id, text, size)
     both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(sets.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -177,55 +188,154 @@ def _verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, doc_id: str,
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _sized(condition):
-    """Sets whose sizes alone allow the similarity."""
+def _possible(condition: str):
+    """Pairs whose set sizes allow the similarity."""
     num, den = THRESHOLD
-    return condition & (F.least("n_a", "n_b") * den >= F.greatest("n_a", "n_b") * num)
+    return F.expr(f"{condition} AND least(n_a, n_b) * {den} >= greatest(n_a, n_b) * {num}")
 
 
-def _star(lists: DataFrame, best) -> DataFrame:
-    """Pairs of each list's best (least or greatest) class with its other classes in other components."""
-    centre = lists.groupBy("v").agg(best(F.struct("cls", "n", "comp")).alias("c"), F.count("*").alias("k")).where("k > 1")
-    at = lists.join(centre.select("v", "c"), "v").where("comp <> c.comp")
-    at = at.select(F.least("cls", "c.cls").alias("a"), F.greatest("cls", "c.cls").alias("b"),
-                   F.col("n").alias("n_a"), F.col("c.n").alias("n_b"))
-    return at.where(_sized(F.lit(True))).select("a", "b").distinct()
+def _star(lists: DataFrame) -> DataFrame:
+    """Pairs of each list's least class with its other classes."""
+    centre = lists.groupBy("v").agg(F.min(F.struct("cls", "n")).alias("c"), F.count("*").alias("k")).where("k > 1")
+    at = lists.join(centre.select("v", "c"), "v").where("cls <> c.cls")
+    at = at.select(F.col("c.cls").alias("a"), F.col("cls").alias("b"), F.col("c.n").alias("n_a"), F.col("n").alias("n_b"))
+    return at.where(_possible("true")).select("a", "b").distinct()
 
 
 def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """The lists that hold classes of more than one component, with the present components."""
-    at = lists.drop("comp").join(labels.select(F.col("node").alias("cls"), "component"), "cls", "left")
-    at = at.withColumn("comp", F.coalesce("component", "cls")).drop("component")
-    mixed = at.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("v")
-    return at.join(mixed, "v").select("v", "cls", "n", "comp")
+    """v, cls, n, comp of the lists that hold classes of more than one component."""
+    at = _relabelled(lists, labels)
+    several = at.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("v")
+    return at.join(several, "v").select("v", "cls", "n", "comp")
+
+
+def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    at = rows.drop("comp").join(labels.select(F.col("node").alias("cls"), "component"), "cls", "left")
+    return at.withColumn("comp", F.coalesce("component", "cls")).drop("component")
+
+
+def _centred(lists: DataFrame) -> DataFrame:
+    """``lists`` with c, each list's centre: its class that is in the most lists."""
+    often = lists.groupBy("cls").agg(F.count("*").alias("often"))
+    centre = lists.select("v", "cls").join(often, "cls").groupBy("v").agg(F.max(F.struct("often", "cls")).alias("c"))
+    return lists.join(centre.select("v", F.col("c.cls").alias("c")), "v")
+
+
+def _differences(members: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """Of every (c, cls): n_c, n, j (similarity to c) and, where j is at least NEAR, how cls differs from c:
+    the bits of c's shingles that it lacks and the shingles that it has besides."""
+    at = members.join(texts.select(F.col("cls").alias("c"), F.col("text").alias("text_c")), "c")
+    at = at.join(texts.select("cls", "text"), "cls").select("c", "cls", "text_c", "text")
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
+                out = []
+                for (_, s), (_, t) in zip(_sets(part, 2, size), _sets(part, 3, size), strict=True):
+                    kept, old = np.isin(s, t, assume_unique=True), np.isin(t, s, assume_unique=True)
+                    o = int(old.sum())
+                    j = o / (len(s) + len(t) - o)
+                    near = j >= NEAR
+                    out.append((len(s), len(t), o, j, np.packbits(~kept).tobytes() if near else None, _signed(t[~old]) if near else None))
+                kinds = (pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.binary(), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), *(pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True))],
+                    names=["c", "cls", "n_c", "n", "o", "j", "lacks", "more"])
+
+    return at.mapInArrow(run, "c long, cls long, n_c int, n int, o int, j double, lacks binary, more array<long>")
+
+
+def _near_links(near: DataFrame) -> DataFrame:
+    """Links (a, b) across components between classes near one centre, from their differences to it.
+
+    Classes outside the centre's main component meet all others, in blocks; of a
+    class's links with one component one is returned.
+    """
+    # A class weighs one, or more if its differences are long: a block holds about BLOCK of weight.
+    near = near.withColumn("w", 1 + F.floor((F.octet_length("lacks") + 8 * F.size("more")) / BLOCK_BYTES))
+    comps = near.groupBy("c", "comp").agg(F.sum("w").alias("k"))
+    main = comps.groupBy("c").agg(F.max(F.struct("k", "comp")).alias("m"), F.sum("k").alias("all"), F.count("*").alias("comps"))
+    main = main.where("comps > 1").select("c", F.col("m.comp").alias("main"), F.col("m.k").alias("k"), "all")
+    at = near.join(main, "c").withColumn("rest", F.col("comp") != F.col("main"))
+    weight = F.when(F.col("rest"), F.col("all") - F.col("k")).otherwise(F.col("k"))
+    at = at.withColumn("block", F.pmod(F.xxhash64("cls"), F.ceil(weight / BLOCK)))
+    blocks = checkpointed(near.sparkSession, at.groupBy("c", "rest", "block").agg(
+        F.first("n_c").alias("n_c"), F.collect_list(F.struct("cls", "n", "comp", "lacks", "more")).alias("m")))
+    side = lambda x: blocks.select("c", "n_c", *(F.col(k).alias(f"{k}_{x}") for k in ("rest", "block", "m")))
+    both = side("x").where("rest_x").join(side("y").drop("n_c"), "c").where("NOT rest_y OR block_x <= block_y")
+
+    def run(batches):
+        num, den = THRESHOLD
+        for batch in batches:
+            for n_c, x, y in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                found = _block_links(n_c, x, y, num, den)
+                yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return both.select("n_c", "m_x", "m_y").mapInArrow(run, "a long, b long").distinct()
+
+
+def _block_links(n_c: int, x: list[dict], y: list[dict], num: int, den: int) -> set[tuple[int, int]]:
+    bits = [np.frombuffer(b"".join(m["lacks"] for m in side), np.uint8).reshape(len(side), -1) for side in (x, y)]
+    size = [np.array([m["n"] for m in side], np.int64) for side in (x, y)]
+    comp = [np.array([m["comp"] for m in side], np.int64) for side in (x, y)]
+    rows: list[dict[int, list[int]]] = [{}, {}]
+    for side, at in zip((x, y), rows, strict=True):
+        for i, m in enumerate(side):
+            for h in m["more"]:
+                at.setdefault(h, []).append(i)
+    common = np.zeros((len(x), len(y)), np.int64)  # shingles that both have and the centre lacks
+    for h, i in rows[0].items():
+        if h in rows[1]:
+            common[np.ix_(i, rows[1][h])] += 1
+    step = max(1, (1 << 24) // max(1, bits[1].size))
+    for i in range(0, len(x), step):
+        either = np.bitwise_count(bits[0][i:i + step, None, :] | bits[1][None]).sum(-1, dtype=np.int64)
+        common[i:i + step] += n_c - either
+    both = size[0][:, None] + size[1][None]
+    hit = (common * den >= (both - common) * num) & (comp[0][:, None] != comp[1][None])
+    found = set()
+    for i in np.flatnonzero(hit.any(1)):
+        at = np.flatnonzero(hit[i])
+        for j in at[np.unique(comp[1][at], return_index=True)[1]]:
+            found.add((min(x[i]["cls"], y[j]["cls"]), max(x[i]["cls"], y[j]["cls"])))
+    return found
+
+
+def _far_pairs(lists: DataFrame) -> DataFrame:
+    """Pairs of a list's classes in different components that are not both near its centre; their similarities to
+    the centre must be as close as the triangle inequality of Jaccard distances demands of a link."""
+    num, den = THRESHOLD
+    side = lambda x: lists.select("v", *(F.col(c).alias(f"{c}_{x}") for c in ("cls", "n", "comp", "j")))
+    at = side("a").join(side("b"), "v").where(_possible(
+        f"cls_a < cls_b AND comp_a <> comp_b AND least(j_a, j_b) < {NEAR} AND abs(j_a - j_b) <= {1 - num / den + 1e-9}"))
+    return at.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
 
 
 def link(spark: SparkSession, docs: DataFrame, size: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     small_batches(spark)
     found = checkpointed(spark, postings(docs, doc_id, text, size, rarity(docs, text, size)))
+    where = (found, docs, doc_id, text, size)
     lists = found.where(F.col("cls").isNotNull()).select(F.explode("keys").alias("v"), "cls", "n").distinct()
-    lists = lists.withColumn("comp", F.col("cls"))
-    pairs = checkpointed(spark, _star(lists, F.min))
-    links = checkpointed(spark, _verified(pairs, found, docs, doc_id, text, size))
+    tried = checkpointed(spark, _star(lists))
+    links = checkpointed(spark, _verified(tried, *where))
+    labels = components(spark, links)
     # Lists of two classes are settled; longer ones may hold further links.
     longer = lists.join(lists.groupBy("v").agg(F.count("*").alias("k")).where("k > 2").select("v"), "v")
+    longer = checkpointed(spark, _centred(_open(longer, labels)))
+    members = longer.select("c", "cls").distinct()
+    members = checkpointed(spark, _differences(members, _texts(members.select("cls").distinct(), *where), size))
+    num, den = THRESHOLD
+    links = links.union(members.where(f"c <> cls AND o * {den} >= (n + n_c - o) * {num}").select(
+        F.least("c", "cls").alias("a"), F.greatest("c", "cls").alias("b")))
+    labels = components(spark, links)
+    links = links.union(checkpointed(spark, _near_links(_relabelled(members.where(f"j >= {NEAR}"), labels))))
+    labels = components(spark, links)
+    longer = _relabelled(longer.join(members.select("c", "cls", "j"), ["c", "cls"]), labels)
+    rest = checkpointed(spark, _far_pairs(checkpointed(spark, longer)).join(tried, ["a", "b"], "left_anti"))
+    links = links.union(checkpointed(spark, _verified(rest, *where)))
     labels = components(spark, links)
-    longer = checkpointed(spark, _open(longer, labels))
-    tried = pairs
-    for last in (False, True):
-        if last:
-            a = longer.select("v", F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("comp").alias("comp_a"))
-            b = longer.select("v", F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
-            new = a.join(b, "v").where(_sized(F.expr("a < b AND comp_a <> comp_b"))).select("a", "b").distinct()
-        else:
-            new = _star(longer, F.max)
-        new = checkpointed(spark, new.join(tried, ["a", "b"], "left_anti"))
-        more = checkpointed(spark, _verified(new, found, docs, doc_id, text, size))
-        tried = tried.union(new)
-        links = links.union(more)
-        labels = components(spark, links)
-        longer = longer if last else checkpointed(spark, _open(longer, labels))
     return _labelled(found, labels)
 
 

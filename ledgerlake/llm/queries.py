@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, html_text, near_dup, quality_rules, secrets_scan, shards
+from ledgerlake.llm import bpe, decontam, html_text, near_dup, quality_rules, secrets_scan, shards
 from ledgerlake.llm.store import read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -50,6 +50,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(spark, read(spark, sf_dir, "documents", "doc_id", "text", "source"), ["doc_id"])
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(spark, read(spark, sf_dir, "documents", "doc_id", "text"),
+                                 read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_html_extraction": op2_html_extraction,
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_sampled_splitters": op6_sampled_splitters,
     "op7_secret_scan": op7_secret_scan,
     "op8_quality_rules": op8_quality_rules,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
 WS = r"[\x20\x09-\x0D]+"
