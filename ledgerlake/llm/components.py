@@ -20,7 +20,7 @@ def _large_star(links: DataFrame) -> DataFrame:
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b")
     near = _nearest(down)
     return near.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
         near.select("a", F.col("m").alias("b"))).where("a <> b").distinct()

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import words
 from ledgerlake.llm.components import components
-from ledgerlake.llm.store import checkpointed, small_batches
+from ledgerlake.llm.store import checkpointed, release, small_batches
 
 K = 128
 AGREE = 80
@@ -320,22 +320,31 @@ def link(spark: SparkSession, docs: DataFrame, size: int, doc_id: str = "doc_id"
     lists = found.where(F.col("cls").isNotNull()).select(F.explode("keys").alias("v"), "cls", "n").distinct()
     tried = checkpointed(spark, _star(lists))
     links = checkpointed(spark, _verified(tried, *where))
+    release(spark)
     labels = components(spark, links)
     # Lists of two classes are settled; longer ones may hold further links.
     longer = lists.join(lists.groupBy("v").agg(F.count("*").alias("k")).where("k > 2").select("v"), "v")
     longer = checkpointed(spark, _centred(_open(longer, labels)))
+    release(spark)
     members = longer.select("c", "cls").distinct()
     members = checkpointed(spark, _differences(members, _texts(members.select("cls").distinct(), *where), size))
     num, den = THRESHOLD
-    links = links.union(members.where(f"c <> cls AND o * {den} >= (n + n_c - o) * {num}").select(
+    linked = F.expr(f"o * {den} >= (n + n_c - o) * {num}")
+    links = links.union(members.where("c <> cls").where(linked).select(
         F.least("c", "cls").alias("a"), F.greatest("c", "cls").alias("b")))
-    labels = components(spark, links)
-    links = links.union(checkpointed(spark, _near_links(_relabelled(members.where(f"j >= {NEAR}"), labels))))
+    # What is linked to the centre is in the centre's component.
+    centres = labels.select(F.col("node").alias("c"), F.col("component").alias("comp_c"))
+    near = _relabelled(members.where(f"j >= {NEAR}"), labels).join(centres, "c", "left")
+    near = near.withColumn("comp", F.when(linked, F.coalesce("comp_c", "c")).otherwise(F.col("comp"))).drop("comp_c")
+    links = links.union(checkpointed(spark, _near_links(near)))
+    release(spark)
     labels = components(spark, links)
     longer = _relabelled(longer.join(members.select("c", "cls", "j"), ["c", "cls"]), labels)
     rest = checkpointed(spark, _far_pairs(checkpointed(spark, longer)).join(tried, ["a", "b"], "left_anti"))
-    links = links.union(checkpointed(spark, _verified(rest, *where)))
-    labels = components(spark, links)
+    more = checkpointed(spark, _verified(rest, *where))
+    release(spark)
+    if more.limit(1).count():
+        labels = components(spark, links.union(more))
     return _labelled(found, labels)
 
 

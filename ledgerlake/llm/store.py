@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.session import checkpoint_dir
@@ -21,3 +23,9 @@ def small_batches(spark: SparkSession) -> None:
     """Bounds what a Python worker gets at once, however long the texts are."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps now; it does so when the driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
