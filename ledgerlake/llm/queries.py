@@ -8,10 +8,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, decontam, html_text, near_dup, quality_rules, secrets_scan, shards
+from ledgerlake.llm import bpe, decontam, html_text, langid, mil, near_dup, quality_rules, secrets_scan, shards
 from ledgerlake.llm.store import read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -32,6 +32,16 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.link(spark, read(spark, sf_dir, "documents", "doc_id", "text"), size=2)
 
 
+def _remainder(doc_id: str, n: int) -> Column:
+    """CRC-32 of the id as text, modulo ``n`` (null: as the empty text)."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % n
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn("held_out", _remainder("doc_id", 3) == 1)
+    return langid.predict(spark, docs, ~F.col("held_out"), ["doc_id", "held_out"])
+
+
 def op6_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard(spark, read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -55,14 +65,22 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                                  read(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text").withColumn("held_out", _remainder("doc_id", 5) == 0)
+    found = mil.score(spark, docs, read(spark, sf_dir, "labels", "doc_id", "quality"), _remainder("doc_id", 5) != 0, ["doc_id", "held_out"])
+    return found.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_html_extraction": op2_html_extraction,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op5_language_id": op5_language_id,
     "op6_sampled_splitters": op6_sampled_splitters,
     "op7_secret_scan": op7_secret_scan,
     "op8_quality_rules": op8_quality_rules,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 WS = r"[\x20\x09-\x0D]+"
