@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, decontam, html_text, langid, mil, near_dup, quality_rules, secrets_scan, shards
+from ledgerlake.llm import bpe, decontam, html_text, langid, lm, mil, near_dup, quality_rules, secrets_scan, shards
 from ledgerlake.llm.store import read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -37,6 +37,11 @@ def _remainder(doc_id: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % n
 
 
+def op4_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn("held_out", _remainder("doc_id", 10) == 0)
+    return lm.score(spark, docs.withColumn("learn", ~F.col("held_out")), "learn", ["doc_id", "held_out"], label="lang")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn("held_out", _remainder("doc_id", 3) == 1)
     return langid.predict(spark, docs, ~F.col("held_out"), ["doc_id", "held_out"])
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_html_extraction": op2_html_extraction,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op4_context_mixing": op4_context_mixing,
     "op5_language_id": op5_language_id,
     "op6_sampled_splitters": op6_sampled_splitters,
     "op7_secret_scan": op7_secret_scan,
