@@ -16,19 +16,23 @@ from ._util import col
 # File extensions that make a link a downloadable report.
 FILE_LINK_EXTENSIONS = ("xlsx", "xls", "pdf", "zip", "doc", "docx")
 
-HREF_PATTERN = r'<a href="([^"]*)"'
+# An <a> tag's href in any place among its attributes, in double, single or no quotes.
+_ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*?"""
+HREF_PATTERN = rf"""(?is)<a\s(?:{_ATTRIBUTES}\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 HOST_PATTERN = r"^(https?://[^/]+)"
 
 
 def hrefs(html) -> Column:
-    """Every ``href`` of an ``<a href="...">`` tag, in page order."""
-    return F.regexp_extract_all(col(html), F.lit(HREF_PATTERN), 1)
+    """The ``href`` of every ``<a>`` tag, in page order, references decoded."""
+    tags = F.regexp_extract_all(col(html), F.lit(HREF_PATTERN), 0)
+    part = lambda t, i: F.regexp_extract(t, HREF_PATTERN, i)  # noqa: E731  (the other groups are empty)
+    return F.transform(tags, lambda t: decode_entities(F.concat(part(t, 1), part(t, 2), part(t, 3))))
 
 
 def has_file_link(html) -> Column:
     """Some link *contains* one of the file extensions (case-insensitive)."""
     ext = "|".join(FILE_LINK_EXTENSIONS)
-    return F.lower(col(html)).rlike(rf'<a href="[^"]*\.({ext})')
+    return F.exists(hrefs(html), lambda h: F.lower(h).rlike(rf"\.({ext})"))
 
 
 def call_arg(text, fn: str, n: int) -> Column:
@@ -36,9 +40,12 @@ def call_arg(text, fn: str, n: int) -> Column:
 
     NULL when the call is absent (``regexp_extract`` itself returns ``''``).
     """
-    skip = r"[^,)]*,\s*" * (n - 1)
-    pattern = rf"{re.escape(fn)}\(\s*{skip}['\"]?([^'\",)]*)['\"]?\s*[,)]"
-    return F.nullif(F.regexp_extract(col(text), pattern, 1), F.lit(""))
+    # An argument is a quoted string, which may hold commas and brackets, or bare.
+    argument = r"""(?:'[^']*'|"[^"]*"|[^'",()]*?)"""
+    skip = rf"{argument}\s*,\s*" * (n - 1)
+    pattern = rf"""{re.escape(fn)}\(\s*{skip}(?:'([^']*)'|"([^"]*)"|([^'",()]*?))\s*[,)]"""
+    c = col(text)
+    return F.nullif(F.concat(*[F.regexp_extract(c, pattern, i) for i in (1, 2, 3)]), F.lit(""))
 
 
 def site_root(url) -> Column:
@@ -50,7 +57,9 @@ def resolve_url(base_url, href) -> Column:
     """Absolute ``href`` passes through; a path is joined to the base URL's host."""
     h = col(href)
     path = F.when(h.startswith("/"), h).otherwise(F.concat(F.lit("/"), h))
-    return F.when(h.rlike(r"^https?://"), h).otherwise(F.concat(site_root(base_url), path))
+    scheme = F.regexp_extract(base_url if isinstance(base_url, Column) else col(base_url), r"^(https?:)", 1)
+    return (F.when(h.rlike(r"^https?://"), h).when(h.startswith("//"), F.concat(scheme, h))
+            .otherwise(F.concat(site_root(base_url), path)))
 
 
 def decode_entities(text) -> Column:
@@ -84,6 +93,6 @@ def base_name(path) -> Column:
     return F.element_at(F.split(col(path), "/"), -1)
 
 
-def preview(text, n: int = 60) -> Column:
-    """Display cut of a text (reports show the first ``n`` characters)."""
-    return F.substring(col(text), 1, n)
+def preview(text, n: int | None = None) -> Column:
+    """A text, cut to its first ``n`` characters only if the caller asks."""
+    return col(text) if n is None else F.substring(col(text), 1, n)

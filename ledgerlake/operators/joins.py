@@ -1,10 +1,9 @@
-"""Size-checked broadcast for joins of big facts to small lookups.
+"""Joins of big facts to per-key lookups, planned without running anything first.
 
-Lookups joined on a low-cardinality key (a status, a source, a ministry) must
-not be joined by shuffling the fact side on that key: a few reducers would
-receive everything. When the lookup is proven small (its row count, measured
-with a job that stops after ``max_rows + 1`` rows) it is broadcast; beyond
-that the planner's shuffle join is kept, with AQE splitting skewed partitions.
+The join stays lazy: Catalyst and AQE broadcast the lookup when its measured
+bytes allow, and AQE splits skewed partitions of a shuffled join. Only a caller
+that knows a key to be hot, where the lookup is an aggregate that AQE can't
+split against, asks for salting, with as many buckets as the heat needs.
 """
 
 from __future__ import annotations
@@ -13,47 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Rows of a lookup that may be broadcast (a few dozen MB at lookup row widths).
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
+def lookup_join(df: DataFrame, lookup: DataFrame, on, how: str = "inner", salt_buckets: int = 1) -> DataFrame:
+    """Join ``df`` to a per-key ``lookup`` (one row per key: extents, totals, known marks, dimension rows).
 
-def is_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    A plain count: partial counts per partition, one row each to the final
-    count. (``limit(n).count()`` would instead funnel up to ``n`` rows per
-    partition through a single-partition exchange.) Only the columns the
-    lookup needs are read; nothing is cached, so nothing can pile up in a
-    long-running session.
-    """
-    return df.count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when its size is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
-# Salt buckets for joins whose lookup is too big to broadcast.
-DEFAULT_SALT_BUCKETS = 16
-
-
-def lookup_join(df: DataFrame, lookup: DataFrame, on, how: str = "inner",
-                max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    """Join ``df`` to a per-key ``lookup`` (one row per key: extents, totals,
-    known marks, dimension rows), safe when one key holds a large share of ``df``.
-
-    A lookup proven small is broadcast and ``df`` is not shuffled at all.
-    Otherwise the join is salted: every ``df`` row gets a deterministic salt
-    (a hash of the row, so a retried task reproduces it) and the lookup is
-    replicated once per salt, so a hot key's rows spread over ``salt_buckets``
-    reducers instead of one. (AQE's skew-join split does not apply here: the
-    lookup is usually an aggregate, not a plain shuffle stage.)
+    With ``salt_buckets`` above 1 every ``df`` row gets a deterministic salt (a
+    hash of the row, so a retried task reproduces it) and the lookup is
+    replicated once per salt: a hot key's rows spread over that many reducers.
     """
     on = [on] if isinstance(on, str) else list(on)
-    if is_small(lookup, max_rows):
-        return df.join(F.broadcast(lookup), on, how)
     if salt_buckets <= 1:
         return df.join(lookup, on, how)
     hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]

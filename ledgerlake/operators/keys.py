@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 from .dedup import dedup
-from .joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join
+from .joins import lookup_join
 
 
 def _keys(keys) -> list[str]:
@@ -58,17 +58,15 @@ def assign_keys(candidates: DataFrame, nk, key_col: str,
 
 
 def resolve_key(df: DataFrame, dim: DataFrame, on, key: str, *, nullable: bool = False,
-                label: str | None = None, max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS
-                ) -> DataFrame:
+                label: str | None = None) -> DataFrame:
     """Add ``dim.key`` by joining on natural key(s) ``on``.
 
     ``nullable=False``: every row must resolve; an unresolved key fails the job
-    (``raise_error`` inside the plan - no extra pass over the data). A
-    dimension proven small is broadcast, so the fact side is never shuffled
-    on a low-cardinality natural key; a larger one is joined salted.
+    (``raise_error`` inside the plan - no extra pass over the data). The
+    planner broadcasts a dimension whose bytes allow it.
     """
     on = _keys(on)
-    out = lookup_join(df, dim.select(*on, key), on, "left", max_rows=max_broadcast_rows)
+    out = lookup_join(df, dim.select(*on, key), on, "left")
     if nullable:
         return out
     msg = F.concat(F.lit(f"unresolved {label or key} for "), F.concat_ws("|", *[F.col(c).cast("string") for c in on]))

@@ -78,15 +78,14 @@ def dirty_values_in_arrays(df: DataFrame, values: str, key=(), pos_col: str = "p
             .select(*_list(key), pos_col, value_col, strip(F.col(value_col)).alias("stripped")))
 
 
-def classify_density(df: DataFrame, report, order: str, text: str, *, sample_rows: int = 500,
-                     usable_min_rows: int = 2, preview_chars: int = 60) -> DataFrame:
-    """Per report, within its first ``sample_rows`` rows (by ``order``): rows that
-    hold text, ``sparse`` when at most ``usable_min_rows`` do, and a preview
-    of the first text. The sample is the operator (a cheap look at each
-    report); the top-``sample_rows`` filter runs map-side before the shuffle.
+def classify_density(df: DataFrame, report, order: str, text: str, *, sample_rows: int | None = None,
+                     usable_min_rows: int = 2, preview_chars: int | None = None) -> DataFrame:
+    """Per report: rows that hold text, ``sparse`` when at most
+    ``usable_min_rows`` do, and the first text (by ``order``). A caller may ask
+    for a look at the first ``sample_rows`` rows only, or for a cut text.
     """
     report = _list(report)
-    sampled = first_per_key(df, report, [F.col(order).asc()], k=sample_rows)
+    sampled = df if sample_rows is None else first_per_key(df, report, [F.col(order).asc()], k=sample_rows)
     has_data = F.coalesce(has_text(F.col(text)), F.lit(False))
     agg = sampled.groupBy(*report).agg(
         F.count_if(has_data).alias("rows_with_data"),
@@ -110,30 +109,29 @@ def holds_fd(df: DataFrame, lhs, rhs: str) -> DataFrame:
 
 def reconcile(stated: DataFrame, children: DataFrame, key, value: str, *, tolerance: float = 0.0,
               stated_col: str = "stated", children_col: str = "children") -> DataFrame:
-    """Stated subtotal vs the sum of its children, per key (inner on key)."""
+    """Stated subtotal vs the sum of its children, per key; a key that one side lacks does not match."""
     key = _list(key)
     kids = children.groupBy(*key).agg(F.sum(value).alias(children_col))
     st = stated.select(*key, F.col(value).alias(stated_col))
-    out = st.join(kids, key)
+    out = st.join(kids, key, "full")
     diff = F.abs(F.col(stated_col) - F.col(children_col))
     match: Column = (F.col(stated_col) == F.col(children_col)) if tolerance == 0 else (diff <= tolerance)
-    return out.withColumn("matches", match)
+    return out.withColumn("matches", F.coalesce(match, F.lit(False)))
 
 
-def classify_sheet_density(cells: DataFrame, inventory: DataFrame, *, sample_rows: int = 500,
-                           usable_min_rows: int = 2, preview_chars: int = 60) -> DataFrame:
-    """Per workbook sheet: rows holding at least one cell within the first
-    ``sample_rows`` rows, ``sparse`` when at most ``usable_min_rows`` do, and a
-    preview of the first text cell in reading order. Sheets without any cell
+def classify_sheet_density(cells: DataFrame, inventory: DataFrame, *, sample_rows: int | None = None,
+                           usable_min_rows: int = 2, preview_chars: int | None = None) -> DataFrame:
+    """Per workbook sheet: rows holding at least one cell (within the first
+    ``sample_rows`` rows, if given), ``sparse`` when at most ``usable_min_rows``
+    do, and the first cell of any type in reading order. Sheets without any cell
     (from the ``inventory``) are listed with 0 rows.
 
     The row filter reaches the scan; cells are first reduced to one row per
     sheet row (partial aggregation), then to one row per sheet.
     """
-    sample = cells.filter(F.col("row_idx") < sample_rows)
+    sample = cells if sample_rows is None else cells.filter(F.col("row_idx") < sample_rows)
     per_row = sample.groupBy("path", "sheet", "row_idx").agg(
-        F.min_by(F.when(F.col("num").isNull(), F.col("value")),
-                 F.when(F.col("num").isNull() & F.col("value").isNotNull(), F.col("col_idx"))).alias("_text"))
+        F.min_by("value", F.when(F.col("value").isNotNull(), F.col("col_idx"))).alias("_text"))
     per_sheet = per_row.groupBy("path", "sheet").agg(
         F.count(F.lit(1)).alias("rows_with_data"),
         F.min_by("_text", F.when(F.col("_text").isNotNull(), F.col("row_idx"))).alias("_first"))

@@ -34,7 +34,7 @@ EVENTS_PREVIOUS_LOAD_END = "2024-01-15 00:00:00"
 SHIPMENTS_PREVIOUS_LOAD_END = "2001-01-01 00:00:00"
 
 # The money groups of the order report (prefix, name, is_leaf).
-ORDER_GROUPS = (("F", "F", True), ("O", "O", True), ("total", "total", False))
+ORDER_GROUPS = (("F", "F", True), ("O", "O", True), ("P", "P", True), ("total", "total", False))
 
 # Section layout of a conversation "report" (level, first row, last row, parent row).
 CONVERSATION_SECTIONS = ((0, 0, 0, None), (1, 1, 1, 0), (2, 2, 3, 1), (1, 4, 4, 0), (2, 5, 7, 4))
@@ -47,11 +47,12 @@ def _t(spark, d, name):
 
 
 def _order_amounts_wide(spark, d) -> DataFrame:
-    o = _t(spark, d, "orders").filter(F.col("o_orderstatus").isin("F", "O"))
+    o = _t(spark, d, "orders")
     price = F.col("o_totalprice").cast("decimal(18,2)")
     return o.groupBy("o_custkey").agg(
         F.coalesce(F.sum(F.when(F.col("o_orderstatus") == "F", price)), F.lit(0)).cast("decimal(28,2)").alias("F_amount"),
         F.coalesce(F.sum(F.when(F.col("o_orderstatus") == "O", price)), F.lit(0)).cast("decimal(28,2)").alias("O_amount"),
+        F.coalesce(F.sum(F.when(F.col("o_orderstatus") == "P", price)), F.lit(0)).cast("decimal(28,2)").alias("P_amount"),
         F.sum(price).cast("decimal(28,2)").alias("total_amount"),
     )
 
@@ -224,7 +225,6 @@ def page_has_file_link(spark, d):
 @query
 def resolve_relative_url(spark, d):
     p = _t(spark, d, "pages").select("page_id", "url", F.explode(web.hrefs("html")).alias("href"))
-    p = p.filter(F.col("href").startswith("/") | F.col("href").startswith("http"))
     return p.select("page_id", "href", web.resolve_url("url", "href").alias("abs_url"))
 
 
@@ -553,10 +553,12 @@ WHERE c.value IS DISTINCT FROM w.expected""",
 WITH w AS (SELECT o_custkey,
   CAST(COALESCE(SUM(CASE WHEN o_orderstatus='F' THEN CAST(o_totalprice AS DECIMAL(18,2)) END),0) AS DECIMAL(28,2)) AS f_amt,
   CAST(COALESCE(SUM(CASE WHEN o_orderstatus='O' THEN CAST(o_totalprice AS DECIMAL(18,2)) END),0) AS DECIMAL(28,2)) AS o_amt,
+  CAST(COALESCE(SUM(CASE WHEN o_orderstatus='P' THEN CAST(o_totalprice AS DECIMAL(18,2)) END),0) AS DECIMAL(28,2)) AS p_amt,
   CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS t_amt
-  FROM orders WHERE o_orderstatus IN ('F','O') GROUP BY o_custkey)
+  FROM orders GROUP BY o_custkey)
 SELECT o_custkey, 'F' AS grp, true AS is_leaf, f_amt AS amount FROM w
 UNION ALL SELECT o_custkey, 'O', true, o_amt FROM w
+UNION ALL SELECT o_custkey, 'P', true, p_amt FROM w
 UNION ALL SELECT o_custkey, 'total', false, t_amt FROM w""",
     "hierarchy_rollup": """
 WITH leaf AS (SELECT r_name, n_name, COUNT(*) AS headcount FROM customer JOIN nation ON c_nationkey=n_nationkey
@@ -622,9 +624,9 @@ SELECT page_id, UNNEST(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href
 SELECT page_id, regexp_matches(lower(html), '<a href="[^"]*\.(xlsx|xls|pdf|zip|doc|docx)') AS has_file_link FROM pages""",
     "resolve_relative_url": """
 SELECT page_id, href, CASE WHEN regexp_matches(href, '^https?://') THEN href
+  WHEN href LIKE '//%' THEN regexp_extract(url, '^(https?:)', 1) || href
   ELSE regexp_extract(url, '^(https?://[^/]+)', 1) || CASE WHEN href LIKE '/%' THEN href ELSE '/' || href END END AS abs_url
-FROM (SELECT page_id, url, UNNEST(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages) x
-WHERE href LIKE '/%' OR href LIKE 'http%'""",
+FROM (SELECT page_id, url, UNNEST(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages) x""",
     "download_args": r"""
 SELECT page_id, NULLIF(regexp_extract(html, 'track\(\s*[''"]?([^''",)]*)[''"]?\s*[,)]', 1), '') AS target FROM pages""",
     "prefix_count": """
@@ -676,10 +678,10 @@ SELECT c.k AS category_key, p.k AS parent_category_key, cat.hierarchy_level
 FROM cat JOIN dim c ON c.category_name = cat.category_name LEFT JOIN dim p ON p.category_name = cat.parent_category""",
     "star_join_leaf_sum": """
 WITH f AS (SELECT o_custkey, o_orderstatus AS grp, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS amount
-  FROM orders WHERE o_orderstatus IN ('F','O') GROUP BY o_custkey, o_orderstatus
+  FROM orders GROUP BY o_custkey, o_orderstatus
   UNION ALL SELECT o_custkey, 'total', CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) FROM orders
-  WHERE o_orderstatus IN ('F','O') GROUP BY o_custkey),
-d(grp, is_leaf) AS (VALUES ('F', true), ('O', true), ('total', false))
+  GROUP BY o_custkey),
+d(grp, is_leaf) AS (VALUES ('F', true), ('O', true), ('P', true), ('total', false))
 SELECT c.c_nationkey, CAST(SUM(f.amount) AS DECIMAL(38,2)) AS leaf_amount FROM f JOIN d ON f.grp = d.grp
 JOIN customer c ON c.c_custkey = f.o_custkey WHERE d.is_leaf GROUP BY c.c_nationkey""",
     "manifest_entries": """
@@ -698,13 +700,13 @@ SELECT 'l_discount' AS col, COUNT(*) FILTER (WHERE l_discount = 0) AS zeros, COU
 UNION ALL SELECT 'l_tax', COUNT(*) FILTER (WHERE l_tax = 0), COUNT(*) FILTER (WHERE l_tax < 0), COUNT(*) FROM lineitem""",
     "density_classify": f"""
 WITH r AS (SELECT source, doc_id, text, ROW_NUMBER() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents),
-s AS (SELECT source, doc_id, text, length(regexp_replace(text, '^{_WS}+|{_WS}+$', '', 'g')) > 0 AS has_data FROM r WHERE rn <= 500)
+s AS (SELECT source, doc_id, text, length(regexp_replace(text, '^{_WS}+|{_WS}+$', '', 'g')) > 0 AS has_data FROM r)
 SELECT source, COUNT(*) FILTER (WHERE has_data) AS rows_with_data, COUNT(*) FILTER (WHERE has_data) <= 2 AS sparse,
-  SUBSTR(arg_min(text, doc_id) FILTER (WHERE has_data), 1, 60) AS first_cell_text FROM s GROUP BY source""",
+  arg_min(text, doc_id) FILTER (WHERE has_data) AS first_cell_text FROM s GROUP BY source""",
     "density_summary": f"""
 WITH r AS (SELECT source, doc_id, text, ROW_NUMBER() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents),
 c AS (SELECT source, COUNT(*) FILTER (WHERE length(regexp_replace(text, '^{_WS}+|{_WS}+$', '', 'g')) > 0) <= 2 AS sparse
-  FROM r WHERE rn <= 500 GROUP BY source)
+  FROM r GROUP BY source)
 SELECT COUNT(*) FILTER (WHERE NOT sparse) AS usable, COUNT(*) FILTER (WHERE sparse) AS sparse FROM c""",
     "negative_positions": """
 SELECT c_custkey AS row_key, 'c_acctbal' AS col, c_acctbal AS value FROM customer WHERE c_acctbal < 0

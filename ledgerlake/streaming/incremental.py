@@ -74,9 +74,17 @@ def classify_files(files: DataFrame, entries: DataFrame | None, source: str) ->
     f = (f.withColumn("hwm", hwm).withColumn("has_template", F.when(n_entries > 0, F.lit(True)))
          )
     f = joins.lookup_join(f, known, "sha256", "left")
+    # Only files that pass every other check compete; they are ranked without their payload.
     # Same bytes twice in one batch: the earliest date (then path) is the original.
-    first = F.row_number().over(Window.partitionBy("sha256").orderBy(F.col("report_date").asc_nulls_last(), "path"))
-    f = f.withColumn("_copy", F.when(F.col("sha256").isNotNull(), first > 1).otherwise(F.lit(False)))
+    passed = f.filter(F.col("unwrap_error").isNull() & F.col("report_date").isNotNull() & F.col("has_template").isNotNull()
+                      & F.col("known_hash").isNull() & (F.col("hwm").isNull() | (F.col("report_date") > F.col("hwm"))))
+    passed = passed.select("path", "sha256", "report_date")
+    original = passed.groupBy("sha256").agg(F.min(F.struct("report_date", "path")).alias("_o"))
+    # Two different reports of one date: the first path holds the date, the others fail with a status row.
+    holder = original.groupBy(F.col("_o.report_date").alias("report_date")).agg(F.min("_o.path").alias("_holder"))
+    ranked = passed.join(original, "sha256").join(holder, "report_date").select(
+        "path", (F.col("path") != F.col("_o.path")).alias("_copy"), (F.col("path") != F.col("_holder")).alias("_second"))
+    f = f.join(ranked, "path", "left")
     def outcome(status: str, reason):
         reason = F.lit(reason) if isinstance(reason, str) or reason is None else reason
         return F.struct(F.lit(status).alias("s"), reason.cast("string").alias("r"))
@@ -84,8 +92,9 @@ def classify_files(files: DataFrame, entries: DataFrame | None, source: str) ->
     status = (F.when(F.col("unwrap_error").isNotNull(), outcome(st.FAILED, F.col("unwrap_error")))
               .when(F.col("report_date").isNull(), outcome(st.FAILED, "no report date in file name"))
               .when(F.col("has_template").isNull(), outcome(st.FAILED, "no manifest entry to inherit"))
-              .when(F.coalesce(F.col("known_hash"), F.lit(False)) | F.col("_copy"),
+              .when(F.coalesce(F.col("known_hash"), F.col("_copy"), F.lit(False)),
                     outcome(st.DUPLICATE, "content already ingested"))
+              .when(F.coalesce(F.col("_second"), F.lit(False)), outcome(st.FAILED, "another landed file has this report date"))
               .when(F.col("hwm").isNotNull() & (F.col("report_date") <= F.col("hwm")),
                     outcome(st.NOTHING_NEW, "not newer than the known report"))
               .otherwise(outcome(st.NEW, None)))

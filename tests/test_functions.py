@@ -102,3 +102,19 @@ def test_era_date_matches_python_rule(spark, triples):
     df = spark.createDataFrame([(t,) for t in texts], "v string")
     got = [r.o for r in df.select(cal.parse_era_date("v").alias("o")).collect()]
     assert got == [expected(d, m, y) for d, m, y in triples]
+
+
+def test_links_in_any_attribute_order_and_quoting(spark):
+    html = """<a class='x' href='/f.xlsx'>a</a><A href=/g.pdf id=1><a class="" href="/h?x=1&amp;y=2">"""
+    assert _one(spark, web.hrefs, html) == ["/f.xlsx", "/g.pdf", "/h?x=1&y=2"]
+    assert _one(spark, web.has_file_link, "<a class='x' href='/f.xlsx'>") is True
+
+
+def test_call_argument_holds_commas_and_brackets(spark):
+    call = "openDownload('a,b', 2, '/cs/S?a=1,2(x)')"
+    assert _one(spark, lambda c: web.call_arg(c, "openDownload", 3), call) == "/cs/S?a=1,2(x)"
+    assert _one(spark, lambda c: web.call_arg(c, "openDownload", 1), call) == "a,b"
+
+
+def test_scheme_relative_link(spark):
+    assert _one(spark, lambda c: web.resolve_url(F.lit("https://h.org/a"), c), "//other.org/x") == "https://other.org/x"

@@ -62,3 +62,21 @@ def test_stream_ingest_new_duplicate_late_and_replay(spark, scratch):
     assert raw.count() == 3 and raw.select("source").distinct().first().source == "CGD"
     per_source = status_by_source(spark.read.parquet(f"{scratch}/status")).collect()
     assert {r.status for r in per_source} <= {"new", "failed", "duplicate", "nothing_new"}
+
+
+def test_late_copy_does_not_hide_a_new_report_and_same_dates_never_mix(spark, scratch):
+    ing = _ingest(spark, scratch)
+    ing.seed_manifest(manifest.entries_from_rows(spark, [
+        {"source": "CGD", "source_name_th": "CGD", "source_url": "https://example.org/list",
+         "local_path": "raw/cgd/2026_07_03.xlsx", "report_date": "2026-07-03", "sha256": "seed-hash"}]))
+    os.makedirs(f"{scratch}/landing/b")
+    write(f"{scratch}/landing/2026_07_01.xlsx", _book("10"))        # late, same bytes as the new report
+    write(f"{scratch}/landing/2026_07_10.xlsx", _book("10"))
+    write(f"{scratch}/landing/2026_07_17.xlsx", _book("17"))
+    write(f"{scratch}/landing/b/2026_07_17.xlsx", _book("17 again"))  # another report of the same date
+    rows = {r.path.split("/landing/")[1]: (r.status, r.reason) for r in ing.run().collect()}
+    assert rows["2026_07_01.xlsx"][0] == "nothing_new" and rows["2026_07_10.xlsx"][0] == "new"
+    assert rows["2026_07_17.xlsx"][0] == "new"
+    assert rows["b/2026_07_17.xlsx"] == ("failed", "another landed file has this report date")
+    assert Warehouse(spark, f"{scratch}/wh").read("fact_disbursement").count() == 144
+    assert manifest.read_manifest_table(spark, f"{scratch}/manifest").count() == 3

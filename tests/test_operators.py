@@ -69,11 +69,25 @@ def test_resolve_key_fails_on_unknown(spark):
     assert keys.resolve_key(facts, dim, "code", "k", nullable=True).filter("k IS NULL").count() == 1
 
 
-def test_broadcast_if_small(spark):
-    small = spark.range(10)
-    assert joins.is_small(small, 10) and not joins.is_small(small, 9)
-    plan = plan_text(spark.range(100).join(joins.broadcast_if_small(small, 10), "id"))
-    assert "Broadcast" in plan
+def test_lookup_join_runs_nothing_while_it_is_planned(spark):
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    out = joins.lookup_join(spark.range(100), spark.range(10).withColumn("v", F.col("id") * 2), "id")
+    assert set(tracker.getJobIdsForGroup(None)) == before
+    assert "BroadcastHashJoin" in plan_text(out) and out.count() == 10
+
+
+def test_reconcile_reports_keys_that_one_side_lacks(spark):
+    stated = spark.createDataFrame([("a", 3), ("b", 1), ("c", 5)], "k string, v long")
+    children = spark.createDataFrame([("a", 1), ("a", 2), ("b", 2), ("d", 4)], "k string, v long")
+    out = {r.k: r.matches for r in profile.reconcile(stated, children, "k", "v").collect()}
+    assert out == {"a": True, "b": False, "c": False, "d": False}
+
+
+def test_density_reads_whole_reports(spark):
+    df = spark.range(1200).select(F.lit("r").alias("rep"), "id", F.lit("x" * 100).alias("text"))
+    row = profile.classify_density(df, "rep", "id", "text").first()
+    assert row.rows_with_data == 1200 and row.first_cell_text == "x" * 100
 
 
 def test_rollup_levels_and_share(spark):
@@ -136,9 +150,9 @@ def test_sheet_density_and_latest_file(spark, scratch):
     d = {(r.path.rsplit("/", 1)[1], r.sheet): r for r in
          profile.classify_sheet_density(cells, workbook.sheet_inventory(files)).collect()}
     full = d[("2026_07_03.xlsx", "full")]
-    assert full.rows_with_data == 499 and full.sparse is False and full.first_cell_text == "title"
+    assert full.rows_with_data == 603 and full.sparse is False and full.first_cell_text == "title"
     assert d[("2026_07_03.xlsx", "empty")].rows_with_data == 0 and d[("2026_07_03.xlsx", "empty")].sparse
-    assert d[("2026_07_03.xlsx", "tiny")].sparse and d[("2026_07_03.xlsx", "tiny")].first_cell_text is None
+    assert d[("2026_07_03.xlsx", "tiny")].sparse and d[("2026_07_03.xlsx", "tiny")].first_cell_text == "1"
     assert workbook.latest_file(spark, f"{scratch}/raw").endswith("2026_07_10.xlsx")
     with pytest.raises(FileNotFoundError):
         workbook.latest_file(spark, f"{scratch}/raw", glob="*.none")

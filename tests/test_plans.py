@@ -24,9 +24,9 @@ def test_top1_per_key_limits_before_the_shuffle(spark):
     assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")
 
 
-def test_sample_per_report_limits_before_the_shuffle(spark):
+def test_density_is_one_partial_aggregation_without_a_window(spark):
     plan = _plan(spark, "density_classify")
-    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert "Window" not in plan and plan.count("Exchange") == 1 and "partial_" in plan
 
 
 def test_hash_grouping_is_partially_aggregated(spark):
