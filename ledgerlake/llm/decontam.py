@@ -1,6 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
-Texts are compared as tokens: lower-cased words without ASCII punctuation. Runs
+Texts are compared as tokens: words in lower case (of any script) without ASCII
+punctuation. Runs
 of ``MIN_MATCH`` tokens that a document shares with a benchmark item seed the
 comparison. A bit table of fixed size over the benchmark's runs lets each
 document drop what can't match (the few bits set by chance are settled by an
@@ -64,7 +65,7 @@ def items(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") ->
                 [batch.column(0), _lists([x.view(np.int64) for x in tokens], np.int64),
                  _lists([_runs(x).view(np.int64) for x in tokens], np.int64)], names=["item_id", "tokens", "runs"])
 
-    return benchmark.select(item_id, text).mapInArrow(run, f"item_id {kind}, tokens array<long>, runs array<long>")
+    return benchmark.select(item_id, F.lower(F.col(text))).mapInArrow(run, f"item_id {kind}, tokens array<long>, runs array<long>")
 
 
 def _table(bench: DataFrame) -> np.ndarray:
@@ -105,7 +106,7 @@ def shared_tokens(docs: DataFrame, table: np.ndarray, doc_id: str, text: str) ->
                 [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(np.array(keys, np.uint64).view(np.int64)),
                  _lists(places, np.int32), _lists(hashes, np.int64)], names=["doc_id", "key", "pos", "tok"])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
+    return docs.select(F.col(doc_id).alias("doc_id"), F.lower(F.col(text)).alias("text")).mapInArrow(
         run, f"doc_id {kind}, key long, pos array<int>, tok array<long>")
 
 
