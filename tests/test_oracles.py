@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from ledgerlake.plans import catalog
 from oracle_compare import compare, duck_connection
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-SQL = entry.oracle_sql()
+QUERIES, SQL = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,13 +20,13 @@ def con():
 
 
 def test_every_query_has_an_oracle_and_inventory_lines():
-    from ledgerlake.plans.catalog import COVERS
-    assert set(entry.queries()) == set(SQL) == set(COVERS)
+    assert set(QUERIES) == set(SQL) == set(catalog.COVERS)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    r = compare(spark, con, name, entry.queries()[name](spark, SF_DIR), SQL[name])
+    r = compare(spark, con, name, QUERIES[name](spark, SF_DIR), SQL[name])
     assert r["ok"], r
 
 
