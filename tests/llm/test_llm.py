@@ -229,3 +229,12 @@ def test_pipeline_small(spark, scratch):
     assert set(out) == {*range(20), 25}
     c = bpe.codec(PATH, PATTERN)
     assert c.decode(out[3].ids).decode() == texts[3] and c.decode(out[25].ids).decode().endswith("[SECRET]'")
+
+
+def test_quality_rules_equal_their_sql(spark):
+    from ledgerlake.llm import queries
+    from oracle_compare import compare, duck_connection
+
+    name, sf_dir = "op8_quality_rules", "/root/testdata/sf0.01"
+    r = compare(spark, duck_connection(sf_dir), name, queries.QUERIES[name](spark, sf_dir), queries.ORACLE_SQL[name])
+    assert r["ok"], r
