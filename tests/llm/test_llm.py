@@ -62,6 +62,24 @@ def test_html_main_text(spark):
     assert out[3] == "Head 3\nFish & chips 3\nMore text 3" and out[12] == "Body 12 one\na12\nb12" and out[99] == "" and out[98] == "open bold"
 
 
+@pytest.mark.parametrize("limit", [0, html_text.BROADCAST_ROWS])
+def test_html_templates_inside_articles(spark, limit):
+    """A box that recurs inside a host's articles goes; copies, near copies and the articles' own recurring paragraphs stay."""
+    r = random.Random(9)
+    page = lambda i, *parts: f"<body><p>Menu {i}</p><article><h1>Head {i}</h1>{''.join(parts)}</article></body>"
+    box, own = "<div class=x7><p>Read this too</p></div>", "<p>Yours truly, the editor</p>"
+    body = [f"<p>{prose(r, 20)}</p>" for _ in range(6)]
+    rows = [(i, "http://a.org/", page(i, f"<p>{prose(r, 30)}</p>", box, own if i < 12 else "", f"<p>{prose(r, 9)}</p>")) for i in range(40)]
+    rows += [(40, "http://a.org/", page(40, box, "<p>Short</p>")), (41, "http://c.org/", page(41, box, "<p>Other host</p>"))]
+    rows += [(i, "http://b.org/", page(i, *body[:i % 6], f"<p>changed {i}</p>", *body[i % 6 + 1:])) for i in range(100, 130)]
+    rows += [(i, "http://d.org/", page(0, *body)) for i in range(200, 220)]
+    out = {x.page_id: x.text for x in html_text.extract(
+        spark, spark.createDataFrame(rows, "page_id long, url string, html string"), broadcast_rows=limit).collect()}
+    whole = lambda i: re.sub("<[^>]+>", "", re.sub("</(p|h1)>", "\n", re.search("<article>(.*)</article>", {x[0]: x[2] for x in rows}[i])[1])).strip()
+    assert all(out[i] == whole(i).replace("Read this too\n", "") for i in range(41))
+    assert all(out[i] == whole(i) for i in [41, *range(100, 130), *range(200, 220)])
+
+
 def brute_components(texts, size):
     sets = []
     for t in texts:
