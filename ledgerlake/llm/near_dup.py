@@ -3,25 +3,27 @@
 One hash function orders all shingles; a text's sketch is its K least values.
 Texts with equal shingle sets form a class and are handled once. If two sets
 have a Jaccard similarity of ``THRESHOLD``, their sketches agree in at least
-``AGREE`` of K values (short of about one pair in a million at the threshold
-itself; above it, less), so among the (K - AGREE + 1) rarest values of each at
+``AGREE`` of K values (short of 1.4 pairs in a million at the threshold
+itself, one set inside the other; above it, less), so among the (K - AGREE + 1) rarest values of each at
 least one is shared, by the prefix-filter argument, whatever the order of
 rarity. Rarity comes from a table of fixed size that counts all sketch values by
-hash bucket. Inverted lists of those values generate the overlaps:
+hash bucket. Inverted lists of those values generate the overlaps: a class is
+posted under each of the rarest values of its sketch, K - AGREE + 1 of them if it
+has more than K shingles; below, the sketch is the whole set, and n - ceil(0.8 n)
++ 1 are exact (n - AGREE + 1, if more, for classes that may match a larger one).
 
-* classes of up to K shingles are posted under each of the rarest n - ceil(0.8 n)
-  + 1 values (exact: the sketch is the whole set);
-* classes of 0.8 K or more are posted under adjacent pairs of their rarest values
-  in hash order. Two similar texts have many such pairs in common, unlike ones
-  hardly any.
+A sketch is also kept as a bit table of ``SIGNATURE`` bits. The bits in which two
+tables differ are at most the values that the sketches don't share, so pairs
+with too many of them are dropped for certain, before their texts are read.
 
 A list links its classes to its least class only. Where components still differ,
 the lists' most frequent classes become centres, and each class of such a list
-is compared with its centre. Classes near the centre are then compared among one
-another, across components and in blocks, by their few differences to it: their
-exact similarity follows from those. Pairs with a class far from the centre are
-few and tried one by one, if the triangle inequality allows a link. No list is
-expanded within a component. A union-sketch estimate drops hopeless pairs, and
+whose signature is like its centre's is compared with it. Classes near the centre
+are then compared among one another, across components and in blocks, by their
+few differences to it: their exact similarity follows from those. Pairs with a
+class far from the centre are tried one by one: all that a list has across
+components meet, but only by their signatures; those that remain are few. No list
+is expanded within a component. A union-sketch estimate drops hopeless pairs, and
 full sets decide on each link.
 
 Defined cases: null, empty and blank texts have an empty set and no links; a
@@ -47,6 +49,8 @@ NEAR = 0.5                 # similarity to a centre from which differences to it
 BLOCK = 1024               # classes that are compared at once
 BLOCK_BYTES = 4096         # of differences that count as one class more
 BUCKETS = 1 << 17          # of the rarity table, whatever the corpus
+SIGNATURE = 512            # bits of a sketch's table
+LIKE = 144                 # differing bits from a centre up to which its texts are compared (unlike sketches: about 176)
 BROADCAST_ROWS = 1_000_000  # ids (8 bytes each); beyond, a shuffle
 
 
@@ -98,35 +102,43 @@ def keys(s: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return s
     sketch = s[:K]
     rare = np.lexsort((sketch, counts[(sketch % np.uint64(BUCKETS)).astype(np.int64)]))
-    out = []
+    size = len(sketch) - AGREE + 1
     if n <= K:
-        out.append(sketch[rare[:n - -(-n * THRESHOLD[0] // THRESHOLD[1]) + 1]])
-    if n * THRESHOLD[1] >= K * THRESHOLD[0]:
-        pre = np.sort(sketch[rare[:max(2, len(sketch) - AGREE + 1)]])
-        out.append(words.mixed(pre[:-1] * np.uint64(3) + words.mixed(pre[1:])))
-    return np.concatenate(out)
+        size = max(size, n - -(-n * THRESHOLD[0] // THRESHOLD[1]) + 1)
+    return sketch[rare[:size]]
+
+
+def signature(s: np.ndarray) -> np.ndarray:
+    """The bit table of a set's sketch, as 64-bit integers."""
+    table = np.zeros(SIGNATURE, np.uint8)
+    table[(words.mixed(s[:K]) % np.uint64(SIGNATURE)).astype(np.int64)] = 1
+    return np.packbits(table).view(np.int64)
 
 
 def postings(docs: DataFrame, doc_id: str, text: str, size: int, counts: np.ndarray) -> DataFrame:
-    """doc_id, n (set size), cls (class, null for an empty set) and keys of every row."""
+    """doc_id, n (set size), cls (class, null for an empty set), keys and bits (signature) of every row."""
     id_type = docs.schema[doc_id].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # fixed size
 
     def run(batches):
         for batch in batches:
-            n, cls, found = [], [], []
+            n, cls, found, bits = [], [], [], []
             for _, s in _sets(batch, 1, size):
                 n.append(len(s))
                 cls.append(_digest(s) if len(s) else None)
                 found.append(_signed(keys(s, shared.value)))
+                bits.append(signature(s))
             offsets = np.cumsum([0, *map(len, found)], dtype=np.int32)
             flat = np.concatenate(found) if found else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int32()), pa.array(cls, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "n", "cls", "keys"])
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1, dtype=np.int32) * (SIGNATURE // 64)),
+                                          pa.array(np.concatenate(bits) if bits else np.zeros(0, np.int64)))],
+                names=["doc_id", "n", "cls", "keys", "bits"])
 
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, f"doc_id {id_type}, n int, cls long, keys array<long>")
+        run, f"doc_id {id_type}, n int, cls long, keys array<long>, bits array<long>")
 
 
 def similar(s: np.ndarray, t: np.ndarray) -> bool:
@@ -194,6 +206,23 @@ def _possible(condition: str):
     return F.expr(f"{condition} AND least(n_a, n_b) * {den} >= greatest(n_a, n_b) * {num}")
 
 
+def _differing(a: str, b: str) -> str:
+    """In how many bits two signatures differ."""
+    return "(" + " + ".join(f"bit_count({a}[{i}] ^ {b}[{i}])" for i in range(SIGNATURE // 64)) + ")"
+
+
+def _alike(differing: str) -> str:
+    """Whether sketches that differ in so many bits at least can agree as the threshold demands."""
+    num, den = THRESHOLD
+    return f"{differing} <= least(n_a, {K}) + least(n_b, {K}) - 2 * least({AGREE}, (greatest(n_a, n_b) * {num} + {den - 1}) div {den})"
+
+
+def _hopeful(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that their signatures allow."""
+    side = lambda x: classes.select(F.col("cls").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", "bits")))
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(_alike(_differing("bits_a", "bits_b"))).select("a", "b")
+
+
 def _star(lists: DataFrame) -> DataFrame:
     """Pairs of each list's least class with its other classes."""
     centre = lists.groupBy("v").agg(F.min(F.struct("cls", "n")).alias("c"), F.count("*").alias("k")).where("k > 1")
@@ -202,11 +231,11 @@ def _star(lists: DataFrame) -> DataFrame:
     return at.where(_possible("true")).select("a", "b").distinct()
 
 
-def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """v, cls, n, comp of the lists that hold classes of more than one component."""
+def _open(lists: DataFrame, labels: DataFrame, *more: str) -> DataFrame:
+    """v, cls, n, comp and ``more`` of the lists that hold classes of more than one component."""
     at = _relabelled(lists, labels)
     several = at.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("v")
-    return at.join(several, "v").select("v", "cls", "n", "comp")
+    return at.join(several, "v").select("v", "cls", "n", "comp", *more)
 
 
 def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -304,11 +333,13 @@ def _block_links(n_c: int, x: list[dict], y: list[dict], num: int, den: int) ->
 
 def _far_pairs(lists: DataFrame) -> DataFrame:
     """Pairs of a list's classes in different components that are not both near its centre; their similarities to
-    the centre must be as close as the triangle inequality of Jaccard distances demands of a link."""
+    the centre (j; -1: not known, for unlike signatures) must be as close as the triangle inequality of Jaccard distances
+    demands of a link, and their signatures must allow it."""
     num, den = THRESHOLD
-    side = lambda x: lists.select("v", *(F.col(c).alias(f"{c}_{x}") for c in ("cls", "n", "comp", "j")))
+    side = lambda x: lists.select("v", *(F.col(c).alias(f"{c}_{x}") for c in ("cls", "n", "comp", "j", "bits")))
     at = side("a").join(side("b"), "v").where(_possible(
-        f"cls_a < cls_b AND comp_a <> comp_b AND least(j_a, j_b) < {NEAR} AND abs(j_a - j_b) <= {1 - num / den + 1e-9}"))
+        f"cls_a < cls_b AND comp_a <> comp_b AND least(j_a, j_b) < {NEAR} AND "
+        f"(least(j_a, j_b) < 0 OR abs(j_a - j_b) <= {1 - num / den + 1e-9}) AND {_alike(_differing('bits_a', 'bits_b'))}"))
     return at.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
 
 
@@ -318,7 +349,8 @@ def link(spark: SparkSession, docs: DataFrame, size: int, doc_id: str = "doc_id"
     found = checkpointed(spark, postings(docs, doc_id, text, size, rarity(docs, text, size)))
     where = (found, docs, doc_id, text, size)
     lists = found.where(F.col("cls").isNotNull()).select(F.explode("keys").alias("v"), "cls", "n").distinct()
-    tried = checkpointed(spark, _star(lists))
+    classes = found.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
+    tried = checkpointed(spark, _hopeful(_star(lists), classes))
     links = checkpointed(spark, _verified(tried, *where))
     release(spark)
     labels = components(spark, links)
@@ -326,7 +358,11 @@ def link(spark: SparkSession, docs: DataFrame, size: int, doc_id: str = "doc_id"
     longer = lists.join(lists.groupBy("v").agg(F.count("*").alias("k")).where("k > 2").select("v"), "v")
     longer = checkpointed(spark, _centred(_open(longer, labels)))
     release(spark)
-    members = longer.select("c", "cls").distinct()
+    centre = classes.select(F.col("cls").alias("c"), F.col("n").alias("n_c"), F.col("bits").alias("bits_c"))
+    differing = _differing("bits", "bits_c")
+    members = longer.select("c", "cls").distinct().join(classes, "cls").join(centre, "c").where(
+        f"{differing} <= IF(greatest(n, n_c) <= {K}, (n + n_c) div 3, {LIKE})").select("c", "cls")
+    members = checkpointed(spark, members)
     members = checkpointed(spark, _differences(members, _texts(members.select("cls").distinct(), *where), size))
     num, den = THRESHOLD
     linked = F.expr(f"o * {den} >= (n + n_c - o) * {num}")
@@ -339,7 +375,8 @@ def link(spark: SparkSession, docs: DataFrame, size: int, doc_id: str = "doc_id"
     links = links.union(checkpointed(spark, _near_links(near)))
     release(spark)
     labels = components(spark, links)
-    longer = _relabelled(longer.join(members.select("c", "cls", "j"), ["c", "cls"]), labels)
+    longer = longer.join(members.select("c", "cls", "j"), ["c", "cls"], "left").withColumn("j", F.coalesce("j", F.lit(-1.0)))
+    longer = _open(longer, labels, "j").join(classes.select("cls", "bits"), "cls")
     rest = checkpointed(spark, _far_pairs(checkpointed(spark, longer)).join(tried, ["a", "b"], "left_anti"))
     more = checkpointed(spark, _verified(rest, *where))
     release(spark)

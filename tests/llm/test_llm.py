@@ -113,6 +113,27 @@ def test_near_duplicates_equal_brute_force(spark, size):
     assert [x.kept for x in out] == [i == c for i, c in enumerate(root)]
 
 
+def test_long_texts_inside_one_another_share_a_key():
+    """J of 0.8, one set inside the other, its further shingles the rarest and the shared ones of random rarity."""
+    r = np.random.default_rng(11)
+    for _ in range(4000):
+        counts = r.integers(1 << 10, 1 << 30, near_dup.BUCKETS)
+        large = r.integers(0, 1 << 63, 1000, np.uint64)
+        counts[(large[800:] % np.uint64(near_dup.BUCKETS)).astype(np.int64)] = 1
+        s, t = np.sort(large[:800]), np.sort(large)
+        assert len(np.intersect1d(near_dup.keys(s, counts), near_dup.keys(t, counts)))
+
+
+def test_signatures_never_drop_similar_sketches():
+    r = np.random.default_rng(12)
+    for shared in (20, 80, 100, 128):
+        for _ in range(200):
+            both = r.integers(0, 1 << 63, 256 - shared, np.uint64)
+            a, b = both[:128], both[128 - shared:]
+            differing = np.bitwise_count((near_dup.signature(a) ^ near_dup.signature(b)).view(np.uint64)).sum()
+            assert differing <= 2 * (128 - shared) and (shared > 20 or differing > 2 * (128 - near_dup.AGREE))
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (200, 300), (300, 250), (5, 5)]
     out = {r.node: r.component for r in components.components(spark, spark.createDataFrame(chain, "a long, b long")).collect()}
