@@ -29,7 +29,7 @@ from ledgerlake.llm.store import checkpointed, small_batches
 MIN_MATCH = 5
 MIN_COVERAGE = 0.5
 BITS = 1 << 22              # of the seed table, whatever the benchmark
-BROADCAST_ROWS = 1_000_000  # ids; beyond, a shuffle
+BROADCAST_ROWS = 1_000_000  # texts' digests; beyond, a shuffle
 FIRST_LENGTH = 20           # of the search; longer matches raise it
 CUTS = np.zeros(256, bool)
 CUTS[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
@@ -203,8 +203,9 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, doc
 
 
 def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents (all columns) that no benchmark item contaminates."""
-    gone = checkpointed(spark, contaminated(spark, docs, benchmark, doc_id, text).select(F.col("doc_id").alias("__gone")).distinct())
+    """The documents (all columns) that no benchmark item contaminates; each row by its own text, whatever its id."""
+    at = docs.withColumn("__text", F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+    gone = checkpointed(spark, contaminated(spark, at, benchmark, "__text", text).select(F.col("doc_id").alias("__gone")).distinct())
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    return docs.join(gone, docs[doc_id].eqNullSafe(F.col("__gone")), "left_anti")
+    return at.join(gone, F.col("__text") == F.col("__gone"), "left_anti").drop("__text")

@@ -395,11 +395,17 @@ def _labelled(found: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, size: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows (all columns) with the least id of their group; a repeated id stays once."""
-    found = checkpointed(spark, link(spark, docs, size, doc_id, text))
+    """The rows (all columns) with the least id of their group, null ids last; a row that repeats id and text stays once.
+
+    Rows are told apart by id and text, so a null or repeated id takes no other text with it.
+    """
+    t = F.coalesce(F.col(text), F.lit(""))
+    row = F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"), F.xxhash64(t).alias("hash"), F.length(t).alias("length"))
+    at = docs.withColumn("__row", row)
+    found = checkpointed(spark, link(spark, at.select("__row", text), size, "__row", text))
     gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    left = docs.join(gone, docs[doc_id].eqNullSafe(F.col("__gone")), "left_anti")
+    left = at.join(gone, F.col("__row").eqNullSafe(F.col("__gone")), "left_anti")
     again = found.where("kept").groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1")
-    return left.dropDuplicates([doc_id]) if again.limit(1).count() else left
+    return (left.dropDuplicates(["__row"]) if again.limit(1).count() else left).drop("__row")

@@ -233,6 +233,23 @@ def test_decontamination_finds_reordered_passages(spark):
     assert decontam.contaminated(spark, docs(spark, texts), bench.limit(0)).count() == 0
 
 
+def test_only_copies_and_contaminated_rows_go(spark):
+    """Null and repeated ids take no other texts with them."""
+    r = random.Random(10)
+    t = [prose(r, 60, 5000) for _ in range(6)]
+    item = prose(r, 40, 3000, "q")
+    rows = [(1, t[0]), (None, t[0] + " end"), (None, t[1]), (None, t[2]), (None, t[2] + " end"), (7, t[3]), (7, t[4]), (7, t[4]), (9, t[3] + " end"), (None, None)]
+    out = near_dup.one_of_each(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    key = lambda x: (x[0] is None, x[0] or 0, x[1] or "")
+    third = [x for x in out if (x.text or "").startswith(t[2])]
+    assert len(third) == 1 and sorted(((x.doc_id, x.text) for x in out if x not in third), key=key) == sorted(
+        [(1, t[0]), (None, t[1]), (7, t[3]), (7, t[4]), (None, None)], key=key)
+    rows = [(None, t[0]), (None, f"{t[1]} {item}"), (5, t[2]), (5, item), (6, item), (None, None)]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    out = decontam.clean(spark, spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    assert sorted(((x.doc_id, x.text) for x in out), key=key) == sorted([(None, t[0]), (5, t[2]), (None, None)], key=key)
+
+
 def test_quality_classifier_held_out(spark):
     r = random.Random(7)
     good = [prose(r, r.randrange(30, 300)) for _ in range(200)]
