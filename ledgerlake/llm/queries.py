@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, decontam, html_text, langid, lm, mil, near_dup, quality_rules, secrets_scan, shards
+from ledgerlake.llm import bpe, decontam, html_text, langid, lm, mil, near_dup, phrases, quality_rules, secrets_scan, shards, va_file
 from ledgerlake.llm.store import read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -76,6 +76,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op11_va_file_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return va_file.cluster(spark, read(spark, sf_dir, "embeddings", "vec_id", "embedding")).drop("n_candidates")
+
+
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(spark, read(spark, sf_dir, "documents", "text", "lang"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_html_extraction": op2_html_extraction,
@@ -87,6 +95,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_va_file_clusters": op11_va_file_clusters,
+    "op13_phrase_mining": op13_phrase_mining,
 }
 
 WS = r"[\x20\x09-\x0D]+"
@@ -121,4 +131,61 @@ SELECT *, NOT base_failed AND n_words - n_line_words >= {quality_rules.MIN_WORDS
           AND n_words - n_line_words >= {quality_rules.MIN_SHARE} * n_words AS kept FROM base
 """
 
-ORACLE_SQL: dict[str, str] = {"op8_quality_rules": OP8_SQL}
+
+
+def _floor_div(a: str, b: str) -> str:
+    """Whole quotient rounded down, also of negative numbers."""
+    return f"(({a}) - ((({a}) % ({b})) + ({b})) % ({b})) // ({b})"
+
+
+def _op11_sql(k: int = 16, rounds: int = 3) -> str:
+    nearest = """near{i} AS MATERIALIZED (SELECT rid, c, dist FROM (
+    SELECT v.rid, m.c, sum((v.x - m.x) * (v.x - m.x))::BIGINT AS dist FROM x v JOIN cent{i} m USING (d) GROUP BY v.rid, m.c)
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY dist, c) = 1)"""
+    update = """cent{j} AS MATERIALIZED (SELECT o.c, o.d, coalesce(n.x, o.x) AS x FROM cent{i} o LEFT JOIN (
+    SELECT c, d, """ + _floor_div("sum(x)::HUGEINT", "count(*)::HUGEINT") + """ AS x FROM x JOIN near{i} USING (rid) GROUP BY c, d) n USING (c, d))"""
+    steps = [nearest.format(i=0)]
+    for i in range(rounds):
+        steps += [update.format(i=i, j=i + 1), nearest.format(i=i + 1)]
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda e: floor(64 * e::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: isfinite(e::DOUBLE))) = 64),
+x AS MATERIALIZED (SELECT rid, unnest(range(64)) AS d, unnest(v) AS x FROM kept),
+start AS (SELECT v, row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS c FROM kept QUALIFY c < {k}),
+cent0 AS MATERIALIZED (SELECT c, unnest(range(64)) AS d, unnest(v)::HUGEINT AS x FROM start),
+{", ".join(steps)},
+digest AS (SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY d)) AS h FROM cent{rounds} GROUP BY c)
+SELECT k.vec_id, n.c::INTEGER AS cluster, n.dist AS distance, (sum(n.dist) OVER (PARTITION BY n.c))::BIGINT AS cluster_inertia,
+       (sum(n.dist) OVER ())::BIGINT AS inertia, g.h AS centroid_sha256
+FROM near{rounds} n JOIN kept k USING (rid) JOIN digest g USING (c)
+"""
+
+
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+OP13_SQL = rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang,
+                       unnest(string_split_regex(translate(coalesce(text, ''), '{ALPHABET}', '{ALPHABET.lower()}'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces WHERE len(regexp_extract_all(p, '[^\x20\x09]+')) > 0),
+f1 AS MATERIALIZED (SELECT lang, p, count(*)::HUGEINT AS f FROM (SELECT lang, unnest(w) AS p FROM w) GROUP BY ALL),
+f2 AS MATERIALIZED (SELECT lang, w1, w2, count(*)::HUGEINT AS f FROM (
+  SELECT lang, unnest(w[:-2]) AS w1, unnest(w[2:]) AS w2 FROM w WHERE len(w) > 1) GROUP BY ALL),
+f3 AS MATERIALIZED (SELECT lang, w1, w2, w3, count(*)::HUGEINT AS f FROM (
+  SELECT lang, unnest(w[:-3]) AS w1, unnest(w[2:-2]) AS w2, unnest(w[3:]) AS w3 FROM w WHERE len(w) > 2) GROUP BY ALL HAVING f >= 10),
+over AS (SELECT lang, a, b, max(f) AS m FROM (SELECT lang, w1 AS a, w2 AS b, f FROM f3 UNION ALL SELECT lang, w2, w3, f FROM f3) GROUP BY ALL),
+s2 AS (SELECT t.lang, t.w1 || ' ' || t.w2 AS phrase, t.f AS a, x.f AS l, y.f AS r, 1000000 * t.f * t.f // (x.f * y.f) AS score
+       FROM f2 t JOIN f1 x ON x.lang = t.lang AND x.p = t.w1 JOIN f1 y ON y.lang = t.lang AND y.p = t.w2
+       LEFT JOIN over o ON o.lang = t.lang AND o.a = t.w1 AND o.b = t.w2 WHERE t.f >= 10 AND (o.m IS NULL OR 100 * o.m < 50 * t.f)),
+cut AS (SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3 AS phrase, t.f AS a, x.f AS l1, yz.f AS r1, xy.f AS l2, z.f AS r2,
+               1000000 * t.f * t.f // (x.f * yz.f) AS k1, 1000000 * t.f * t.f // (xy.f * z.f) AS k2
+        FROM f3 t JOIN f1 x ON x.lang = t.lang AND x.p = t.w1 JOIN f1 z ON z.lang = t.lang AND z.p = t.w3
+        JOIN f2 xy ON xy.lang = t.lang AND xy.w1 = t.w1 AND xy.w2 = t.w2 JOIN f2 yz ON yz.lang = t.lang AND yz.w1 = t.w2 AND yz.w2 = t.w3),
+s AS (SELECT * FROM s2 UNION ALL
+      SELECT lang, phrase, a, if(k1 <= k2, l1, l2), if(k1 <= k2, r1, r2), least(k1, k2) FROM cut),
+n AS (SELECT lang, sum(f) AS n FROM f1 GROUP BY lang)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase,
+       a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n.n::BIGINT AS n, score::BIGINT AS score
+FROM s JOIN n ON n.lang = s.lang QUALIFY rank <= 2000
+"""
+
+ORACLE_SQL: dict[str, str] = {"op8_quality_rules": OP8_SQL, "op11_va_file_clusters": _op11_sql(), "op13_phrase_mining": OP13_SQL}
