@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import words
-from ledgerlake.llm.store import checkpointed
+from ledgerlake.llm.store import checkpointed, within_small_batches
 
 MIN_COUNT = 10
 TOP = 2000
@@ -42,7 +42,7 @@ PERCENT = 50              # a phrase goes if a longer one has this share of its
 TILE = 256                # ids a side
 SIDE = 64                 # tiles a side that may be counted densely: the most frequent ids
 DENSE = TILE * TILE // 4  # pairs from which on a tile is
-TEXT = 4 << 20            # bytes of a language's text counted together
+TEXT = 2 << 20            # bytes of a language's text counted together
 BITS = 1 << 28            # of a bit table, at most
 CHUNK = 1 << 16           # bits of a table made by one group
 CUTS = np.zeros(256, bool)
@@ -256,18 +256,19 @@ def mine(spark: SparkSession, docs: DataFrame, lang: str = "lang", text: str = "
          top: int = TOP, percent: int = PERCENT) -> DataFrame:
     """lang, rank, phrase, a, l, r, n and score of each language's best ``top`` phrases."""
     docs = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
-    rehashed = np.zeros(0, np.uint64)
-    while True:
-        every = checkpointed(spark, vocabulary(docs, rehashed))
-        clash = [r["h1"] for r in every.groupBy("lang", "h1").agg(F.count("*").alias("c")).where("c > 1").select("h1").distinct().collect()]
-        if not clash:
-            break
-        rehashed = np.union1d(rehashed, np.array(clash, np.int64).view(np.uint64))
-    frequent = every.where(F.col("n") >= min_count)
-    found, tables = {1: frequent.drop("word")}, []
-    for size in range(2, max_words + 1):
-        tables.append(bit_table(found[size - 1], size - 1))
-        found[size] = checkpointed(spark, phrases(docs, size, tables, rehashed).where(F.col("n") >= min_count))
+    with within_small_batches(spark):
+        rehashed = np.zeros(0, np.uint64)
+        while True:
+            every = checkpointed(spark, vocabulary(docs, rehashed))
+            clash = [r["h1"] for r in every.groupBy("lang", "h1").agg(F.count("*").alias("c")).where("c > 1").select("h1").distinct().collect()]
+            if not clash:
+                break
+            rehashed = np.union1d(rehashed, np.array(clash, np.int64).view(np.uint64))
+        frequent = every.where(F.col("n") >= min_count)
+        found, tables = {1: frequent.drop("word")}, []
+        for size in range(2, max_words + 1):
+            tables.append(bit_table(found[size - 1], size - 1))
+            found[size] = checkpointed(spark, phrases(docs, size, tables, rehashed).where(F.col("n") >= min_count))
     none = F.lit(None).cast("long")
     best = None
     for size in range(2, max_words + 1):

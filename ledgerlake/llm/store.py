@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,19 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
 
 
+@contextmanager
+def within_small_batches(spark: SparkSession) -> Iterator[None]:
+    """``small_batches`` for the jobs run inside; the session's own settings hold again afterwards."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch")
+    own = {name: spark.conf.get(name, None) for name in names}
+    small_batches(spark)
+    try:
+        yield
+    finally:
+        for name, value in own.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def release(spark: SparkSession) -> None:
     """Lets Spark delete the shuffle files of finished steps now; it does so when the driver collects garbage."""
     gc.collect()
