@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, decontam, html_text, langid, lm, mil, near_dup, phrases, quality_rules, secrets_scan, shards, va_file
+from ledgerlake.llm import bpe, decontam, html_text, langid, lm, mil, near_dup, phrases, quality_rules, secrets_scan, shards, subword, va_file
 from ledgerlake.llm.store import read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -80,6 +80,12 @@ def op11_va_file_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return va_file.cluster(spark, read(spark, sf_dir, "embeddings", "vec_id", "embedding")).drop("n_candidates")
 
 
+def op12_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text").withColumn("held_out", _remainder("doc_id", 5) == 0)
+    found = subword.score(spark, docs, read(spark, sf_dir, "labels", "doc_id", "toxic"), _remainder("doc_id", 5) != 0, ["doc_id", "held_out"])
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.mine(spark, read(spark, sf_dir, "documents", "text", "lang"))
 
@@ -96,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_va_file_clusters": op11_va_file_clusters,
+    "op12_subword_toxicity": op12_subword_toxicity,
     "op13_phrase_mining": op13_phrase_mining,
 }
 
