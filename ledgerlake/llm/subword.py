@@ -39,8 +39,9 @@ SIZES = (3, 4, 5)
 BUCKETS = 1 << 18
 DIM = 8
 PASSAGE = 32
-TRAIN_DOCS = 8000        # the documented bounds of the training sample
+TRAIN_DOCS = 6000        # the documented bounds of the training sample
 TRAIN_BYTES = 1 << 15
+CHUNK = 1 << 15          # words whose bags are handled at once
 ID_ROWS = 4
 STEPS = 100
 RATE = 1.5
@@ -85,12 +86,18 @@ def passages(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def distinct_words(word: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Passage and number of every word of a passage, once each."""
     wide = int(word.max()) + 1 if len(word) else 1
-    key = np.unique(np.repeat(np.arange(len(size)), size) * wide + word)
+    key = np.repeat(np.arange(len(size)) * wide, size) + word
+    key.sort()
+    key = key[np.append(True, key[1:] != key[:-1])[:len(key)]]
     return (key // wide).astype(np.int32), (key % wide).astype(np.int32)
 
 
 def _bag_averages(by_bucket: np.ndarray, codes: np.ndarray, size: np.ndarray) -> np.ndarray:
-    return np.add.reduceat(by_bucket[codes], np.cumsum(size) - size) / size if len(size) else np.zeros(0, np.float32)
+    out, ends = np.zeros(len(size), np.float32), np.append(0, np.cumsum(size))
+    for a in range(0, len(size), CHUNK):
+        b = min(a + CHUNK, len(size))
+        out[a:b] = np.add.reduceat(by_bucket[codes[ends[a]:ends[b]]], ends[a:b] - ends[a])
+    return out / size
 
 
 class Sample:
@@ -112,7 +119,9 @@ class Sample:
             n += len(w.hashes)
         order = np.concatenate([np.zeros(0, np.uint64), *order])
         by_hash = np.argsort(order)
-        word = by_hash[np.searchsorted(order[by_hash], np.concatenate([order[:0], *hashes]))]
+        hashes = np.concatenate([order[:0], *hashes])
+        word = by_hash[np.searchsorted(order[by_hash], hashes)].astype(np.int32)
+        del hashes
         self.codes, self.sizes = np.concatenate([np.zeros(0, np.int32), *codes]), np.concatenate([np.zeros(0, np.int64), *sizes])
         self.text, start, size = passages(np.concatenate(firsts))
         self.passage, self.word = distinct_words(word, start, size)
@@ -139,10 +148,11 @@ class Sample:
     def back(self, slope: np.ndarray) -> np.ndarray:
         """The buckets' gradient, given that of the passages' logits."""
         by_word = np.bincount(self.word, slope[self.passage] / PASSAGE, len(self.sizes)) / self.sizes
-        used = np.flatnonzero(by_word)  # words of other passages have none
-        first, size = (np.cumsum(self.sizes) - self.sizes)[used], self.sizes[used]
-        at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        return np.bincount(self.codes[at], np.repeat(by_word[used], size), BUCKETS)
+        out, ends = np.zeros(BUCKETS), np.append(0, np.cumsum(self.sizes))
+        for a in range(0, len(self.sizes), CHUNK):
+            b = min(a + CHUNK, len(self.sizes))
+            out += np.bincount(self.codes[ends[a]:ends[b]], np.repeat(by_word[a:b], self.sizes[a:b]), BUCKETS)
+        return out
 
 
 class Model:
@@ -230,6 +240,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, doc_id: str,
     kind = pick.schema["_id"].dataType.simpleString()
     parts = own.select("_doc", "_text").mapInArrow(run, f"_id {kind}, x binary").join(F.broadcast(pick), "_id").collect()
     rows = sorted((r["_id"], r["y"], bytes(r["x"])) for r in parts)
+    del parts
     y = np.array([r[1] for r in rows])
     if len(set(y.tolist())) < 2:
         return Model(float(min(0.999, max(0.001, y.mean()))) if len(y) else 0.5)
