@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import scalars as sc
 from .joins import lookup_join
 
 
@@ -67,10 +68,40 @@ def slice_between_header_and_total(df: DataFrame, report, row: str = "row_idx",
             .drop("last_row"))
 
 
+def expected_rows(reports: DataFrame, report, ranges: Sequence[tuple], row: str = "row_idx") -> DataFrame:
+    """Every (report, row) a layout announces, whether the sheet holds it or not.
+
+    ``ranges`` are inclusive ``(first, last)`` pairs of integers or of columns of
+    ``reports`` (bounds per report); a pair whose last is below its first, or
+    NULL, announces nothing.
+    """
+    spans = []
+    for first, last in ranges:
+        a, b = (x if isinstance(x, Column) else F.lit(int(x)) for x in (first, last))
+        spans.append(F.when(a <= b, F.sequence(a.cast("long"), b.cast("long"))).otherwise(F.array().cast("array<long>")))
+    return reports.select(*_list(report), F.explode(F.array_distinct(F.flatten(F.array(*spans)))).alias(row))
+
+
+def missing_rows(reports: DataFrame, cells: DataFrame, report, ranges: Sequence[tuple], row: str = "row_idx") -> DataFrame:
+    """Announced rows of which the report holds no cell with a text (blank cells count as none).
+
+    The cells are reduced to distinct rows before the shuffle, so their number
+    per row (or a hot report's size) doesn't matter to the anti join.
+    """
+    keys = [*_list(report), row]
+    held = cells.filter(sc.blank_to_null("value").isNotNull()).select(*keys).distinct()
+    return expected_rows(reports, report, ranges, row).join(held, keys, "left_anti")
+
+
 def records_from_cells(cells: DataFrame, layout, fields: Sequence[str], report,
-                       row: str = "row_idx") -> DataFrame:
+                       row: str = "row_idx", rows: Sequence[tuple] | None = None) -> DataFrame:
     """Cells -> one record per report row with a column per layout field.
 
+    ``rows`` (inclusive ranges) makes the result dense: exactly those rows of
+    every report in ``cells``, a row without cells as a record of NULLs. The
+    announced rows join the cells' own aggregation as empty cells, so this
+    costs no further shuffle of the cells.
+
     ``layout`` is ``{field: col_idx}`` (configuration: the cells are filtered to
     the configured columns and pivoted directly on ``col_idx``, no join) or a
     layout DataFrame ``(col_idx, field)`` (joined as a broadcast). Either way the
@@ -78,12 +109,23 @@ def records_from_cells(cells: DataFrame, layout, fields: Sequence[str], report,
     explicit field list: one shuffle, partial aggregation.
     """
     report = _list(report)
+    if rows is not None:
+        inside = F.lit(False)
+        for first, last in rows:
+            inside = inside | F.col(row).between(int(first), int(last))
+        empty = expected_rows(cells.select(*report).distinct(), report, rows, row)
+        empty = empty.select(*report, F.col(row).cast(cells.schema[row].dataType).alias(row), F.lit(None).cast("int").alias("col_idx"),
+                             F.lit(None).cast("string").alias("value"))
     if isinstance(layout, DataFrame):
         picked = cells.join(F.broadcast(layout), "col_idx")
+        if rows is not None:
+            picked = picked.filter(inside).unionByName(empty.withColumn("field", F.lit(None).cast("string")), allowMissingColumns=True)
         return picked.groupBy(*report, row).agg(
             *[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f) for f in fields])
     wanted = {f: int(layout[f]) for f in fields}
     picked = cells.filter(F.col("col_idx").isin(sorted(set(wanted.values()))))
+    if rows is not None:
+        picked = picked.filter(inside).unionByName(empty, allowMissingColumns=True)
     return picked.groupBy(*report, row).agg(
         *[F.max(F.when(F.col("col_idx") == i, F.col("value"))).alias(f) for f, i in wanted.items()])
 

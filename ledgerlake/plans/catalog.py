@@ -38,6 +38,8 @@ ORDER_GROUPS = (("F", "F", True), ("O", "O", True), ("P", "P", True), ("total",
 
 # Section layout of a conversation "report" (level, first row, last row, parent row).
 CONVERSATION_SECTIONS = ((0, 0, 0, None), (1, 1, 1, 0), (2, 2, 3, 1), (1, 4, 4, 0), (2, 5, 7, 4))
+# Fixed value: shorter utterances are left out of the sheets of the missing-row queries.
+SPOKEN_LENGTH = 100
 # Header anchors every conversation must carry (row, col, text).
 CONVERSATION_ANCHORS = ((0, 0, "user"), (1, 0, "assistant"), (2, 0, "user"))
 
@@ -88,6 +90,25 @@ def grid_to_records(spark, d):
     return grid.records_from_cells(cells, {"speaker": 0, "utterance": 1}, ["speaker", "utterance"], "conv_id")
 
 
+def _spoken_cells(spark, d) -> DataFrame:
+    """Conversations as sheets in which short utterances were left out."""
+    said = _t(spark, d, "conversations").withColumn("text", F.when(F.length("text") >= SPOKEN_LENGTH, F.col("text")))
+    return grid.table_cells(said, "conv_id", "turn", ["text"])
+
+
+@query
+def missing_data_rows(spark, d):
+    reports = _t(spark, d, "conversations").select("conv_id").distinct()
+    ranges = [(first, last) for _, first, last, _ in CONVERSATION_SECTIONS]
+    return grid.missing_rows(reports, _spoken_cells(spark, d), "conv_id", ranges)
+
+
+@query
+def dense_records(spark, d):
+    return grid.records_from_cells(_spoken_cells(spark, d), {"utterance": 0}, ["utterance"], "conv_id",
+                                   rows=[(first, last) for _, first, last, _ in CONVERSATION_SECTIONS])
+
+
 @query
 def hierarchy_tag(spark, d):
     rows = _conversation_rows(spark, d).select("conv_id", "row_idx", F.col("role").alias("category_name"))
@@ -485,7 +506,8 @@ def ingest_status_by_part(spark, d):
 
 # Which operator-inventory lines each query exercises.
 COVERS: dict[str, tuple[str, ...]] = {
-    "grid_slice": ("B1", "B4"), "grid_to_records": ("B2", "H2"), "hierarchy_tag": ("B3", "C8", "G1"),
+    "grid_slice": ("B4",), "grid_to_records": ("B2", "H2"),
+    "missing_data_rows": ("K4",), "dense_records": ("B1", "B2", "H2"), "hierarchy_tag": ("B3", "C8", "G1"),
     "row_extent": ("B14",), "anchor_check": ("B13", "C7", "I25", "K2", "K3"),
     "wide_to_long": ("B10", "H1"), "hierarchy_rollup": ("B11", "D19"), "leaf_vs_naive_sum": ("B9", "D7", "D18"),
     "share_of_total": ("C9", "I3"), "rollup_reconcile": ("D8", "K11"), "ratio_null_on_zero": ("I1", "I2"),
@@ -528,6 +550,14 @@ layout(col_idx, field) AS (VALUES (0, 'speaker'), (1, 'utterance'))
 SELECT c.conv_id, c.row_idx, MAX(CASE WHEN l.field = 'speaker' THEN c.value END) AS speaker,
   MAX(CASE WHEN l.field = 'utterance' THEN c.value END) AS utterance
 FROM cells c JOIN layout l ON c.col_idx = l.col_idx GROUP BY c.conv_id, c.row_idx""",
+    "missing_data_rows": """
+WITH held AS (SELECT DISTINCT conv_id, turn FROM conversations WHERE length(text) >= 100)
+SELECT c.conv_id, r.range AS row_idx FROM (SELECT DISTINCT conv_id FROM conversations) c, range(8) r
+WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.conv_id = c.conv_id AND h.turn = r.range)""",
+    "dense_records": """
+WITH held AS (SELECT conv_id, turn, MAX(text) AS text FROM conversations WHERE length(text) >= 100 GROUP BY ALL)
+SELECT c.conv_id, r.range AS row_idx, h.text AS utterance FROM (SELECT DISTINCT conv_id FROM held) c CROSS JOIN range(8) r
+LEFT JOIN held h ON h.conv_id = c.conv_id AND h.turn = r.range""",
     "hierarchy_tag": """
 WITH rng(hierarchy_level, row_start, row_end, parent_row) AS
   (VALUES (0, 0, 0, NULL), (1, 1, 1, 0), (2, 2, 3, 1), (1, 4, 4, 0), (2, 5, 7, 4))

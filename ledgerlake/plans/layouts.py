@@ -69,6 +69,11 @@ class Layout:
     anchors: tuple = ()
     extra: dict = field(default_factory=dict)
 
+    @property
+    def row_ranges(self) -> list[tuple[int, int]]:
+        """The inclusive ranges of the rows that every report of this layout must hold."""
+        return [self.data_rows] if self.data_rows else [(first, last) for _, first, last, _ in self.sections]
+
 
 CGD_LAYOUT = Layout(sheet=CGD_SHEET, columns=CGD_COLUMNS, data_rows=CGD_DATA_ROWS, anchors=CGD_ANCHORS)
 OCSC_LAYOUT = Layout(sheet=OCSC_SHEET, columns=OCSC_COLUMNS, sections=OCSC_SECTIONS)

@@ -24,16 +24,24 @@ from .warehouse import NATURAL_KEYS, Warehouse
 
 def structure_violations(files: DataFrame, cells: DataFrame, layout: Layout) -> DataFrame:
     """Why a report does not match its layout: ``missing_sheet`` (no cells in the
-    expected sheet), ``missing_row`` (too short for an anchor) or ``mismatch``."""
+    expected sheet), ``missing_row`` (too short for an anchor), ``mismatch``, or
+    ``missing_data_row`` (a data row without any text, in a report long enough
+    for its anchors)."""
     sheet_cells = cells.filter(F.col("sheet") == layout.sheet)
     missing = (files.select("path").distinct().join(sheet_cells.select("path"), "path", "left_anti")
                .select("path", F.lit(None).cast("int").alias("anchor_row"), F.lit(None).cast("int").alias("anchor_col"),
                        F.lit(layout.sheet).alias("expected"), F.lit(None).cast("string").alias("actual"),
                        F.lit("missing_sheet").alias("reason")))
-    if not layout.anchors:
-        return missing
-    anchors = grid.check_anchors(sheet_cells, layout.anchors, "path")
-    return missing.unionByName(anchors)
+    anchors = (grid.check_anchors(sheet_cells, layout.anchors, "path") if layout.anchors
+               else missing.limit(0))
+    # Reports that lack the sheet, or are too short for it, are reported as such, not row by row.
+    whole = files.select("path").distinct().join(
+        missing.select("path").unionByName(anchors.filter(F.col("reason") == "missing_row").select("path")), "path", "left_anti")
+    layout_cells = sheet_cells.filter(F.col("col_idx").isin(sorted(layout.columns.values())))
+    empty = grid.missing_rows(whole, layout_cells, "path", layout.row_ranges).select(
+        "path", F.col("row_idx").cast("int").alias("anchor_row"), F.lit(None).cast("int").alias("anchor_col"),
+        F.lit("data row").alias("expected"), F.lit(None).cast("string").alias("actual"), F.lit("missing_data_row").alias("reason"))
+    return missing.unionByName(anchors).unionByName(empty)
 
 
 def validate_structure(files: DataFrame, cells: DataFrame, layout: Layout) -> None:
@@ -46,15 +54,16 @@ def validate_structure(files: DataFrame, cells: DataFrame, layout: Layout) -> No
 
 
 def extract_cgd(cells: DataFrame, layout: Layout = CGD_LAYOUT) -> DataFrame:
-    """One wide staging row per ministry row: ``path, row_idx`` + every layout field as text."""
-    rows = grid.grid_slice(cells.filter(F.col("sheet") == layout.sheet), *layout.data_rows)
-    return grid.records_from_cells(rows, layout.columns, list(layout.columns), "path")
+    """One wide staging row per ministry row: ``path, row_idx`` + every layout field as text
+    (a row without cells stays, as NULLs, and fails the cleaning)."""
+    sheet = cells.filter(F.col("sheet") == layout.sheet)
+    return grid.records_from_cells(sheet, layout.columns, list(layout.columns), "path", rows=layout.row_ranges)
 
 
 def extract_ocsc(cells: DataFrame, layout: Layout = OCSC_LAYOUT) -> DataFrame:
     """Grand total, subtotals and leaves with level and (raw) parent name."""
     sheet = cells.filter(F.col("sheet") == layout.sheet)
-    recs = grid.records_from_cells(sheet, layout.columns, list(layout.columns), "path")
+    recs = grid.records_from_cells(sheet, layout.columns, list(layout.columns), "path", rows=layout.row_ranges)
     return grid.tag_sections(recs, layout.sections, "path", "category_name")
 
 

@@ -184,6 +184,26 @@ def test_structure_validation_fails_loud_and_writes_nothing(spark, scratch, kind
     assert wh.read("fact_disbursement").count() == 0 and wh.read("dim_ministry").count() == 0
 
 
+@pytest.mark.parametrize("sheet, row, blank", [(CGD_SHEET, 5, None), (CGD_SHEET, 28, "  "), (OCSC_SHEET, 3, "  "), (OCSC_SHEET, 12, None)])
+def test_a_data_row_without_cells_fails_and_writes_nothing(spark, scratch, sheet, row, blank):
+    hashes = _land(scratch)
+    grid_rows, sub, name, layout = ((cgd_grid(), "cgd", "2026_07_03", CGD_LAYOUT) if sheet == CGD_SHEET
+                                    else (ocsc_grid(), "ocsc", "thaigovmanpower2567_4", OCSC_LAYOUT))
+    grid_rows[row] = [blank] * len(grid_rows[row])
+    write(f"{scratch}/raw/{sub}/{name}.xlsx", make_xlsx({sheet: grid_rows}))
+    files = _files(spark, scratch, sub)
+    cells = _cells_of(files, sheet)
+    found = reports.structure_violations(files, cells, layout).collect()
+    assert [(r.anchor_row, r.reason) for r in found] == [(row, "missing_data_row")]
+    dense = reports.extract_cgd(cells) if sheet == CGD_SHEET else reports.extract_ocsc(cells)
+    assert dense.count() == (24 if sheet == CGD_SHEET else 25)          # the row is there, empty
+    wh = Warehouse(spark, f"{scratch}/wh")
+    both = {"cgd": None, "ocsc": None} | {sub: files}
+    with pytest.raises(StructureValidationError, match="missing_data_row"):
+        reports.run_reports(wh, both["cgd"], both["ocsc"], _entries(spark, hashes), _cells_of)
+    assert all(n == 0 for n in _counts(wh).values())
+
+
 def test_violation_reasons(spark, scratch):
     write(f"{scratch}/raw/cgd/2026_07_03.xlsx", make_xlsx({CGD_SHEET: _mangled("truncated")}))
     files = _files(spark, scratch, "cgd")
