@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 from .plans import reports
 from .plans.warehouse import Warehouse
 from .session import configure
-from .sources import manifest, workbook
+from .sources import archives, manifest, workbook
 from .streaming.incremental import IncrementalIngest
 
 
@@ -37,8 +37,8 @@ def _entries(spark: SparkSession, path: str):
 def cmd_load(args) -> int:
     spark = _session()
     wh = Warehouse(spark, args.warehouse)
-    cgd = workbook.binary_files(spark, args.cgd) if args.cgd else None
-    ocsc = workbook.binary_files(spark, args.ocsc) if args.ocsc else None
+    cgd = archives.report_files(spark, args.cgd) if args.cgd else None
+    ocsc = archives.report_files(spark, args.ocsc) if args.ocsc else None
     written = reports.run_reports(wh, cgd, ocsc, _entries(spark, args.manifest),
                                   lambda files, sheet: workbook.cells_from_binary(files, sheets=[sheet]))
     for table, n in written.items():

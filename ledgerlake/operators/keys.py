@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, path_exists
 from .dedup import dedup
 from .joins import lookup_join
 
@@ -109,10 +109,7 @@ def append_if_absent(incoming: DataFrame, path: str, nk, ordinal=None, fmt: str
     Re-running with the same input appends nothing (replay-safe).
     """
     spark = incoming.sparkSession
-    try:
-        target = spark.read.format(fmt).load(path)
-    except Exception:  # first load: no table yet
-        target = None
+    target = spark.read.format(fmt).load(path) if path_exists(spark, path) else None  # None: the first load
     new = incoming if target is None else absent_rows(target, incoming, nk, ordinal)
     if target is None and ordinal is not None:
         new = dedup(incoming, _keys(nk), ordinal, keep="first")

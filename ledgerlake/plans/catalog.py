@@ -16,8 +16,9 @@ from ..functions import calendar as cal
 from ..functions import scalars as sc
 from ..functions import web
 from ..operators import dedup, grid, joins, keys, profile, quality, reshape
+from ..sources import manifest
 from ..sources.tables import TABLES, ntz, table
-from ..streaming.status import ingest_status
+from ..streaming.status import ingest_status, landed_status
 from .calendar_dim import build_dim_date
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +34,9 @@ def query(fn: Query) -> Query:
 EVENTS_PREVIOUS_LOAD_END = "2024-01-15 00:00:00"
 SHIPMENTS_PREVIOUS_LOAD_END = "2001-01-01 00:00:00"
 
+# Fixed value: the priority whose orders no earlier load knows.
+UNCONFIGURED_SOURCE = "5-LOW"
+
 # The money groups of the order report (prefix, name, is_leaf).
 ORDER_GROUPS = (("F", "F", True), ("O", "O", True), ("P", "P", True), ("total", "total", False))
 
@@ -376,18 +380,36 @@ def star_join_leaf_sum(spark, d):
     return f.groupBy("c_nationkey").agg(F.sum("amount").cast("decimal(38,2)").alias("leaf_amount"))
 
 
+def _order_entries(spark, d, source="o_orderstatus") -> DataFrame:
+    """Orders as manifest entries; an order's content is its price in hundreds, so the same bytes recur."""
+    price = F.round(F.col("o_totalprice") / 100).cast("long").cast("string")
+    return _t(spark, d, "orders").select(
+        F.col(source).cast("string").alias("source"), F.col("o_orderpriority").alias("source_name_th"),
+        F.concat(F.lit("https://example.org/"), "o_orderkey").alias("source_url"), F.col("o_orderkey").cast("string").alias("local_path"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("report_date"), F.lit(None).cast("int").alias("fiscal_year_be"),
+        web.sha256_hex(price.cast("binary")).alias("sha256"), F.col("o_orderkey").alias("ordinal"), "o_orderstatus", "o_orderdate", "o_orderpriority")
+
+
 @query
 def manifest_entries(spark, d):
-    o = _t(spark, d, "orders")
-    template = dedup.latest_per_key(o, "o_orderstatus", "o_orderdate", tie="o_orderkey") \
-        .select("o_orderstatus", F.col("o_orderpriority").alias("template_name"))
-    fname = cal.report_file_name("o_orderdate")
-    # One template row per source: broadcast once its size is proven, so orders
-    # are never shuffled on the (few-valued) source key.
-    return joins.lookup_join(o, template, "o_orderstatus").select(
-        "o_orderkey", F.col("o_orderstatus").alias("source"),
-        F.concat(F.lit("raw/"), F.lower("o_orderstatus"), F.lit("/"), fname).alias("local_path"),
-        fname.alias("file_name"), "template_name")
+    o = _order_entries(spark, d)
+    reports = o.select("source", F.to_date("report_date").alias("report_date"), "sha256")
+    return manifest.build_entries(reports, manifest.latest_per_source(o)).withColumn(
+        "file_name", web.base_name("local_path")).drop("fiscal_year_be", "downloaded_at")
+
+
+@query
+def landed_files(spark, d):
+    """Orders as report files, one source a priority: fulfilled ones before the boundary are in the manifest
+    (no source's but the unconfigured one's), all land, pending ones unreadable."""
+    entries = _order_entries(spark, d, source="o_orderpriority")
+    known = entries.filter((F.col("o_orderstatus") == "F") & (F.col("o_orderdate") < ntz(SHIPMENTS_PREVIOUS_LOAD_END))
+                           & (F.col("source") != UNCONFIGURED_SOURCE))
+    files = entries.select(
+        "source", F.concat_ws("/", "source", "local_path").alias("path"), "sha256",
+        F.when(F.col("o_orderpriority").isNotNull(), F.to_date("report_date")).alias("report_date"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("unreadable")).alias("error"))
+    return landed_status(files, known)
 
 
 @query
@@ -520,7 +542,7 @@ COVERS: dict[str, tuple[str, ...]] = {
     "content_hash_dedup": ("I20", "J3"), "hash_already_known": ("C5",), "surrogate_keys": ("E1",),
     "customer_keys": ("E1",), "resolve_fact_keys": ("C1", "C4"), "insert_if_absent": ("C3", "J5", "J6"),
     "parent_key_lookup": ("C2", "I5", "K9"), "star_join_leaf_sum": ("C6",),
-    "manifest_entries": ("A9", "B8", "C11", "I16", "I21"), "table_row_counts": ("A12", "D6"),
+    "manifest_entries": ("A9", "C11", "I16", "I21"), "landed_files": ("J2", "J3", "J4", "J7"), "table_row_counts": ("A12", "D6"),
     "key_profile": ("D9", "K6"), "measure_profile": ("D10", "D11"), "density_classify": ("D13", "D14", "F3", "I22"),
     "density_summary": ("D14",), "negative_positions": ("D11",), "dirty_text_nodes": ("D15", "I4"),
     "not_null_violations": ("K6",), "unique_violations": ("K5",), "functional_dependency": ("D16",),
@@ -715,11 +737,30 @@ d(grp, is_leaf) AS (VALUES ('F', true), ('O', true), ('P', true), ('total', fals
 SELECT c.c_nationkey, CAST(SUM(f.amount) AS DECIMAL(38,2)) AS leaf_amount FROM f JOIN d ON f.grp = d.grp
 JOIN customer c ON c.c_custkey = f.o_custkey WHERE d.is_leaf GROUP BY c.c_nationkey""",
     "manifest_entries": """
-WITH t AS (SELECT o_orderstatus, o_orderpriority, ROW_NUMBER() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate DESC, o_orderkey) AS rn FROM orders)
-SELECT o.o_orderkey, o.o_orderstatus AS source,
+WITH t AS (SELECT o_orderstatus, o_orderpriority, o_orderkey,
+  ROW_NUMBER() OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate::DATE DESC, o_orderkey) AS rn FROM orders)
+SELECT o.o_orderstatus AS source, t.o_orderpriority AS source_name_th, 'https://example.org/' || t.o_orderkey AS source_url,
   'raw/' || lower(o.o_orderstatus) || '/' || strftime(o.o_orderdate, '%Y_%m_%d') || '.xlsx' AS local_path,
-  strftime(o.o_orderdate, '%Y_%m_%d') || '.xlsx' AS file_name, t.o_orderpriority AS template_name
+  strftime(o.o_orderdate, '%Y-%m-%d') AS report_date, sha256(round(o.o_totalprice / 100)::BIGINT::VARCHAR) AS sha256,
+  'auto' AS downloaded_by, strftime(o.o_orderdate, '%Y_%m_%d') || '.xlsx' AS file_name
 FROM orders o JOIN t ON t.o_orderstatus = o.o_orderstatus AND t.rn = 1""",
+    "landed_files": """
+WITH f AS (SELECT o_orderpriority AS source, o_orderpriority || '/' || o_orderkey AS path, sha256(round(o_totalprice / 100)::BIGINT::VARCHAR) AS sha256,
+    CASE WHEN o_orderpriority IS NOT NULL THEN o_orderdate::DATE END AS report_date,
+    CASE WHEN o_orderstatus = 'P' THEN 'unreadable' END AS error, o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '2001-01-01' AND o_orderpriority <> '5-LOW' AS known FROM orders),
+k AS (SELECT o_orderpriority AS source, max(o_orderdate::DATE) AS hwm FROM orders
+    WHERE o_orderstatus = 'F' AND o_orderdate < TIMESTAMP '2001-01-01' AND o_orderpriority <> '5-LOW' GROUP BY 1),
+j AS (SELECT f.*, k.hwm, k.source IS NOT NULL AS has, f.sha256 IN (SELECT sha256 FROM f WHERE known) AS held FROM f LEFT JOIN k USING (source)),
+rivals AS (SELECT * FROM j WHERE error IS NULL AND report_date IS NOT NULL AND has AND NOT held AND report_date > hwm),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY sha256 ORDER BY report_date, source, path) AS copy_no FROM rivals),
+firsts AS (SELECT sha256, row_number() OVER (PARTITION BY source, report_date ORDER BY path) > 1 AS refused FROM ranked WHERE copy_no = 1),
+s AS (SELECT j.*, r.copy_no, x.refused FROM j LEFT JOIN ranked r USING (source, path) LEFT JOIN firsts x ON x.sha256 = r.sha256),
+o AS (SELECT *, CASE WHEN error IS NOT NULL THEN error WHEN report_date IS NULL THEN 'no report date in file name'
+    WHEN NOT has THEN 'no manifest entry to inherit' WHEN held OR (copy_no > 1 AND NOT refused) THEN 'content already ingested'
+    WHEN refused AND copy_no > 1 THEN 'copy of a file refused for its report date' WHEN refused THEN 'another landed file has this report date'
+    WHEN report_date <= hwm THEN 'not newer than the known report' END AS reason FROM s)
+SELECT source, path, sha256, report_date, error, reason, CASE reason WHEN 'content already ingested' THEN 'duplicate'
+    WHEN 'not newer than the known report' THEN 'nothing_new' ELSE CASE WHEN reason IS NULL THEN 'new' ELSE 'failed' END END AS status FROM o""",
     "table_row_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, COUNT(*) AS n FROM {t}" for t in TABLES),
     "key_profile": """

@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from ..operators import joins, quality
+from ..session import path_exists
 
 L, I, S, D, B, TS, DT, BY = (T.LongType(), T.IntegerType(), T.StringType(), T.DoubleType(),
                              T.BooleanType(), T.TimestampType(), T.DateType(), T.ByteType())
@@ -84,17 +84,16 @@ class Warehouse:
         return f"{self.root}/{name}"
 
     def _scan(self, name: str) -> DataFrame | None:
-        try:
-            df = self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
-        except AnalysisException:  # path does not exist yet
+        if not path_exists(self.spark, self.path(name)):
             return None
+        df = self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
         return df.select(*SCHEMAS[name].names)
 
     def ensure_schema(self) -> None:
         """Create every absent table empty (create-if-absent, like ``IF NOT EXISTS``)."""
         for name in TABLE_ORDER:
             if self._scan(name) is None:
-                w = self.spark.createDataFrame([], SCHEMAS[name]).write.mode("overwrite")
+                w = self.spark.createDataFrame([], SCHEMAS[name]).write.mode("errorifexists")
                 if name in PARTITION_BY:
                     w = w.partitionBy(*PARTITION_BY[name])
                 w.parquet(self.path(name))

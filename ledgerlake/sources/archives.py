@@ -14,9 +14,14 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import workbook
+
+REPORT_GLOB = "*.{xlsx,zip}"
+
 UNWRAP_SCHEMA = T.StructType([
     T.StructField("path", T.StringType(), False),
     T.StructField("payload", T.BinaryType(), True),
@@ -53,3 +58,12 @@ def _run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def unwrap_archives(files: DataFrame) -> DataFrame:
     """``(path, content)`` -> ``(path, payload, unwrap_error)``."""
     return files.select("path", "content").mapInPandas(_run, UNWRAP_SCHEMA)
+
+
+def report_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(path, content)`` of every workbook below ``path``, archives unwrapped and named like
+    their report (``2026_07_03.zip`` holds ``2026_07_03.xlsx``); one without a workbook raises."""
+    found = unwrap_archives(workbook.binary_files(spark, path, REPORT_GLOB))
+    failed = F.raise_error(F.concat("path", F.lit(": "), "unwrap_error")).cast("binary")
+    return found.select(F.regexp_replace("path", r"(?i)\.zip$", ".xlsx").alias("path"),
+                        F.when(F.col("unwrap_error").isNull(), F.col("payload")).otherwise(failed).alias("content"))

@@ -7,7 +7,6 @@ Dated sources carry ``report_date``; yearly sources ``fiscal_year_be``.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +14,7 @@ from pyspark.sql import types as T
 from ..functions import calendar as cal
 from ..functions import web
 from ..operators import dedup
+from ..session import path_exists
 
 ENTRY_SCHEMA = T.StructType([
     T.StructField("source", T.StringType()),
@@ -28,7 +28,8 @@ ENTRY_SCHEMA = T.StructType([
     T.StructField("downloaded_by", T.StringType()),
 ])
 DOCUMENT_SCHEMA = T.StructType([T.StructField("files", T.ArrayType(ENTRY_SCHEMA))])
-TABLE_COLUMNS = ENTRY_SCHEMA.names + ["ordinal"]
+TABLE_SCHEMA = T.StructType([*ENTRY_SCHEMA.fields, T.StructField("ordinal", T.LongType())])
+TABLE_COLUMNS = TABLE_SCHEMA.names
 
 
 def read_manifest_json(spark: SparkSession, path: str) -> DataFrame:
@@ -40,15 +41,13 @@ def read_manifest_json(spark: SparkSession, path: str) -> DataFrame:
 def entries_from_rows(spark: SparkSession, rows: list[dict]) -> DataFrame:
     """Entries given as Python dicts (tests, small administrative edits)."""
     data = [tuple(r.get(f) for f in ENTRY_SCHEMA.names) + (i,) for i, r in enumerate(rows)]
-    schema = T.StructType(ENTRY_SCHEMA.fields + [T.StructField("ordinal", T.LongType())])
-    return spark.createDataFrame(data, schema)
+    return spark.createDataFrame(data, TABLE_SCHEMA)
 
 
 def read_manifest_table(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path).select(*TABLE_COLUMNS)
-    except AnalysisException:
+    if not path_exists(spark, path):
         return None
+    return spark.read.schema(TABLE_SCHEMA).parquet(path).select(*TABLE_COLUMNS)
 
 
 def append_entries(entries: DataFrame, path: str) -> None:
@@ -68,19 +67,16 @@ def known_dates(entries: DataFrame) -> DataFrame:
     return entries.groupBy("source").agg(F.max(F.to_date("report_date")).alias("hwm"))
 
 
-def build_entries(listed: DataFrame, payloads: DataFrame, template: DataFrame,
-                  downloaded_by: str = "auto") -> DataFrame:
+def build_entries(reports: DataFrame, template: DataFrame, downloaded_by: str = "auto") -> DataFrame:
     """New manifest entries for fetched reports.
 
-    ``listed(source, report_date DATE, ...)`` are the chosen reports,
-    ``payloads(source, report_date, payload BINARY)`` their bytes and
-    ``template`` the latest entry per source, which supplies the source's
+    ``reports(source, report_date DATE, sha256)`` are the chosen reports, one row
+    each, and ``template`` the latest entry per source, which supplies the source's
     name and URL. A source without a template gets no entry (inner join).
     """
     t = template.select("source", "source_name_th", "source_url")
-    p = payloads.select("source", "report_date", web.sha256_hex("payload").alias("sha256"))
     fname = cal.report_file_name("report_date")
-    return (listed.select("source", "report_date").join(p, ["source", "report_date"]).join(t, "source")
+    return (reports.select("source", "report_date", "sha256").join(t, "source")
             .select("source", "source_name_th", "source_url",
                     F.concat(F.lit("raw/"), F.lower("source"), F.lit("/"), fname).alias("local_path"),
                     F.date_format("report_date", "yyyy-MM-dd").alias("report_date"),

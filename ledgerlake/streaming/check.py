@@ -42,15 +42,12 @@ def check_listings(pages: DataFrame, entries: DataFrame, config: DataFrame,
          .join(known, "source", "left")
          .withColumn("download_url", F.when(target.isNotNull(), web.resolve_url(F.col("base_url"), target))))
 
-    def outcome(s, reason):
-        return F.struct(F.lit(s).alias("s"), F.lit(reason).cast("string").alias("r"))
-
-    status = (F.when(F.col("has_template").isNull(), outcome(st.FAILED, "no manifest entry to inherit"))
-              .when(F.col("report_date").isNull(), outcome(st.FAILED, "no report rows on the listing"))
-              .when(F.col("hwm").isNotNull() & (F.col("report_date") <= F.col("hwm")),
-                    outcome(st.NOTHING_NEW, "latest listed report is already known"))
-              .when(F.col("download_url").isNull(), outcome(st.FAILED, "no download URL in the report link"))
-              .otherwise(outcome(st.NEW, None)))
-    return j.withColumn("_s", status).select(
-        "source", F.col("_s.s").alias("status"), F.col("_s.r").alias("reason"), "title", "report_date",
+    found = st.outcome(
+        F.col("report_date"), F.col("hwm"),
+        [(F.col("has_template").isNull(), "no manifest entry to inherit"),
+         (F.col("report_date").isNull(), "no report rows on the listing")],
+        late="latest listed report is already known",
+        last=[(F.col("download_url").isNull(), "no download URL in the report link")])
+    return j.withColumn("_s", found).select(
+        "source", F.col("_s.status").alias("status"), F.col("_s.reason").alias("reason"), "title", "report_date",
         "download_url")

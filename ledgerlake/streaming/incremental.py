@@ -6,8 +6,9 @@ and stops; nothing new means no batch at all. Each micro-batch:
 
 1. unwraps archives and hashes the payload;
 2. classifies every file: ``failed`` (unreadable, no date in its name, no
-   manifest template for the source), ``duplicate`` (content already in the
-   manifest, or an earlier file of the same batch has it), ``nothing_new``
+   manifest template for the source, another file of its date), ``duplicate``
+   (content already in the manifest, or taken from another file of the batch),
+   ``nothing_new``
    (dated at or before the source's high-water mark: late data is ignored),
    else ``new``;
 3. loads the new files into the warehouse (idempotent anti-join + append);
@@ -23,17 +24,15 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import calendar as cal
 from ..functions import web
-from ..operators import joins
 from ..plans import reports
 from ..plans.warehouse import Warehouse
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, path_exists
 from ..sources import archives, manifest, workbook
 from . import status as st
 
@@ -61,46 +60,13 @@ _DATE_IN_NAME = r"([0-9]{4}_[0-9]{2}_[0-9]{2})"
 def classify_files(files: DataFrame, entries: DataFrame | None, source: str) -> DataFrame:
     """``files(path, payload, unwrap_error)`` -> + report_date, sha256, status, reason."""
     f = files.select(
-        F.lit(source).alias("source"), "path", "payload", "unwrap_error",
+        F.lit(source).alias("source"), "path", "payload", F.col("unwrap_error").alias("error"),
         F.try_to_date(F.regexp_extract(web.base_name("path"), _DATE_IN_NAME, 1), "yyyy_MM_dd").alias("report_date"),
         web.sha256_hex("payload").alias("sha256"))
     if entries is None:
         entries = manifest.entries_from_rows(files.sparkSession, [])
-    src_entries = entries.filter(F.col("source") == source)
-    # Per-source scalars: evaluated once as scalar subqueries and inlined.
-    hwm = src_entries.select(F.max(F.to_date("report_date"))).scalar()
-    n_entries = src_entries.select(F.count(F.lit(1))).scalar()
-    known = src_entries.select("sha256").distinct().withColumn("known_hash", F.lit(True))
-    f = (f.withColumn("hwm", hwm).withColumn("has_template", F.when(n_entries > 0, F.lit(True)))
-         )
-    f = joins.lookup_join(f, known, "sha256", "left")
-    # Only files that pass every other check compete; they are ranked without their payload.
-    # Same bytes twice in one batch: the earliest date (then path) is the original.
-    passed = f.filter(F.col("unwrap_error").isNull() & F.col("report_date").isNotNull() & F.col("has_template").isNotNull()
-                      & F.col("known_hash").isNull() & (F.col("hwm").isNull() | (F.col("report_date") > F.col("hwm"))))
-    passed = passed.select("path", "sha256", "report_date")
-    original = passed.groupBy("sha256").agg(F.min(F.struct("report_date", "path")).alias("_o"))
-    # Two different reports of one date: the first path holds the date, the others fail with a status row.
-    holder = original.groupBy(F.col("_o.report_date").alias("report_date")).agg(F.min("_o.path").alias("_holder"))
-    ranked = passed.join(original, "sha256").join(holder, "report_date").select(
-        "path", (F.col("path") != F.col("_o.path")).alias("_copy"), (F.col("path") != F.col("_holder")).alias("_second"))
-    f = f.join(ranked, "path", "left")
-    def outcome(status: str, reason):
-        reason = F.lit(reason) if isinstance(reason, str) or reason is None else reason
-        return F.struct(F.lit(status).alias("s"), reason.cast("string").alias("r"))
-
-    status = (F.when(F.col("unwrap_error").isNotNull(), outcome(st.FAILED, F.col("unwrap_error")))
-              .when(F.col("report_date").isNull(), outcome(st.FAILED, "no report date in file name"))
-              .when(F.col("has_template").isNull(), outcome(st.FAILED, "no manifest entry to inherit"))
-              .when(F.coalesce(F.col("known_hash"), F.col("_copy"), F.lit(False)),
-                    outcome(st.DUPLICATE, "content already ingested"))
-              .when(F.coalesce(F.col("_second"), F.lit(False)), outcome(st.FAILED, "another landed file has this report date"))
-              .when(F.col("hwm").isNotNull() & (F.col("report_date") <= F.col("hwm")),
-                    outcome(st.NOTHING_NEW, "not newer than the known report"))
-              .otherwise(outcome(st.NEW, None)))
-    return (f.withColumn("_s", status)
-            .select("source", "path", "payload", "report_date", "sha256",
-                    F.col("_s.s").alias("status"), F.col("_s.r").alias("reason")))
+    # Other sources' entries count for the bytes only, so a source is matched by its own name.
+    return st.landed_status(f, entries).drop("error").select("source", "path", "payload", "report_date", "sha256", "status", "reason")
 
 
 class IncrementalIngest:
@@ -108,11 +74,12 @@ class IncrementalIngest:
     tables under shared folders; ``checkpoint`` is the stream's progress log."""
 
     def __init__(self, spark: SparkSession, landing: str, warehouse_root: str, manifest_path: str,
-                 status_path: str, checkpoint: str, source: str = "CGD", raw_path: str | None = None):
+                 status_path: str, checkpoint: str, source: str = "CGD", raw_path: str | None = None,
+                 max_files: int = 10_000):
         self.spark, self.landing, self.source = spark, landing, source
         self.warehouse_root, self.manifest_path = warehouse_root, manifest_path
         self.status_path, self.checkpoint = status_path, checkpoint
-        self.raw_path = raw_path
+        self.raw_path, self.max_files = raw_path, max_files
 
     def seed_manifest(self, entries: DataFrame) -> None:
         """Initial lineage (e.g. from the JSON manifest document)."""
@@ -129,8 +96,7 @@ class IncrementalIngest:
         new = classified.filter(F.col("status") == st.NEW)
         if not new.isEmpty():
             template = manifest.latest_per_source(entries.filter(F.col("source") == self.source))
-            fresh = manifest.build_entries(new.select("source", "report_date"),
-                                           new.select("source", "report_date", "payload"), template)
+            fresh = manifest.build_entries(new.select("source", "report_date", "sha256"), template)
             base = entries.select(F.coalesce(F.max("ordinal"), F.lit(-1))).scalar()
             # Ordinals continue the manifest; the window spans only this batch's new files.
             fresh = fresh.withColumn("ordinal", base + F.dense_rank().over(
@@ -139,11 +105,8 @@ class IncrementalIngest:
                 # Raw zone: the unwrapped bytes of every new report, partitioned by source;
                 # a replayed batch only adds hashes the raw table does not hold yet.
                 raw = new.select("source", "report_date", "sha256", "payload")
-                try:
-                    held = spark.read.parquet(self.raw_path).select("sha256")
-                    raw = raw.join(held, "sha256", "left_anti")
-                except AnalysisException:
-                    pass
+                if path_exists(spark, self.raw_path):
+                    raw = raw.join(spark.read.schema("sha256 string").parquet(self.raw_path), "sha256", "left_anti")
                 raw.write.mode("append").partitionBy("source").parquet(self.raw_path)
             wh = Warehouse(spark, self.warehouse_root)
             # Reports are keyed by their canonical, date-derived file name (the same
@@ -162,7 +125,8 @@ class IncrementalIngest:
         """Process everything landed since the last run; returns this run's status rows."""
         self._run_id = uuid.uuid4().hex
         stream = (self.spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-                  .option("pathGlobFilter", "*.xlsx").option("recursiveFileLookup", "true")
+                  .option("pathGlobFilter", archives.REPORT_GLOB)
+                  .option("maxFilesPerTrigger", self.max_files).option("recursiveFileLookup", "true")
                   .load(self.landing))
         q = (stream.writeStream.foreachBatch(self._batch).option("checkpointLocation", self.checkpoint)
              .trigger(availableNow=True).start())
@@ -173,10 +137,9 @@ class IncrementalIngest:
         return out.filter(F.col("run_id") == self._run_id)
 
     def _status(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(STATUS_SCHEMA).parquet(self.status_path)
-        except Exception:  # no run has written status yet
+        if not path_exists(self.spark, self.status_path):  # no run has written status yet
             return None
+        return self.spark.read.schema(STATUS_SCHEMA).parquet(self.status_path)
 
 
 def status_by_source(status: DataFrame) -> DataFrame:
