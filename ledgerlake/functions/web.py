@@ -20,6 +20,16 @@ FILE_LINK_EXTENSIONS = ("xlsx", "xls", "pdf", "zip", "doc", "docx")
 _ATTRIBUTES = r"""(?:[^>"']|"[^"]*"|'[^']*')*?"""
 HREF_PATTERN = rf"""(?is)<a\s(?:{_ATTRIBUTES}\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 HOST_PATTERN = r"^(https?://[^/]+)"
+# Scheme, authority, path, query and fragment of a URL reference (RFC 3986, appendix B).
+URL_PATTERN = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+# Schemes whose references may be relative, and those whose last path segment has parameters.
+RELATIVE_SCHEMES = ("", "ftp", "http", "gopher", "nntp", "imap", "wais", "file", "https", "shttp", "mms", "prospero", "rtsp",
+                    "rtsps", "rtspu", "sftp", "svn", "svn+ssh", "ws", "wss")
+PARAMETER_SCHEMES = ("", "ftp", "hdl", "prospero", "http", "imap", "https", "shttp", "rtsp", "rtsps", "rtspu", "sip", "sips",
+                     "mms", "sftp", "tel")
+# Named references that listing pages use.
+ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "amp": "&"}
+ENTITY_PATTERN = rf"&(?:#[0-9]{{1,9}}|#[xX][0-9A-Fa-f]{{1,7}}|{'|'.join(ENTITIES)});|&|[^&]+"
 
 
 def hrefs(html) -> Column:
@@ -53,22 +63,98 @@ def site_root(url) -> Column:
     return F.regexp_extract(col(url), HOST_PATTERN, 1)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it occurs there."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _url_parts(url: Column) -> Column:
+    """Struct of scheme (lower case), authority, path, query and fragment; absent parts are empty."""
+    clean = F.regexp_replace(F.regexp_replace(url, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+    names = ("scheme", "authority", "path", "query", "fragment")
+    return _let(clean, lambda u: F.struct(*(
+        (F.lower(part) if name == "scheme" else part).alias(name)
+        for name, part in ((n, F.regexp_extract(u, URL_PATTERN, i)) for i, n in enumerate(names, 1)))))
+
+
+def _params(scheme: Column, path: Column) -> Column:
+    """The parameters of the path's last segment, with their semicolon; or empty."""
+    return F.when(scheme.isin(*PARAMETER_SCHEMES), F.regexp_extract(path, r"(?s)(;[^/]*)$", 1)).otherwise(F.lit(""))
+
+
+def _joined_url(scheme: Column, authority: Column, path: Column, query: Column, fragment: Column) -> Column:
+    rooted = (path == "") | path.startswith("/")
+    before = (F.when(authority != "", F.concat(F.lit("//"), authority, F.when(rooted, F.lit("")).otherwise(F.lit("/"))))
+              .when(path.startswith("//") | ((scheme != "") & rooted), F.lit("//")).otherwise(F.lit("")))
+    prefixed = lambda mark, part: F.when(part != "", F.concat(F.lit(mark), part)).otherwise(F.lit(""))
+    return F.concat(F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(F.lit("")), before, path,
+                    prefixed("?", query), prefixed("#", fragment))
+
+
+def _without_dots(segments: Column) -> Column:
+    """Path of segments, ``.`` dropped and ``..`` taking the one before along (a fold); a last dot leaves a slash."""
+    kept = F.aggregate(segments, F.array().cast("array<string>"), lambda done, s: (
+        F.when(s == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+        .when(s == ".", done).otherwise(F.concat(done, F.array(s)))))
+    tail = F.when(F.element_at(segments, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return _let(F.array_join(F.concat(kept, tail), "/"), lambda path: F.when(path == "", F.lit("/")).otherwise(path))
+
+
+def _relative_segments(base_path: Column, path: Column) -> Column:
+    """Segments of ``path`` below the folder of ``base_path``, without empty ones inside."""
+    folder = _let(F.split(base_path, "/"), lambda x: F.when(F.element_at(x, -1) != "", F.slice(x, F.lit(1), F.size(x) - 1)).otherwise(x))
+    return _let(F.concat(folder, F.split(path, "/")), lambda x: F.when(
+        F.size(x) > 2, F.concat(F.slice(x, 1, 1), F.filter(F.slice(x, F.lit(2), F.size(x) - 2), lambda s: s != ""), F.slice(x, -1, 1))).otherwise(x))
+
+
 def resolve_url(base_url, href) -> Column:
-    """Absolute ``href`` passes through; a path is joined to the base URL's host."""
-    h = col(href)
-    path = F.when(h.startswith("/"), h).otherwise(F.concat(F.lit("/"), h))
-    scheme = F.regexp_extract(base_url if isinstance(base_url, Column) else col(base_url), r"^(https?:)", 1)
-    return (F.when(h.rlike(r"^https?://"), h).when(h.startswith("//"), F.concat(scheme, h))
-            .otherwise(F.concat(site_root(base_url), path)))
+    """``href`` resolved against ``base_url`` like a link on that page: relative paths, dot
+    segments, ``//host``, ``?query`` and ``#fragment`` references; references of another
+    (or a non-hierarchical) scheme stay as they are. An empty reference is the base."""
+    base, ref = (x if isinstance(x, Column) else col(x) for x in (base_url, href))
+
+    def resolved(p: Column) -> Column:
+        b, r, scheme = p["b"], p["r"], p["scheme"]
+        path = F.substring(r["path"], F.lit(1), F.length(r["path"]) - F.length(p["params"]))
+        params, b_params = (F.when(x == ";", F.lit("")).otherwise(x) for x in (p["params"], p["b_params"]))
+        b_path = F.substring(b["path"], F.lit(1), F.length(b["path"]) - F.length(p["b_params"]))
+        authority = F.when(r["authority"] != "", r["authority"]).otherwise(b["authority"])
+        same_page = (path == "") & (params == "")
+        query = F.when(same_page & (r["query"] == "") & (r["authority"] == ""), b["query"]).otherwise(r["query"])
+        full = (F.when(r["authority"] != "", F.concat(path, params)).when(same_page, F.concat(b_path, b_params))
+                .when(path.startswith("/"), F.concat(_without_dots(F.split(path, "/")), params))
+                .otherwise(F.concat(_let(_relative_segments(b_path, path), _without_dots), params)))
+        return (F.when((scheme != b["scheme"]) | ~scheme.isin(*RELATIVE_SCHEMES), ref)
+                .otherwise(_let(full, lambda f: _joined_url(scheme, authority, f, query, r["fragment"]))))
+
+    both = F.struct(_url_parts(base).alias("b"), _url_parts(ref).alias("r"))
+    found = _let(_let(both, lambda x: F.struct(
+        x["b"].alias("b"), x["r"].alias("r"), F.when(x["r"]["scheme"] != "", x["r"]["scheme"]).otherwise(x["b"]["scheme"]).alias("scheme"))),
+        lambda x: _let(F.struct(x["b"].alias("b"), x["r"].alias("r"), x["scheme"].alias("scheme"), _params(x["scheme"], x["r"]["path"]).alias("params"),
+                                _params(x["b"]["scheme"], x["b"]["path"]).alias("b_params")), resolved))
+    return F.when(base == "", ref).when(ref == "", base).otherwise(found)
+
+
+def _code_point(number: Column) -> Column:
+    """The character of a code point; U+FFFD for those that aren't characters."""
+    valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+    return F.decode(F.unhex(F.lpad(F.hex(F.when(valid, number).otherwise(F.lit(0xFFFD)).cast("long")), 8, "0")), "UTF-32")
 
 
 def decode_entities(text) -> Column:
-    """Decode the HTML entities listing pages use (``&amp;`` last, so it is not applied twice)."""
+    """Decode numeric references and the HTML entities listing pages use, each once (``&amp;lt;`` is ``&lt;``)."""
     c = col(text)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                    ("&nbsp;", " "), ("&amp;", "&")):
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+
+    def decoded(token: Column) -> Column:
+        out = F.when(~token.startswith("&"), token)
+        for name, ch in ENTITIES.items():
+            out = out.when(token == f"&{name};", F.lit(ch))
+        digits = F.regexp_extract(token, r"^&#[xX]?([0-9A-Fa-f]+);$", 1)
+        number = F.when(token.rlike("^&#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).try_cast("long")
+        return out.when(digits != "", _code_point(F.coalesce(number, F.lit(0)))).otherwise(token)
+
+    tokens = F.regexp_extract_all(c, F.lit(ENTITY_PATTERN), 0)
+    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(tokens, decoded), "")).otherwise(c)
 
 
 def strip_tags(text) -> Column:

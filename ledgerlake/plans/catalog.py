@@ -253,6 +253,17 @@ def resolve_relative_url(spark, d):
     return p.select("page_id", "href", web.resolve_url("url", "href").alias("abs_url"))
 
 
+@query
+def resolve_references(spark, d):
+    """Every link of every page in the forms a listing may write it."""
+    p = _t(spark, d, "pages").select("page_id", "url", F.explode(web.hrefs("html")).alias("href"))
+    rest = F.regexp_replace("href", "^/+", "")
+    forms = F.array(F.concat(F.lit("../"), rest), F.concat(F.lit("./x/../../y/"), rest), F.concat(F.lit("/a/b/.././"), rest, F.lit("/..")),
+                    F.concat(F.lit("?from="), F.col("page_id")), F.lit("#top"), F.concat(F.lit("//cdn.example.org/"), rest), F.lit("mailto:a@b.org"))
+    p = p.select("page_id", "url", F.explode(forms).alias("ref")).distinct()
+    return p.select("page_id", "ref", web.resolve_url("url", "ref").alias("abs_url"))
+
+
 @query
 def download_args(spark, d):
     return _t(spark, d, "pages").select("page_id", web.call_arg(F.col("html"), "track", 1).alias("target"))
@@ -536,7 +547,7 @@ COVERS: dict[str, tuple[str, ...]] = {
     "era_date_parse": ("B7", "I9"), "fiscal_calendar": ("I10", "I11", "I12", "I13"),
     "conformed_dates": ("G2", "I14", "I15"), "strict_cast": ("I6", "I7"), "bool_parse": ("I8",),
     "whitespace_profile": ("D15", "I4"), "listing_links": ("I19",), "page_has_file_link": ("B12",),
-    "resolve_relative_url": ("I18",), "download_args": ("I17",), "prefix_count": ("B5", "D12", "I23"),
+    "resolve_relative_url": ("I18",), "resolve_references": ("I18",), "download_args": ("I17",), "prefix_count": ("B5", "D12", "I23"),
     "latest_per_key": ("A4", "D1", "D2", "F1"), "dim_last_wins": ("D4",), "first_wins": ("D5",),
     "distinct_levels": ("D17", "G3"), "first_last_row": ("F4",), "high_water_mark": ("D3", "J1", "J2"),
     "content_hash_dedup": ("I20", "J3"), "hash_already_known": ("C5",), "surrogate_keys": ("E1",),
@@ -679,6 +690,19 @@ SELECT page_id, href, CASE WHEN regexp_matches(href, '^https?://') THEN href
   WHEN href LIKE '//%' THEN regexp_extract(url, '^(https?:)', 1) || href
   ELSE regexp_extract(url, '^(https?://[^/]+)', 1) || CASE WHEN href LIKE '/%' THEN href ELSE '/' || href END END AS abs_url
 FROM (SELECT page_id, url, UNNEST(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages) x""",
+    "resolve_references": r"""
+WITH h AS (SELECT page_id, url, UNNEST(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages),
+r AS (SELECT DISTINCT page_id, url, UNNEST(['../' || x, './x/../../y/' || x, '/a/b/.././' || x || '/..', '?from=' || page_id, '#top',
+    '//cdn.example.org/' || x, 'mailto:a@b.org']) AS ref FROM (SELECT page_id, url, regexp_replace(href, '^/+', '') AS x FROM h)),
+u AS (SELECT *, regexp_extract(url, '^(https?://[^/?#]*)', 1) AS site, regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1) AS path FROM r),
+f AS (SELECT *, regexp_extract(ref, '^[^?#]*') AS own, regexp_extract(ref, '[?#].*$') AS extra,
+    CASE WHEN starts_with(ref, '/') THEN '' ELSE regexp_replace(path, '[^/]*$', '') END AS folder FROM u),
+g AS (SELECT *, [[s] FOR s IN string_split(CASE WHEN starts_with(ref, '/') THEN substr(own, 2) ELSE substr(folder, 2) || own END, '/')
+    IF s <> '' OR ends_with(own, '/')] AS segs FROM f),
+k AS (SELECT *, list_reduce(segs, lambda done, s: CASE WHEN s[1] = '..' THEN done[:-2] WHEN s[1] = '.' THEN done ELSE done || s END, ['']) AS kept FROM g)
+SELECT page_id, ref, CASE WHEN starts_with(ref, 'mailto:') THEN ref WHEN starts_with(ref, '//') THEN regexp_extract(url, '^https?:') || ref
+  WHEN own = '' THEN site || path || CASE WHEN starts_with(ref, '#') THEN regexp_extract(url, '[?][^#]*') ELSE '' END || extra
+  ELSE site || array_to_string(kept, '/') || CASE WHEN segs[-1][1] IN ('..', '.') THEN '/' ELSE '' END || extra END AS abs_url FROM k""",
     "download_args": r"""
 SELECT page_id, NULLIF(regexp_extract(html, 'track\(\s*[''"]?([^''",)]*)[''"]?\s*[,)]', 1), '') AS target FROM pages""",
     "prefix_count": """

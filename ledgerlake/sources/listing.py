@@ -42,7 +42,7 @@ def parse_listing_rows(pages: DataFrame, id_col: str = "page_id", html_col: str
         _text(F.regexp_extract("heading", _LINK_TEXT, 1)).alias("title"),
         web.decode_entities(F.regexp_extract("heading", _LINK_HREF, 1)).alias("download_href"),
         F.size(cells).alias("_n_cells"),
-        _text(F.element_at(cells, date_cell)).alias("date_text"))
+        _text(F.try_element_at(cells, F.lit(date_cell))).alias("date_text"))
     rows = rows.filter(F.col("_n_cells") >= min_cells).drop("_n_cells")
     if title_prefix:
         rows = rows.filter(F.col("title").startswith(title_prefix))

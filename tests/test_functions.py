@@ -118,3 +118,33 @@ def test_call_argument_holds_commas_and_brackets(spark):
 
 def test_scheme_relative_link(spark):
     assert _one(spark, lambda c: web.resolve_url(F.lit("https://h.org/a"), c), "//other.org/x") == "https://other.org/x"
+
+
+URL_BASES = ["http://a/b/c/d;p?q", "http://h.org/a/b.html", "https://h.org", "HTTP://H.org/x/", "http://h/a//b/../c?x=1#f", "", "file:///a/b",
+             "ftp://u@h:21/d/", "/rel/base", "rel", "mailto:x@y", "ws://h/p;1/q;2", "http://h?q=1", "javascript:void(0)", " http://h/a b/\tc"]
+URL_REFERENCES = [
+    "", "g:h", "g", "./g", "g/", "/g", "//g", "?y", "g?y", "#s", "g#s", "g?y#s", ";x", "g;x", "g;x?y#s", ".", "./", "..", "../", "../g", "../..",
+    "../../", "../../g", "../../../g", "/./g", "/../g", "g.", ".g", "g..", "..g", "./../g", "./g/.", "g/./h", "g/../h", "g;x=1/./y", "g;x=1/../y",
+    "g?y/../x", "g#s/../x", "http:g", "http://h2/x/../y", "mailto:a@b", "https://z", "HTTP:G", "/a//b///c", "a//b", "?", "#", ";", "..;x", "a;",
+    "//h/..", "/%7Ea", "é/日", "a b", " c.xlsx", "\tx\n/y", "javascript:f('a','b')", "/cs/Satellite?blobcol=urldata&x=1", "1:2", "..//..//g"]
+
+
+def test_url_references_equal_the_standard_library(spark):
+    import itertools
+    import random
+    from urllib.parse import urljoin
+    r = random.Random(1)
+    parts = ["a", "..", ".", "/", "/", "?", "#", ";", "b.html", "//", ":"]
+    refs = URL_REFERENCES + ["".join(r.choice(parts) for _ in range(r.randrange(1, 7))) for _ in range(150)]
+    pairs = list(itertools.product(URL_BASES, refs))
+    df = spark.createDataFrame([(i, b, x) for i, (b, x) in enumerate(pairs)], "i int, b string, x string")
+    out = {q.i: q.u for q in df.select("i", web.resolve_url("b", "x").alias("u")).collect()}
+    assert [(b, x, out[i]) for i, (b, x) in enumerate(pairs) if out[i] != urljoin(b, x)] == []
+
+
+def test_entities_are_decoded_once(spark):
+    import html
+    texts = ["&lt;a&gt; &amp;lt; &#8211;&#x2013; &#38;lt; &bogus; & x &quot;&#39;&apos;", "plain", "", "a&", "&#x1F600;!", "&#0; &#xD800; &#1114112;"]
+    out = [q.d for q in spark.createDataFrame([(t,) for t in texts], "t string").select(web.decode_entities("t").alias("d")).collect()]
+    assert out == [html.unescape(t) for t in texts]
+    assert spark.createDataFrame([(None,)], "t string").select(web.decode_entities("t")).first()[0] is None
