@@ -3,8 +3,8 @@
 The cell table is ``(report columns..., row_idx, col_idx, value)`` with one row
 per non-empty cell - what the workbook scan emits. Layouts (which columns
 mean what, which row ranges are totals/subtotals/leaves, which header texts
-must be present) are small configuration DataFrames, broadcast by
-construction: their size is fixed by the layout, not by the data.
+must be present) are configuration in the plan itself, or tables: one layout for
+all reports or one per report, however many.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as sc
+from .intervals import range_join
 from .joins import lookup_join
 
 
@@ -104,7 +105,8 @@ def records_from_cells(cells: DataFrame, layout, fields: Sequence[str], report,
 
     ``layout`` is ``{field: col_idx}`` (configuration: the cells are filtered to
     the configured columns and pivoted directly on ``col_idx``, no join) or a
-    layout DataFrame ``(col_idx, field)`` (joined as a broadcast). Either way the
+    layout table ``(col_idx, field)``, with report columns if reports differ
+    (joined by equality; Spark broadcasts a small one). Either way the
     pivot is a single conditional aggregation on ``(report, row)`` with an
     explicit field list: one shuffle, partial aggregation.
     """
@@ -117,7 +119,8 @@ def records_from_cells(cells: DataFrame, layout, fields: Sequence[str], report,
         empty = empty.select(*report, F.col(row).cast(cells.schema[row].dataType).alias(row), F.lit(None).cast("int").alias("col_idx"),
                              F.lit(None).cast("string").alias("value"))
     if isinstance(layout, DataFrame):
-        picked = cells.join(F.broadcast(layout), "col_idx")
+        own = [c for c in report if c in layout.columns]
+        picked = cells.join(layout.select(*own, "col_idx", "field"), [*own, "col_idx"])
         if rows is not None:
             picked = picked.filter(inside).unionByName(empty.withColumn("field", F.lit(None).cast("string")), allowMissingColumns=True)
         return picked.groupBy(*report, row).agg(
@@ -138,14 +141,15 @@ def tag_sections(rows: DataFrame, layout, report, name: str, row: str = "row_idx
 
     ``layout`` is either the ranges themselves, ``[(level, first, last,
     parent_row), ...]`` - turned into a ``CASE WHEN`` projection, no join - or
-    a layout DataFrame, range-joined as a broadcast. Rows outside every range
-    are dropped. The parent's name comes from a lookup join on
-    ``(report, row)``.
+    a layout table of any size, interval-joined by buckets; if it has the report
+    columns, every report has ranges of its own. Rows outside every range are
+    dropped. The parent's name comes from a lookup join on ``(report, row)``.
     """
     report = _list(report)
     if isinstance(layout, DataFrame):
-        lay = F.broadcast(layout.select(level_col, "row_start", "row_end", "parent_row"))
-        tagged = rows.join(lay, rows[row].between(lay["row_start"], lay["row_end"]))
+        own = report if set(report) <= set(layout.columns) else []
+        lay = layout.select(*own, level_col, "row_start", "row_end", "parent_row")
+        tagged = range_join(rows, lay, row, "row_start", "row_end", own)
     else:
         r = F.col(row)
         level = parent_row = None

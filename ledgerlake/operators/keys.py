@@ -14,6 +14,9 @@ from .dedup import dedup
 from .joins import lookup_join
 
 
+FEW_NAMES = 10_000   # parent names that are broadcast
+
+
 def _keys(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
@@ -75,9 +78,17 @@ def resolve_key(df: DataFrame, dim: DataFrame, on, key: str, *, nullable: bool =
 
 def resolve_optional_key(df: DataFrame, dim: DataFrame, nk_col: str, dim_nk: str, key: str,
                          out: str) -> DataFrame:
-    """Self-dimension lookup (parent): NULL text -> NULL key; non-NULL text must resolve."""
+    """Self-dimension lookup (parent): NULL text -> NULL key; non-NULL text must resolve.
+
+    Only the distinct names are looked up. If there are few (counted, up to
+    ``FEW_NAMES``) they are broadcast to the dimension, which is then scanned but
+    not shuffled; else both sides are shuffled.
+    """
+    names = df.select(nk_col).filter(F.col(nk_col).isNotNull()).distinct()
+    few = names.limit(FEW_NAMES + 1).count() <= FEW_NAMES
     d = dim.select(F.col(dim_nk).alias(nk_col), F.col(key).alias(out))
-    joined = lookup_join(df, d, nk_col, "left")
+    held = d.join(F.broadcast(names) if few else names, nk_col, "left_semi")
+    joined = df.join(F.broadcast(held), nk_col, "left") if few else lookup_join(df, held, nk_col, "left")
     bad = F.col(nk_col).isNotNull() & F.col(out).isNull()
     return joined.withColumn(
         out, F.when(bad, F.raise_error(F.concat(F.lit("unresolved parent "), F.col(nk_col))).cast("long"))

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions import scalars as sc
 from ..functions import web
-from ..operators import dedup, grid, joins, keys, profile, quality, reshape
+from ..operators import dedup, grid, hierarchy, joins, keys, profile, quality, reshape
 from ..sources import manifest
 from ..sources.tables import TABLES, ntz, table
 from ..streaming.status import ingest_status, landed_status
@@ -42,6 +42,8 @@ ORDER_GROUPS = (("F", "F", True), ("O", "O", True), ("P", "P", True), ("total",
 
 # Section layout of a conversation "report" (level, first row, last row, parent row).
 CONVERSATION_SECTIONS = ((0, 0, 0, None), (1, 1, 1, 0), (2, 2, 3, 1), (1, 4, 4, 0), (2, 5, 7, 4))
+# Fixed value: the end of a section that runs to the report's last row.
+LAST_ROW = 1 << 40
 # Fixed value: shorter utterances are left out of the sheets of the missing-row queries.
 SPOKEN_LENGTH = 100
 # Header anchors every conversation must carry (row, col, text).
@@ -119,6 +121,19 @@ def hierarchy_tag(spark, d):
     return grid.tag_sections(rows, CONVERSATION_SECTIONS, "conv_id", "category_name")
 
 
+@query
+def section_tables(spark, d):
+    """A layout of its own for every conversation: each question a heading, what follows it its section."""
+    rows = _conversation_rows(spark, d).select("conv_id", "row_idx", F.col("role").alias("category_name"))
+    asked = rows.filter(F.col("category_name") == "user").withColumn(
+        "next", F.lead("row_idx").over(Window.partitionBy("conv_id").orderBy("row_idx")))
+    layout = asked.select("conv_id", F.inline(F.array(
+        F.struct(F.lit(1).alias("hierarchy_level"), F.col("row_idx").alias("row_start"), F.col("row_idx").alias("row_end"),
+                 F.lit(None).cast("long").alias("parent_row")),
+        F.struct(F.lit(2), F.col("row_idx") + 1, F.coalesce(F.col("next") - 1, F.lit(LAST_ROW)), F.col("row_idx")))))
+    return grid.tag_sections(rows, layout, "conv_id", "category_name")
+
+
 @query
 def row_extent(spark, d):
     e = _t(spark, d, "events").select(
@@ -380,6 +395,30 @@ def parent_key_lookup(spark, d):
     return out.select("category_key", "parent_category_key", "hierarchy_level")
 
 
+def _customer_tree(spark, d) -> DataFrame:
+    """Every nation's customers as a binary tree by balance (the parent of the n-th is the n/2-th); where the
+    first one is in machinery it hangs below the third, so that nation's tree runs into a cycle."""
+    c = _t(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")
+    ranked = c.withColumn("n", F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_acctbal", "c_custkey")))
+    up = F.when(F.col("n") > 1, F.floor(F.col("n") / 2).cast("int")).when(F.col("c_mktsegment") == "MACHINERY", F.lit(3))
+    above = ranked.select("c_nationkey", F.col("n").alias("_up"), F.col("c_custkey").alias("parent_key"))
+    return ranked.withColumn("_up", up).join(above, ["c_nationkey", "_up"], "left").select("c_custkey", "parent_key", "c_acctbal")
+
+
+@query
+def hierarchy_levels(spark, d):
+    return hierarchy.ancestors(_customer_tree(spark, d), "c_custkey", "parent_key").select(
+        "node", "parent", "level", "root", F.array_join(F.col("path").cast("array<string>"), "<").alias("path"), "problem")
+
+
+@query
+def hierarchy_leaf_sums(spark, d):
+    tree = _customer_tree(spark, d)
+    values = tree.select("c_custkey", F.col("c_acctbal").cast("decimal(18,2)").alias("balance"))
+    sums = hierarchy.leaf_sums(hierarchy.ancestors(tree, "c_custkey", "parent_key"), values, "balance", "c_custkey")
+    return sums.withColumn("total", F.col("total").cast("decimal(28,2)"))
+
+
 @query
 def star_join_leaf_sum(spark, d):
     long = wide_to_long(spark, d).drop("is_leaf")
@@ -540,9 +579,10 @@ def ingest_status_by_part(spark, d):
 # Which operator-inventory lines each query exercises.
 COVERS: dict[str, tuple[str, ...]] = {
     "grid_slice": ("B4",), "grid_to_records": ("B2", "H2"),
-    "missing_data_rows": ("K4",), "dense_records": ("B1", "B2", "H2"), "hierarchy_tag": ("B3", "C8", "G1"),
+    "missing_data_rows": ("K4",), "dense_records": ("B1", "B2", "H2"), "hierarchy_tag": ("B3", "G1"), "section_tables": ("B3", "C8", "G1"),
     "row_extent": ("B14",), "anchor_check": ("B13", "C7", "I25", "K2", "K3"),
-    "wide_to_long": ("B10", "H1"), "hierarchy_rollup": ("B11", "D19"), "leaf_vs_naive_sum": ("B9", "D7", "D18"),
+    "wide_to_long": ("B10", "H1"), "hierarchy_rollup": ("B11", "D19"), "hierarchy_levels": ("B11", "C2"),
+    "hierarchy_leaf_sums": ("B9", "D7", "D19"), "leaf_vs_naive_sum": ("B9", "D7", "D18"),
     "share_of_total": ("C9", "I3"), "rollup_reconcile": ("D8", "K11"), "ratio_null_on_zero": ("I1", "I2"),
     "era_date_parse": ("B7", "I9"), "fiscal_calendar": ("I10", "I11", "I12", "I13"),
     "conformed_dates": ("G2", "I14", "I15"), "strict_cast": ("I6", "I7"), "bool_parse": ("I8",),
@@ -571,6 +611,15 @@ def queries() -> dict[str, Query]:
 _WS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
        r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 
+_TREE_SQL = """
+WITH RECURSIVE ranked AS (SELECT c_custkey, c_nationkey, c_mktsegment, c_acctbal,
+    row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal, c_custkey) AS n FROM customer),
+tree AS (SELECT a.c_custkey AS node, b.c_custkey AS parent, a.c_acctbal::DECIMAL(18,2) AS balance FROM ranked a LEFT JOIN ranked b
+    ON b.c_nationkey = a.c_nationkey AND b.n = CASE WHEN a.n > 1 THEN a.n // 2 WHEN a.c_mktsegment = 'MACHINERY' THEN 3 END),
+walk AS (SELECT node, parent, 0 AS level, node AS root, ''::VARCHAR AS path FROM tree WHERE parent IS NULL
+  UNION ALL SELECT t.node, t.parent, w.level + 1, w.root, t.parent || CASE WHEN w.path = '' THEN '' ELSE '<' || w.path END
+    FROM tree t JOIN walk w ON t.parent = w.node)"""
+
 ORACLE_SQL: dict[str, str] = {
     "grid_slice": """
 SELECT c.conv_id, c.turn AS row_idx, c.role FROM conversations c
@@ -597,6 +646,13 @@ WITH rng(hierarchy_level, row_start, row_end, parent_row) AS
 SELECT c.conv_id, c.turn AS row_idx, r.hierarchy_level, c.role AS category_name, p.role AS parent_category,
   r.hierarchy_level = 2 AS is_leaf
 FROM conversations c JOIN rng r ON c.turn BETWEEN r.row_start AND r.row_end
+LEFT JOIN conversations p ON p.conv_id = c.conv_id AND p.turn = r.parent_row""",
+    "section_tables": """
+WITH asked AS (SELECT conv_id, turn, lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS nxt FROM conversations WHERE role = 'user'),
+rng AS (SELECT conv_id, 1 AS hierarchy_level, turn AS a, turn AS b, NULL::BIGINT AS parent_row FROM asked
+  UNION ALL SELECT conv_id, 2, turn + 1, coalesce(nxt - 1, 1::BIGINT << 40), turn FROM asked)
+SELECT c.conv_id, c.turn AS row_idx, c.role AS category_name, r.hierarchy_level, p.role AS parent_category, r.hierarchy_level = 2 AS is_leaf
+FROM conversations c JOIN rng r ON r.conv_id = c.conv_id AND c.turn BETWEEN r.a AND r.b
 LEFT JOIN conversations p ON p.conv_id = c.conv_id AND p.turn = r.parent_row""",
     "row_extent": """
 SELECT event_id, MAX(col_idx) AS last_col FROM (SELECT event_id, 0 AS col_idx FROM events
@@ -752,6 +808,13 @@ dim AS (SELECT category_name, CAST(ROW_NUMBER() OVER (ORDER BY category_name) AS
   FROM (SELECT DISTINCT category_name FROM cat) x)
 SELECT c.k AS category_key, p.k AS parent_category_key, cat.hierarchy_level
 FROM cat JOIN dim c ON c.category_name = cat.category_name LEFT JOIN dim p ON p.category_name = cat.parent_category""",
+    "hierarchy_levels": _TREE_SQL + """
+SELECT t.node, t.parent, w.level, w.root, w.path, CASE WHEN w.node IS NULL THEN 'cycle' END AS problem FROM tree t LEFT JOIN walk w USING (node)""",
+    "hierarchy_leaf_sums": _TREE_SQL + """,
+leaf AS (SELECT w.node, t.balance FROM walk w JOIN tree t USING (node) WHERE w.node NOT IN (SELECT parent FROM tree WHERE parent IS NOT NULL)),
+up AS (SELECT node AS leaf, node FROM leaf UNION ALL SELECT u.leaf, t.parent FROM up u JOIN tree t ON t.node = u.node WHERE t.parent IS NOT NULL)
+SELECT w.node, w.level, w.node IN (SELECT node FROM leaf) AS is_leaf, count(*) AS n_leaves, sum(l.balance)::DECIMAL(28,2) AS total
+FROM walk w JOIN up u ON u.node = w.node JOIN leaf l ON l.node = u.leaf GROUP BY w.node, w.level""",
     "star_join_leaf_sum": """
 WITH f AS (SELECT o_custkey, o_orderstatus AS grp, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS amount
   FROM orders GROUP BY o_custkey, o_orderstatus
