@@ -127,10 +127,12 @@ def section_tables(spark, d):
     rows = _conversation_rows(spark, d).select("conv_id", "row_idx", F.col("role").alias("category_name"))
     asked = rows.filter(F.col("category_name") == "user").withColumn(
         "next", F.lead("row_idx").over(Window.partitionBy("conv_id").orderBy("row_idx")))
+    def section(level, first, last, parent):
+        return F.struct(F.lit(level).alias("hierarchy_level"), first.alias("row_start"), last.alias("row_end"), parent.alias("parent_row"))
+
+    at = F.col("row_idx")
     layout = asked.select("conv_id", F.inline(F.array(
-        F.struct(F.lit(1).alias("hierarchy_level"), F.col("row_idx").alias("row_start"), F.col("row_idx").alias("row_end"),
-                 F.lit(None).cast("long").alias("parent_row")),
-        F.struct(F.lit(2), F.col("row_idx") + 1, F.coalesce(F.col("next") - 1, F.lit(LAST_ROW)), F.col("row_idx")))))
+        section(1, at, at, F.lit(None).cast("long")), section(2, at + 1, F.coalesce(F.col("next") - 1, F.lit(LAST_ROW)), at))))
     return grid.tag_sections(rows, layout, "conv_id", "category_name")
 
 
