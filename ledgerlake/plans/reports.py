@@ -146,14 +146,7 @@ def _append_facts(wh: Warehouse, name: str, facts: DataFrame, ordinal) -> int:
     touched = batch.select("date_key").distinct()
     # Only the partitions of the dates being loaded are read back.
     existing = joins.lookup_join(wh.read(name), touched, "date_key", "left_semi")
-    new = batch.join(existing.select(*nk), nk, "left_anti").cache()
-    try:
-        n = new.count()
-        if n:
-            wh.append(name, new)
-    finally:
-        new.unpersist()
-    return n
+    return wh.append(name, batch.join(existing.select(*nk), nk, "left_anti"))
 
 
 def load_cgd(wh: Warehouse, clean: DataFrame, reports: DataFrame) -> int:

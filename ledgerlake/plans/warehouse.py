@@ -2,19 +2,21 @@
 
 Parquet has no PRIMARY KEY / UNIQUE / CHECK / FOREIGN KEY and no sequences;
 keys come from ``operators.keys.assign_keys`` and constraints from
-``operators.quality`` (see ``violations``). Facts are partitioned by
+``operators.quality`` (see ``append``, ``violations``). Facts are partitioned by
 ``date_key`` so an idempotent reload only touches the partitions of the
 dates it loads.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import joins, quality
-from ..session import path_exists
+from ..session import path_exists, remove_path
 
 L, I, S, D, B, TS, DT, BY = (T.LongType(), T.IntegerType(), T.StringType(), T.DoubleType(),
                              T.BooleanType(), T.TimestampType(), T.DateType(), T.ByteType())
@@ -68,6 +70,18 @@ FOREIGN_KEYS = {
                                "parent_category_key": ("dim_personnel_category", "personnel_category_key"),
                                "source_id": ("dim_source", "source_id")},
 }
+#: Conditions (SQL) every row must satisfy, checked while rows are staged.
+ROW_RULES = {
+    "dim_date": {"check_era": "fiscal_year_ce = fiscal_year_be - 543"},
+    "fact_disbursement": {"disbursed_le_budget": "disbursed <= budget_after_transfer"},
+    "fact_workforce_summary": {
+        "headcount_nonneg": "headcount >= 0",
+        "parent_only_for_total": "(hierarchy_level = 0) = (parent_category_key IS NULL)"},
+}
+#: Measures whose parts must add up to the stated total, and by which share of it they may differ (they are binary floats).
+TOTALS = {"fact_disbursement": ["budget_after_transfer", "allocated", "spending_plan", "po_reserved", "disbursed"],
+          "fact_workforce_summary": ["headcount"]}
+TOLERANCE = 1e-9
 PARTITION_BY = {"fact_disbursement": ["date_key"], "fact_workforce_summary": ["date_key"]}
 TABLE_ORDER = ("dim_date", "dim_ministry", "dim_expense_type", "dim_personnel_category", "dim_source",
                "fact_disbursement", "fact_workforce_summary")
@@ -102,39 +116,89 @@ class Warehouse:
         df = self._scan(name)
         return df if df is not None else self.spark.createDataFrame([], SCHEMAS[name])
 
-    def write_checks(self, name: str, df: DataFrame) -> list[tuple[str, DataFrame]]:
-        """Constraints a pending write must satisfy: NOT NULL, CHECK, UNIQUE / PRIMARY
-        KEY (within the batch and against stored rows with the same keys) and
-        FOREIGN KEY (fact references must exist in their dimensions)."""
-        required = [f.name for f in SCHEMAS[name].fields if not f.nullable]
-        checks = [(f"{name}.not_null", quality.violations_not_null(df, required, required[:1]))]
-        if name == "dim_date":
-            checks.append(("dim_date.check_era", quality.violations_check(
-                df, F.col("fiscal_year_ce") == F.col("fiscal_year_be") - 543, "date_natural_key",
-                "ce_eq_be_minus_543")))
-        uniques = [NATURAL_KEYS[name]] + ([[SURROGATE_KEYS[name]]] if name in SURROGATE_KEYS else [])
-        stored = self.read(name)
-        for cols in uniques:
-            incoming = df.select(*cols)
-            # Only stored rows sharing a key with the batch can collide; for facts the
-            # broadcast semi join on date_key also prunes the stored partitions.
-            clash = joins.lookup_join(stored.select(*cols), incoming.distinct(), cols, "left_semi")
-            checks.append((f"{name}.unique({','.join(cols)})",
-                           quality.violations_unique(incoming.unionByName(clash), cols)))
-        for col_name, (dim, dim_col) in FOREIGN_KEYS.get(name, {}).items():
-            parent = self.read(dim).select(dim_col)
-            checks.append((f"{name}.fk({col_name})", quality.violations_fk(df, parent, col_name, dim_col)))
+    def _flagged(self, name: str, df: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+        """``df`` with the columns its row rules need, and the rules: label -> whether a row violates it."""
+        rules: dict[str, Column] = {f"{name}.not_null": F.lit(False)}
+        for field in SCHEMAS[name].fields:
+            if not field.nullable:
+                rules[f"{name}.not_null"] |= F.col(field.name).isNull()
+        for label, holds in ROW_RULES.get(name, {}).items():
+            rules[f"{name}.{label}"] = ~F.expr(holds)                          # NULL passes, as in SQL
+        for i, cols in enumerate(self._uniques(name)):
+            df = df.withColumn(f"_n{i}", F.count(F.lit(1)).over(Window.partitionBy(*cols)))
+            rules[f"{name}.unique({','.join(cols)})"] = F.col(f"_n{i}") > 1
+        for i, (c, (dim, dim_col)) in enumerate(FOREIGN_KEYS.get(name, {}).items()):
+            parent = self.read(dim).groupBy(F.col(dim_col).alias(c)).agg(F.lit(True).alias(f"_p{i}"))
+            df = joins.lookup_join(df, parent, c, "left")
+            rules[f"{name}.fk({c})"] = F.col(c).isNotNull() & F.col(f"_p{i}").isNull()
+        return df, rules
+
+    @staticmethod
+    def _uniques(name: str) -> list[list[str]]:
+        return [NATURAL_KEYS[name]] + ([[SURROGATE_KEYS[name]]] if name in SURROGATE_KEYS else [])
+
+    def _group_checks(self, name: str, staged: DataFrame) -> list[tuple[str, DataFrame]]:
+        """What the staged rows violate together with stored ones: keys held already, and parts that don't
+        add up to the stated total. Of a fact only the partitions of the staged dates are read."""
+        stored, checks = self.read(name), []
+        if name in PARTITION_BY:
+            stored = joins.lookup_join(stored, staged.select(*PARTITION_BY[name]).distinct(), PARTITION_BY[name], "left_semi")
+        for cols in self._uniques(name):
+            checks.append((f"{name}.unique({','.join(cols)}) against stored rows", staged.select(*cols).join(stored.select(*cols), cols, "left_semi")))
+        if name in TOTALS:
+            checks.append((f"{name}.parts_equal_total", self.unreconciled(name, staged.unionByName(stored))))
         return checks
 
-    def append(self, name: str, df: DataFrame) -> None:
-        """Append rows after checking them; a violation raises and nothing is written."""
-        df = df.select(*SCHEMAS[name].names)
-        checks = self.write_checks(name, df)
-        quality.enforce(*[c for _, c in checks], names=[n for n, _ in checks])
-        w = df.write.mode("append")
-        if name in PARTITION_BY:
-            w = w.partitionBy(*PARTITION_BY[name])
-        w.parquet(self.path(name))
+    def unreconciled(self, name: str, facts: DataFrame) -> DataFrame:
+        """Groups whose parts don't add up to the total they state (groups without a total, or without parts, pass)."""
+        if name == "fact_disbursement":
+            leaf = self.read("dim_expense_type").select("expense_type_key", "is_leaf")
+            rows = joins.lookup_join(facts, leaf, "expense_type_key")
+            keys = ["date_key", "ministry_key"]
+            parts = rows.groupBy(*keys).agg(*[F.sum(F.when(F.col("is_leaf") == own, F.col(m))).alias(f"{m}_{own}".lower())
+                                              for m in TOTALS[name] for own in (True, False)])
+            sums = [(m, F.col(f"{m}_true"), F.col(f"{m}_false")) for m in TOTALS[name]]
+        else:
+            keys = ["date_key", "personnel_category_key"]
+            parts = facts.filter(F.col("parent_category_key").isNotNull()).groupBy(
+                "date_key", F.col("parent_category_key").alias("personnel_category_key")).agg(F.sum("headcount").alias("_parts"))
+            parts = facts.select(*keys, "headcount").join(parts, keys)
+            sums = [("headcount", F.col("_parts"), F.col("headcount"))]
+        wrong = [F.when(F.abs(own - total) > TOLERANCE * F.greatest(F.abs(total), F.lit(1)), F.lit(m)) for m, own, total in sums]
+        return parts.select(*keys, F.coalesce(*wrong).alias("measure")).filter(F.col("measure").isNotNull())
+
+    def append(self, name: str, df: DataFrame) -> int:
+        """Append rows unless one violates a rule: then it raises and nothing is written. Returns the rows written.
+
+        The rows are computed once: they are staged, and while they are written an
+        observation counts every row rule's violations (NOT NULL, CHECK, unique in the
+        batch, foreign keys). Rules over groups and stored rows read the staged rows.
+        Only then the staged rows join the table, in one commit.
+        """
+        flagged, rules = self._flagged(name, df.select(*SCHEMAS[name].names))
+        example = F.to_json(F.struct(*[F.col(c) for c in NATURAL_KEYS[name]]))
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        for i, broken in enumerate(rules.values()):
+            metrics += [F.count(F.when(broken, F.lit(1))).alias(f"n{i}"), F.min(F.when(broken, example)).alias(f"e{i}")]
+        staging = f"{self.root}/_staging/{name}-{uuid.uuid4().hex}"
+        seen = Observation()
+        try:
+            flagged.observe(seen, *metrics).select(*SCHEMAS[name].names).write.parquet(staging)
+            found = seen.get
+            broken = {label: (found[f"n{i}"], found[f"e{i}"]) for i, label in enumerate(rules) if found.get(f"n{i}")}
+            if broken:
+                raise quality.ConstraintViolation("; ".join(f"{n} violation(s) of {label}, e.g. {e}" for label, (n, e) in broken.items()))
+            staged = self.spark.read.schema(SCHEMAS[name]).parquet(staging)
+            checks = self._group_checks(name, staged)
+            quality.enforce(*[c for _, c in checks], names=[n for n, _ in checks])
+            if found.get("rows"):
+                w = staged.write.mode("append")
+                if name in PARTITION_BY:
+                    w = w.partitionBy(*PARTITION_BY[name])
+                w.parquet(self.path(name))
+            return found.get("rows", 0)
+        finally:
+            remove_path(self.spark, staging)
 
     def row_counts(self) -> DataFrame:
         out = None
@@ -164,15 +228,9 @@ class Warehouse:
         out["fact_workforce_summary.fk_category"] = quality.violations_fk(fw, pc, "personnel_category_key")
         out["fact_workforce_summary.fk_parent"] = quality.violations_fk(
             fw, pc, "parent_category_key", "personnel_category_key")
-        out["dim_date.check_era"] = quality.violations_check(
-            r("dim_date"), F.col("fiscal_year_ce") == F.col("fiscal_year_be") - 543, "date_key", "ce_eq_be_minus_543")
-        out["fact_workforce_summary.parent_only_for_total"] = quality.violations_check(
-            fw, (F.col("hierarchy_level") == 0) == F.col("parent_category_key").isNull(),
-            ["date_key", "personnel_category_key"], "parent_null_iff_grand_total")
-        # Specified data-quality rules: disbursed <= budget, headcount >= 0.
-        out["fact_disbursement.disbursed_le_budget"] = quality.violations_check(
-            fd, F.col("disbursed") <= F.col("budget_after_transfer"),
-            ["date_key", "ministry_key", "expense_type_key"], "disbursed_le_budget")
-        out["fact_workforce_summary.headcount_nonneg"] = quality.violations_check(
-            fw, F.col("headcount") >= 0, ["date_key", "personnel_category_key"], "headcount_nonneg")
+        for name, row_rules in ROW_RULES.items():
+            for label, holds in row_rules.items():
+                out[f"{name}.{label}"] = quality.violations_check(r(name), F.expr(holds), NATURAL_KEYS[name], label)
+        for name in TOTALS:
+            out[f"{name}.parts_equal_total"] = self.unreconciled(name, r(name))
         return out

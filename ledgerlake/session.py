@@ -82,3 +82,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a table at ``path``; a failing file system raises instead of looking like an absent table."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this job wrote."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -245,6 +247,37 @@ def test_unique_and_foreign_keys_are_rejected(spark, scratch):
     assert wh.read("fact_disbursement").count() == 72 and wh.read("dim_ministry").count() == 24
 
 
+def test_write_pass_rules_leave_no_row_and_no_staged_file(spark, scratch):
+    from ledgerlake.operators.quality import ConstraintViolation
+    wh, _ = _load(spark, scratch, f"{scratch}/wh")
+    new_date = wh.read("dim_date").limit(1).select(
+        F.lit(50).cast("long").alias("date_key"), F.lit("2030-01-05").alias("date_natural_key"), F.to_date(F.lit("2030-01-05")).alias("report_date"),
+        F.lit(2573).alias("fiscal_year_be"), F.lit(2030).alias("fiscal_year_ce"), F.lit(1).alias("month"), F.lit(2).alias("quarter"),
+        F.lit(False).alias("is_month_end"))
+    assert wh.append("dim_date", new_date) == 1
+    facts = wh.read("fact_disbursement").withColumn("date_key", F.lit(50).cast("long"))
+    staff = wh.read("fact_workforce_summary").withColumn("date_key", F.lit(50).cast("long"))
+    total = F.col("expense_type_key") == wh.read("dim_expense_type").filter("NOT is_leaf").first().expense_type_key
+    one = (F.col("ministry_key") == facts.agg(F.min("ministry_key")).first()[0]) & total
+    for table, rows, rule in (
+            ("fact_disbursement", facts.withColumn("disbursed", F.when(one, F.col("budget_after_transfer") + 1).otherwise(F.col("disbursed"))), "disbursed_le_budget"),
+            ("fact_disbursement", facts.withColumn("allocated", F.when(one, F.col("allocated") + 1).otherwise(F.col("allocated"))), "parts_equal_total"),
+            ("fact_disbursement", facts.unionByName(facts.filter(one)), "unique"),
+            ("fact_workforce_summary", staff.withColumn("headcount", F.when(F.col("hierarchy_level") == 1, F.col("headcount") + 1).otherwise(F.col("headcount"))),
+             "parts_equal_total"),
+            ("fact_workforce_summary", staff.withColumn("headcount", -F.col("headcount")), "headcount_nonneg"),
+            ("fact_workforce_summary", staff.withColumn("parent_category_key", F.lit(None).cast("long")), "parent_only_for_total")):
+        with pytest.raises(ConstraintViolation, match=rule):
+            wh.append(table, rows)
+    assert wh.read("fact_disbursement").count() == 72 and wh.read("fact_workforce_summary").count() == 25
+    assert wh.append("fact_disbursement", facts) == 72 and wh.append("fact_workforce_summary", staff) == 25
+    assert wh.append("fact_disbursement", facts.limit(0)) == 0
+    with pytest.raises(ConstraintViolation, match="against stored rows"):
+        wh.append("fact_disbursement", facts.filter(one))
+    assert os.listdir(f"{scratch}/wh/_staging") == []
+    assert all(v.isEmpty() for v in wh.violations().values())
+
+
 def test_file_without_manifest_entry_fails(spark, scratch):
     from ledgerlake.operators.quality import ConstraintViolation
     hashes = _land(scratch)
