@@ -17,12 +17,16 @@ def _list(x) -> list[str]:
 
 
 def profile_key(df: DataFrame, key: str) -> DataFrame:
-    """Rows, NULL keys and duplicated keys (``count(key) - count(DISTINCT key)``)."""
-    return df.agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.count(F.lit(1)) - F.count(key)).alias("null_keys"),
-        (F.count(key) - F.count_distinct(key)).alias("dup_keys"),
-    )
+    """Rows, NULL keys and duplicated keys: rows beyond the first of each key, NULL being one key too."""
+    n, nulls = F.count(F.lit(1)), F.count(F.lit(1)) - F.count(key)
+    keys = F.count_distinct(key) + F.least(nulls, F.lit(1))
+    return df.agg(n.alias("n"), nulls.alias("null_keys"), (n - keys).alias("dup_keys"))
+
+
+def sheet_counts(cells: DataFrame) -> DataFrame:
+    """Per workbook sheet: cells that hold a value or a formula, and those with a formula."""
+    held = F.col("value").isNotNull() | F.col("formula").isNotNull()
+    return cells.groupBy("path", "sheet").agg(F.count_if(held).alias("non_empty"), F.count("formula").alias("formulas"))
 
 
 def profile_measures(df: DataFrame, measures: Sequence[str]) -> DataFrame:

@@ -19,7 +19,9 @@ from ..operators import dedup, grid, hierarchy, joins, keys, profile, quality, r
 from ..sources import manifest
 from ..sources.tables import TABLES, ntz, table
 from ..streaming.status import ingest_status, landed_status
+from . import reports
 from .calendar_dim import build_dim_date
+from .warehouse import ROW_RULES
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,6 +44,8 @@ ORDER_GROUPS = (("F", "F", True), ("O", "O", True), ("P", "P", True), ("total",
 
 # Section layout of a conversation "report" (level, first row, last row, parent row).
 CONVERSATION_SECTIONS = ((0, 0, 0, None), (1, 1, 1, 0), (2, 2, 3, 1), (1, 4, 4, 0), (2, 5, 7, 4))
+# Fixed value: by how much an order's lines may miss its stated total.
+RECONCILE_TOLERANCE = 5000
 # Fixed value: the end of a section that runs to the report's last row.
 LAST_ROW = 1 << 40
 # Fixed value: shorter utterances are left out of the sheets of the missing-row queries.
@@ -545,6 +549,7 @@ def fk_violations(spark, d):
         ("supplier.s_nationkey", t("supplier"), "s_nationkey", t("nation"), "n_nationkey"),
         ("nation.n_regionkey", t("nation"), "n_regionkey", t("region"), "r_regionkey"),
         ("labels.doc_id", t("labels"), "doc_id", t("documents"), "doc_id"),
+        ("documents.doc_id", t("documents"), "doc_id", t("labels"), "doc_id"),
     ]
     out = None
     for name, child, cc, parent, pc in checks:
@@ -578,6 +583,112 @@ def ingest_status_by_part(spark, d):
     return ingest_status(parts, latest, known, "p_partkey")
 
 
+# ---------------------------------------------------------------- production operators on uneven data
+
+def _labelled(spark, d) -> DataFrame:
+    """Documents with their labels, which many lack."""
+    return _t(spark, d, "documents").select("doc_id", "source").join(_t(spark, d, "labels"), "doc_id", "left")
+
+
+@query
+def order_reconcile(spark, d):
+    """Orders' stated totals against the sum of their lines (few agree)."""
+    money = lambda c: F.round(F.col(c)).cast("decimal(18,0)").alias("v")
+    stated = _t(spark, d, "orders").select("o_orderkey", money("o_totalprice"))
+    lines = _t(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), money("l_extendedprice"))
+    out = profile.reconcile(stated, lines, "o_orderkey", "v", tolerance=RECONCILE_TOLERANCE)
+    return out.select("o_orderkey", "stated", F.col("children").cast("decimal(28,0)").alias("children"), "matches")
+
+
+@query
+def labels_not_null(spark, d):
+    return quality.violations_not_null(_labelled(spark, d), ["source", "quality", "toxic"], "doc_id")
+
+
+@query
+def label_key_profile(spark, d):
+    return profile.profile_key(_labelled(spark, d), "quality")
+
+
+@query
+def sheet_cell_counts(spark, d):
+    """Conversations as workbooks, roles as their sheets; long utterances count as formulas, short ones as empty cells."""
+    said = _t(spark, d, "conversations")
+    return profile.sheet_counts(said.select(
+        F.col("conv_id").cast("string").alias("path"), F.col("role").alias("sheet"),
+        F.when(F.length("text") >= SPOKEN_LENGTH, F.col("text")).alias("value"),
+        F.when(F.length("text") >= 5 * SPOKEN_LENGTH, F.col("text")).alias("formula")))
+
+
+@query
+def era_date_filter(spark, d):
+    """Dates written with the day three too late: those that don't exist are dropped."""
+    o = _t(spark, d, "orders").select("o_orderkey", F.concat(
+        (F.dayofmonth("o_orderdate") + 3).cast("string"), F.date_format("o_orderdate", "/MM/"),
+        (F.year("o_orderdate") + cal.ERA_OFFSET).cast("string")).alias("be_text"))
+    return o.withColumn("report_date", cal.parse_era_date("be_text")).filter(F.col("report_date").isNotNull())
+
+
+@query
+def attached_reports(spark, d):
+    entries = _order_entries(spark, d)
+    files = entries.select(F.concat(F.lit("landing/"), "source", F.lit("/"), "local_path").alias("path"))
+    return reports.attach_reports(files, entries, "F").select("path", "source", "report_date", "sha256")
+
+
+@query
+def known_report_dates(spark, d):
+    return manifest.known_dates(_order_entries(spark, d, source="o_orderpriority"))
+
+
+@query
+def strict_numbers(spark, d):
+    li = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *(F.col(c).cast("string").alias(f"{c}_text") for c in ("l_partkey", "l_quantity")))
+    return li.select("l_orderkey", "l_linenumber", sc.required_number("l_partkey_text", "long", "part").alias("part"),
+                     sc.required_number("l_quantity_text", "double", "quantity").alias("quantity"))
+
+
+@query
+def bool_forms(spark, d):
+    text = (F.when(F.col("value") > 100, " TRUE ").when(F.col("value") > 50, "True\t").when(F.col("value") > 20, "yes").when(F.col("value") > 10, ""))
+    return _t(spark, d, "events").select("event_id", sc.to_bool(text).alias("flag"))
+
+
+@query
+def text_preview(spark, d):
+    return _t(spark, d, "documents").select("doc_id", web.preview("text", SPOKEN_LENGTH).alias("preview"))
+
+
+@query
+def sampled_density(spark, d):
+    said = _t(spark, d, "conversations").withColumn("text", F.when(F.length("text") >= SPOKEN_LENGTH, F.col("text")))
+    return profile.classify_density(said, "conv_id", "turn", "text", sample_rows=3, preview_chars=20)
+
+
+@query
+def order_by_hash(spark, d):
+    """Each source's three documents with the smallest content hashes."""
+    docs = _t(spark, d, "documents").select("source", "doc_id", web.sha256_hex("text").alias("sha256"))
+    return dedup.first_per_key(docs, "source", [F.col("sha256").asc(), F.col("doc_id").asc()], k=3)
+
+
+@query
+def era_rule_violations(spark, d):
+    """The calendar's own rule on dates whose Buddhist year was taken from the calendar year, not the fiscal one."""
+    o = _t(spark, d, "orders").select(F.to_date("o_orderdate").alias("report_date")).distinct()
+    o = o.withColumns({"fiscal_year_ce": cal.fiscal_year_ce("report_date"), "fiscal_year_be": F.year("report_date") + cal.ERA_OFFSET})
+    return quality.violations_check(o, F.expr(ROW_RULES["dim_date"]["check_era"]), "report_date", "check_era")
+
+
+@query
+def parent_rule_violations(spark, d):
+    """The workforce table's rule that the grand total alone has no parent, on sections whose headings have none."""
+    rows = section_tables(spark, d).withColumn("parent_category_key", F.xxhash64("parent_category"))
+    rows = rows.withColumn("parent_category_key", F.when(F.col("parent_category").isNotNull(), F.col("parent_category_key")))
+    rule = F.expr(ROW_RULES["fact_workforce_summary"]["parent_only_for_total"])
+    return quality.violations_check(rows, rule, ["conv_id", "row_idx"], "parent_only_for_total")
+
+
 # Which operator-inventory lines each query exercises.
 COVERS: dict[str, tuple[str, ...]] = {
     "grid_slice": ("B4",), "grid_to_records": ("B2", "H2"),
@@ -586,21 +697,24 @@ COVERS: dict[str, tuple[str, ...]] = {
     "wide_to_long": ("B10", "H1"), "hierarchy_rollup": ("B11", "D19"), "hierarchy_levels": ("B11", "C2"),
     "hierarchy_leaf_sums": ("B9", "D7", "D19"), "leaf_vs_naive_sum": ("B9", "D7", "D18"),
     "share_of_total": ("C9", "I3"), "rollup_reconcile": ("D8", "K11"), "ratio_null_on_zero": ("I1", "I2"),
-    "era_date_parse": ("B7", "I9"), "fiscal_calendar": ("I10", "I11", "I12", "I13"),
-    "conformed_dates": ("G2", "I14", "I15"), "strict_cast": ("I6", "I7"), "bool_parse": ("I8",),
+    "era_date_parse": ("I9",), "fiscal_calendar": ("I10", "I11", "I12", "I13"),
+    "conformed_dates": ("G2", "I14"), "strict_cast": ("I7",), "bool_parse": ("I8",),
     "whitespace_profile": ("D15", "I4"), "listing_links": ("I19",), "page_has_file_link": ("B12",),
-    "resolve_relative_url": ("I18",), "resolve_references": ("I18",), "download_args": ("I17",), "prefix_count": ("B5", "D12", "I23"),
-    "latest_per_key": ("A4", "D1", "D2", "F1"), "dim_last_wins": ("D4",), "first_wins": ("D5",),
+    "resolve_relative_url": ("I18",), "resolve_references": ("I18",), "download_args": ("I17",), "prefix_count": ("B5", "I23"),
+    "latest_per_key": ("D1", "D2"), "dim_last_wins": ("D4",), "first_wins": ("D5",),
     "distinct_levels": ("D17", "G3"), "first_last_row": ("F4",), "high_water_mark": ("D3", "J1", "J2"),
     "content_hash_dedup": ("I20", "J3"), "hash_already_known": ("C5",), "surrogate_keys": ("E1",),
     "customer_keys": ("E1",), "resolve_fact_keys": ("C1", "C4"), "insert_if_absent": ("C3", "J5", "J6"),
-    "parent_key_lookup": ("C2", "I5", "K9"), "star_join_leaf_sum": ("C6",),
+    "parent_key_lookup": ("C2", "I5"), "star_join_leaf_sum": ("C6",),
     "manifest_entries": ("A9", "C11", "I16", "I21"), "landed_files": ("J2", "J3", "J4", "J7"), "table_row_counts": ("A12", "D6"),
-    "key_profile": ("D9", "K6"), "measure_profile": ("D10", "D11"), "density_classify": ("D13", "D14", "F3", "I22"),
+    "key_profile": ("D9",), "measure_profile": ("D10", "D11"), "density_classify": ("D13", "D14"),
     "density_summary": ("D14",), "negative_positions": ("D11",), "dirty_text_nodes": ("D15", "I4"),
     "not_null_violations": ("K6",), "unique_violations": ("K5",), "functional_dependency": ("D16",),
-    "fk_violations": ("C10", "K7"), "check_violations": ("K8", "K10"), "pattern_violations": ("K12",),
-    "ingest_status_by_part": ("J7",),
+    "fk_violations": ("C10", "K7"), "check_violations": ("K10",), "pattern_violations": ("K12",),
+    "ingest_status_by_part": ("J7",), "order_reconcile": ("D8", "K11"), "labels_not_null": ("K6",), "label_key_profile": ("D9",),
+    "sheet_cell_counts": ("D12",), "era_date_filter": ("B7", "I9"), "attached_reports": ("B8", "I21"), "known_report_dates": ("D3", "I15"),
+    "strict_numbers": ("I6",), "bool_forms": ("I8",), "text_preview": ("I22",), "sampled_density": ("D13", "F3"), "order_by_hash": ("F2", "I20"),
+    "era_rule_violations": ("K8",), "parent_rule_violations": ("K9",),
 }
 
 
@@ -888,6 +1002,46 @@ WHERE l_orderkey IS NULL OR l_partkey IS NULL OR l_suppkey IS NULL OR l_quantity
 SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1""",
     "functional_dependency": """
 SELECT c_nationkey, COUNT(DISTINCT c_mktsegment) AS n_values, COUNT(DISTINCT c_mktsegment) = 1 AS holds FROM customer GROUP BY 1""",
+    "order_reconcile": """
+WITH s AS (SELECT o_orderkey, round(o_totalprice)::DECIMAL(18,0) AS stated FROM orders),
+k AS (SELECT l_orderkey AS o_orderkey, sum(round(l_extendedprice)::DECIMAL(18,0))::DECIMAL(28,0) AS children FROM lineitem GROUP BY 1)
+SELECT o_orderkey, stated, children, coalesce(abs(stated - children) <= 5000, false) AS matches FROM s FULL JOIN k USING (o_orderkey)""",
+    "labels_not_null": """
+SELECT d.doc_id, CASE WHEN d.source IS NULL THEN 'source' WHEN l.quality IS NULL THEN 'quality' ELSE 'toxic' END AS null_column
+FROM documents d LEFT JOIN labels l USING (doc_id) WHERE d.source IS NULL OR l.quality IS NULL OR l.toxic IS NULL""",
+    "label_key_profile": """
+WITH j AS (SELECT l.quality FROM documents d LEFT JOIN labels l USING (doc_id))
+SELECT (SELECT count(*) FROM j) AS n, (SELECT count(*) FROM j WHERE quality IS NULL) AS null_keys,
+  (SELECT count(*) FROM j) - (SELECT count(*) FROM (SELECT DISTINCT quality FROM j)) AS dup_keys""",
+    "sheet_cell_counts": """
+SELECT conv_id::VARCHAR AS path, role AS sheet, count(*) FILTER (WHERE length(text) >= 100) AS non_empty,
+  count(*) FILTER (WHERE length(text) >= 500) AS formulas FROM conversations GROUP BY 1, 2""",
+    "era_date_filter": """
+SELECT o_orderkey, (day(o_orderdate) + 3) || strftime(o_orderdate, '/%m/') || (year(o_orderdate) + 543) AS be_text,
+  CAST(o_orderdate AS DATE) + 3 AS report_date FROM orders WHERE month(CAST(o_orderdate AS DATE) + 3) = month(o_orderdate)""",
+    "attached_reports": """
+SELECT 'landing/' || f.o_orderstatus || '/' || f.o_orderkey AS path, o.o_orderstatus AS source, strftime(o.o_orderdate, '%Y-%m-%d') AS report_date,
+  sha256(round(o.o_totalprice / 100)::BIGINT::VARCHAR) AS sha256 FROM orders f JOIN orders o ON o.o_orderkey = f.o_orderkey WHERE o.o_orderstatus = 'F'""",
+    "known_report_dates": """
+SELECT o_orderpriority AS source, max(o_orderdate::DATE) AS hwm FROM orders GROUP BY 1""",
+    "strict_numbers": """
+SELECT l_orderkey, l_linenumber, CAST(CAST(l_partkey AS VARCHAR) AS BIGINT) AS part, CAST(CAST(l_quantity AS VARCHAR) AS DOUBLE) AS quantity FROM lineitem""",
+    "bool_forms": """
+SELECT event_id, coalesce(value > 50, false) AS flag FROM events""",
+    "text_preview": """
+SELECT doc_id, text[1:100] AS preview FROM documents""",
+    "sampled_density": """
+WITH s AS (SELECT conv_id, turn, CASE WHEN length(text) >= 100 AND regexp_matches(text, '[^\\s]') THEN text END AS t FROM conversations
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) <= 3)
+SELECT conv_id, count(t) AS rows_with_data, count(t) <= 2 AS sparse, substring(arg_min(t, turn) FILTER (WHERE t IS NOT NULL), 1, 20) AS first_cell_text
+FROM s GROUP BY 1""",
+    "order_by_hash": """
+SELECT source, doc_id, sha256(text) AS sha256 FROM documents
+QUALIFY row_number() OVER (PARTITION BY source ORDER BY sha256(text) NULLS FIRST, doc_id) <= 3""",
+    "era_rule_violations": """
+SELECT DISTINCT o_orderdate::DATE AS report_date, 'check_era' AS check_name FROM orders WHERE month(o_orderdate) >= 10""",
+    "parent_rule_violations": """
+SELECT conv_id, turn AS row_idx, 'parent_only_for_total' AS check_name FROM conversations WHERE role = 'user'""",
     "fk_violations": """
 SELECT 'orders.o_custkey' AS check_name, CAST(o_custkey AS BIGINT) AS child_key FROM orders x
   WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer p WHERE p.c_custkey = x.o_custkey)
@@ -904,7 +1058,9 @@ UNION ALL SELECT 'supplier.s_nationkey', CAST(s_nationkey AS BIGINT) FROM suppli
 UNION ALL SELECT 'nation.n_regionkey', CAST(n_regionkey AS BIGINT) FROM nation x
   WHERE n_regionkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM region p WHERE p.r_regionkey = x.n_regionkey)
 UNION ALL SELECT 'labels.doc_id', CAST(doc_id AS BIGINT) FROM labels x
-  WHERE doc_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM documents p WHERE p.doc_id = x.doc_id)""",
+  WHERE doc_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM documents p WHERE p.doc_id = x.doc_id)
+UNION ALL SELECT 'documents.doc_id', CAST(doc_id AS BIGINT) FROM documents x
+  WHERE doc_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM labels p WHERE p.doc_id = x.doc_id)""",
     "check_violations": """
 SELECT c_custkey AS row_key, 'acctbal_nonneg' AS check_name FROM customer WHERE NOT (c_acctbal >= 0)
 UNION ALL SELECT s_suppkey, 'acctbal_nonneg_supplier' FROM supplier WHERE NOT (s_acctbal >= 0)""",
