@@ -18,6 +18,8 @@ a contaminated text is reported once per item; an empty benchmark finds nothing.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +32,6 @@ MIN_MATCH = 5
 MIN_COVERAGE = 0.5
 BITS = 1 << 22              # of the seed table, whatever the benchmark
 BROADCAST_ROWS = 1_000_000  # texts' digests; beyond, a shuffle
-FIRST_LENGTH = 20           # of the search; longer matches raise it
 CUTS = np.zeros(256, bool)
 CUTS[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 
@@ -110,54 +111,68 @@ def shared_tokens(docs: DataFrame, table: np.ndarray, doc_id: str, text: str) ->
         run, f"doc_id {kind}, key long, pos array<int>, tok array<long>")
 
 
-def tiles(doc: np.ndarray, place: np.ndarray, item: np.ndarray, least: int = MIN_MATCH) -> list[tuple[int, int, int]]:
-    """(place in the item, place in the document, length) of the greedy tiles; ``place``: the tokens' positions."""
+def _run_lengths(ok: np.ndarray, joined: np.ndarray) -> np.ndarray:
+    """From each position on, how many are ok in a row; ``joined``: whether the next position belongs to the run."""
+    stop = np.flatnonzero(~(ok & joined)) if len(ok) else np.zeros(0, np.int64)
+    end = stop[np.searchsorted(stop, np.arange(len(ok)))] if len(ok) else stop
+    return np.where(ok, end - np.arange(len(ok)) + ok[end], 0) if len(ok) else np.zeros(0, np.int64)
+
+
+def _maximal(doc: np.ndarray, chained: np.ndarray, item: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(length, place in the item, index in the document) of all matches of ``least`` tokens and more that can't be
+    extended either way: windows met by their Karp-Rabin hashes, lengths by binary search on the same running sums."""
     power = np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(max(len(doc), len(item)), 0x9E3779B97F4A7C15, np.uint64))))
-    free_d, free_i, out = np.ones(len(doc), bool), np.ones(len(item), bool), []
-    chained = np.concatenate((place[1:] == place[:-1] + 1, [False]))  # the next token is next in the text too
+    total_d, total_i = (np.concatenate((np.zeros(1, np.uint64), np.cumsum(x * power[:len(x)]))) for x in (doc, item))
+    top = len(power) - 1
+    hashed = lambda total, at, n: (total[at + n] - total[at]) * power[top - at]  # noqa: E731  (equal windows get equal powers)
+    run = _run_lengths(np.ones(len(doc), bool), chained)
+    at_d = np.flatnonzero(run >= least)
+    keys = hashed(total_d, at_d, least)
+    order = np.argsort(keys, kind="stable")
+    at_d, keys = at_d[order], keys[order]
+    found = [np.zeros((3, 0), np.int64)]
+    for a in range(len(item) - least + 1):
+        key = hashed(total_i, np.array([a]), least)[0]
+        b = at_d[np.searchsorted(keys, key, "left"):np.searchsorted(keys, key, "right")]
+        if a:  # a match that goes on to the left is found from there
+            b = b[(b == 0) | ~chained[b - 1] | (doc[b - 1] != item[a - 1])]
+        if not len(b):
+            continue
+        low, high = np.full(len(b), least), np.minimum(run[b], len(item) - a)
+        while (low < high).any():
+            mid = (low + high + 1) // 2
+            same = hashed(total_d, b, mid) == hashed(total_i, np.full(len(b), a), mid)
+            low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
+        found.append(np.stack((low, np.full(len(b), a), b)))
+    n, a, b = np.concatenate(found, 1)
+    return n, a, b
+
 
-    def windows(tokens: np.ndarray, ok: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Starts of the windows whose tokens are all ok, and their Karp-Rabin hashes."""
-        if len(tokens) < size:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        total = np.zeros(len(tokens) + 1, np.uint64)
-        np.cumsum(tokens * power[:len(tokens)], out=total[1:])
-        bad = np.concatenate(([0], np.cumsum(~ok)))
-        at = np.flatnonzero(bad[size:] == bad[:-size])
-        return at, (total[at + size] - total[at]) * power[len(power) - 1 - at]  # equal windows get equal powers
-
-    def matches(size: int) -> list[tuple[int, int, int]]:
-        by_hash: dict[int, list[int]] = {}
-        at, hashes = windows(item, free_i, size)
-        for a, h in zip(at.tolist(), hashes.tolist(), strict=True):
-            by_hash.setdefault(h, []).append(a)
-        at, hashes = windows(doc, free_d, size)
-        found = []
-        for b, h in zip(at.tolist(), hashes.tolist(), strict=True):
-            for a in by_hash.get(h, ()):
-                n = 0
-                while (a + n < len(item) and b + n < len(doc) and free_i[a + n] and free_d[b + n]
-                       and item[a + n] == doc[b + n] and (n == 0 or chained[b + n - 1])):
-                    n += 1
-                if n >= size:
-                    found.append((n, a, b))
-        return found
-
-    size = FIRST_LENGTH
-    while True:
-        found = matches(size)
-        longest = max((n for n, _, _ in found), default=0)
-        if longest > 2 * size:
-            size = longest
+def tiles(doc: np.ndarray, place: np.ndarray, item: np.ndarray, least: int = MIN_MATCH) -> list[tuple[int, int, int]]:
+    """(place in the item, place in the document, length) of the greedy tiles: always the longest match that is
+    still free (of equal ones the first in the item, then in the document). ``place``: the tokens' positions.
+    A match that marked tokens cut goes back to the queue in its free parts."""
+    if len(item) < least or len(doc) < least:
+        return []
+    chained = np.concatenate((place[1:] == place[:-1] + 1, [False]))  # the next token is next in the text too
+    free_d, free_i, out = np.ones(len(doc), bool), np.ones(len(item), bool), []
+    queue = [(-n, a, b) for n, a, b in zip(*(x.tolist() for x in _maximal(doc, chained, item, least)), strict=True)]
+    heapq.heapify(queue)
+    left = len(item)
+    while queue and left >= least:
+        n, a, b = heapq.heappop(queue)
+        free = free_i[a:a - n] & free_d[b:b - n]
+        if free.all():
+            if (item[a:a - n] == doc[b:b - n]).all():
+                free_i[a:a - n] = free_d[b:b - n] = False
+                out.append((a, int(place[b]), -n))
+                left += n
             continue
-        for n, a, b in sorted(found, key=lambda x: (-x[0], x[1], x[2])):
-            if free_i[a:a + n].all() and free_d[b:b + n].all():
-                free_i[a:a + n] = free_d[b:b + n] = False
-                out.append((a, int(place[b]), n))
-        if size > least:
-            size = max(least, size // 2)
-        elif not found:
-            return sorted(out)
+        edge = np.flatnonzero(np.diff(np.concatenate(([0], free, [0]))))
+        for first, last in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
+            if last - first >= least:
+                heapq.heappush(queue, (first - last, a + first, b + first))
+    return sorted(out)
 
 
 def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
