@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +52,7 @@ BLOCK_BYTES = 4096         # of differences that count as one class more
 BUCKETS = 1 << 17          # of the rarity table, whatever the corpus
 SIGNATURE = 512            # bits of a sketch's table
 LIKE = 144                 # differing bits from a centre up to which its texts are compared (unlike sketches: about 176)
+PACK_LEVEL = 3             # of the texts' compression
 BROADCAST_ROWS = 1_000_000  # ids (8 bytes each); beyond, a shuffle
 
 
@@ -159,7 +161,7 @@ def similar(s: np.ndarray, t: np.ndarray) -> bool:
 
 
 def _texts(need: DataFrame, found: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
-    """cls and one text of each class in ``need`` (cls)."""
+    """cls and one text (compressed) of each class in ``need`` (cls)."""
     one = checkpointed(docs.sparkSession, found.join(need, "cls").groupBy("cls").agg(F.min("doc_id").alias("doc_id")))
     if one.count() <= BROADCAST_ROWS:
         one = F.broadcast(one)
@@ -178,7 +180,26 @@ def _texts(need: DataFrame, found: DataFrame, docs: DataFrame, doc_id: str, text
     several = found.where(F.col("cls").isNotNull()).groupBy("doc_id").agg(F.min("cls").alias("x"), F.max("cls").alias("y"))
     if several.where("x <> y").limit(1).count():
         sets = sets.mapInArrow(own, "cls long, text string")
-    return sets.dropDuplicates(["cls"])
+    return _packed(sets).dropDuplicates(["cls"])
+
+
+def _packed(texts: DataFrame) -> DataFrame:
+    """``texts`` (cls, text) with the text compressed: it is shuffled once per pair, and words compress well one text at a time."""
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=PACK_LEVEL).compress
+        for batch in batches:
+            packed = [pack(t) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["cls", "text"])
+
+    return texts.mapInArrow(run, "cls long, text binary")
+
+
+def _unpacked(batch: pa.RecordBatch, *columns: int) -> pa.RecordBatch:
+    """``batch`` with the compressed texts of some columns plain again."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    arrays = [pa.array([unpack(x) for x in a.to_pylist()], pa.binary()).cast(pa.string()) if k in columns else a
+              for k, a in enumerate(batch.columns)]
+    return pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
 
 
 def _verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
@@ -191,7 +212,7 @@ def _verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, doc_id: str,
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
+                part = _unpacked(batch.slice(at, 64), 2, 3)
                 left = [s for _, s in _sets(part, 2, size)]
                 right = [s for _, s in _sets(part, 3, size)]
                 keep = pa.array([similar(s, t) for s, t in zip(left, right, strict=True)], pa.bool_())
@@ -259,7 +280,7 @@ def _differences(members: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
-                part = batch.slice(start, 64)
+                part = _unpacked(batch.slice(start, 64), 2, 3)
                 out = []
                 for (_, s), (_, t) in zip(_sets(part, 2, size), _sets(part, 3, size), strict=True):
                     kept, old = np.isin(s, t, assume_unique=True), np.isin(t, s, assume_unique=True)
