@@ -7,7 +7,8 @@ per query with identical column names and types.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..functions import scalars as sc
 from ..functions import web
-from ..operators import dedup, grid, hierarchy, joins, keys, profile, quality, reshape
+from ..operators import dedup, dependencies, grid, hierarchy, joins, keys, profile, quality, reshape
 from ..sources import manifest
 from ..sources.tables import TABLES, ntz, table
 from ..streaming.status import ingest_status, landed_status
@@ -537,6 +538,16 @@ def functional_dependency(spark, d):
     return profile.holds_fd(_t(spark, d, "customer"), "c_nationkey", "c_mktsegment")
 
 
+@query
+def all_dependencies(spark, d):
+    found = None
+    for name in ("part", "customer"):
+        part = dependencies.dependencies(_t(spark, d, name)).select(
+            F.lit(name).alias("table_name"), F.array_join("left", ",").alias("left"), "right")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 @query
 def fk_violations(spark, d):
     t = lambda n: _t(spark, d, n)
@@ -709,7 +720,7 @@ COVERS: dict[str, tuple[str, ...]] = {
     "manifest_entries": ("A9", "C11", "I16", "I21"), "landed_files": ("J2", "J3", "J4", "J7"), "table_row_counts": ("A12", "D6"),
     "key_profile": ("D9",), "measure_profile": ("D10", "D11"), "density_classify": ("D13", "D14"),
     "density_summary": ("D14",), "negative_positions": ("D11",), "dirty_text_nodes": ("D15", "I4"),
-    "not_null_violations": ("K6",), "unique_violations": ("K5",), "functional_dependency": ("D16",),
+    "not_null_violations": ("K6",), "unique_violations": ("K5",), "functional_dependency": ("D16",), "all_dependencies": ("D16", "D17"),
     "fk_violations": ("C10", "K7"), "check_violations": ("K10",), "pattern_violations": ("K12",),
     "ingest_status_by_part": ("J7",), "order_reconcile": ("D8", "K11"), "labels_not_null": ("K6",), "label_key_profile": ("D9",),
     "sheet_cell_counts": ("D12",), "era_date_filter": ("B7", "I9"), "attached_reports": ("B8", "I21"), "known_report_dates": ("D3", "I15"),
@@ -736,7 +747,24 @@ walk AS (SELECT node, parent, 0 AS level, node AS root, ''::VARCHAR AS path FROM
   UNION ALL SELECT t.node, t.parent, w.level + 1, w.root, t.parent || CASE WHEN w.path = '' THEN '' ELSE '<' || w.path END
     FROM tree t JOIN walk w ON t.parent = w.node)"""
 
+def _dependency_sql(table: str, columns: Sequence[str], max_left: int = 4) -> str:
+    """Every set of columns counted, every dependency tried, the minimal ones kept."""
+    sets = [c for k in range(1, max_left + 2) for c in combinations(sorted(columns), k)]
+    counts = " UNION ALL ".join(f"SELECT '{','.join(s)}' AS s, count(*) AS n FROM (SELECT DISTINCT {', '.join(s)} FROM {table})" for s in sets)
+    tries = ", ".join(f"('{','.join(x for x in s if x != a)}', '{a}', '{','.join(s)}')" for s in sets for a in s)
+    return f"""
+SELECT '{table}' AS table_name, h.l AS "left", h.r AS "right" FROM (
+  WITH sizes AS ({counts} UNION ALL SELECT '', count(*) FROM (SELECT 1 FROM {table} LIMIT 1)),
+  tries(l, r, s) AS (VALUES {tries}),
+  holds AS (SELECT t.l, t.r FROM tries t JOIN sizes a ON a.s = t.l JOIN sizes b ON b.s = t.s WHERE a.n = b.n)
+  SELECT l, r FROM holds x WHERE NOT EXISTS (SELECT 1 FROM holds y WHERE y.r = x.r AND y.l <> x.l
+    AND (y.l = '' OR list_has_all(string_split(x.l, ','), string_split(y.l, ','))))) h"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "all_dependencies": " UNION ALL ".join((
+        _dependency_sql("part", ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")),
+        _dependency_sql("customer", ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")))),
     "grid_slice": """
 SELECT c.conv_id, c.turn AS row_idx, c.role FROM conversations c
 JOIN (SELECT conv_id, MAX(turn) AS last_row FROM conversations GROUP BY conv_id) b ON b.conv_id = c.conv_id
