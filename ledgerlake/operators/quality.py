@@ -63,6 +63,23 @@ def violations_fk(child: DataFrame, parent: DataFrame, child_cols, parent_cols=N
     return out
 
 
+def violations_fks(child: DataFrame, references: Sequence[tuple[str, str, DataFrame, str]]) -> DataFrame:
+    """``check_name, child_key`` of the rows that break any of a table's references, checked together.
+
+    ``references``: (name, column, parent, parent's column), keys of one type family (cast to
+    BIGINT). The child is read once for its distinct references, all of them in one
+    exchange, and once more only for the rows that hold a missing one.
+    """
+    held = child.select(F.inline(F.array(*[F.struct(F.lit(name).alias("check_name"), F.col(c).cast("long").alias("child_key"))
+                                           for name, c, _, _ in references]))).filter(F.col("child_key").isNotNull())
+    known = None
+    for name, _, parent, c in references:
+        keys = parent.select(F.lit(name).alias("check_name"), F.col(c).cast("long").alias("child_key"))
+        known = keys if known is None else known.unionByName(keys)
+    missing = held.distinct().join(known, ["check_name", "child_key"], "left_anti")
+    return lookup_join(held, missing, ["check_name", "child_key"], "left_semi")
+
+
 def violations_check(df: DataFrame, condition: Column, key, check_name: str) -> DataFrame:
     """Rows where ``condition`` is FALSE (NULL passes, like SQL CHECK)."""
     return df.filter(~condition).select(*[F.col(k) for k in _list(key)], F.lit(check_name).alias("check_name"))

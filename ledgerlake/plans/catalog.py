@@ -551,21 +551,20 @@ def all_dependencies(spark, d):
 @query
 def fk_violations(spark, d):
     t = lambda n: _t(spark, d, n)
-    checks = [
-        ("orders.o_custkey", t("orders"), "o_custkey", t("customer"), "c_custkey"),
-        ("lineitem.l_orderkey", t("lineitem"), "l_orderkey", t("orders"), "o_orderkey"),
-        ("lineitem.l_partkey", t("lineitem"), "l_partkey", t("part"), "p_partkey"),
-        ("lineitem.l_suppkey", t("lineitem"), "l_suppkey", t("supplier"), "s_suppkey"),
-        ("customer.c_nationkey", t("customer"), "c_nationkey", t("nation"), "n_nationkey"),
-        ("supplier.s_nationkey", t("supplier"), "s_nationkey", t("nation"), "n_nationkey"),
-        ("nation.n_regionkey", t("nation"), "n_regionkey", t("region"), "r_regionkey"),
-        ("labels.doc_id", t("labels"), "doc_id", t("documents"), "doc_id"),
-        ("documents.doc_id", t("documents"), "doc_id", t("labels"), "doc_id"),
-    ]
+    references = {
+        "orders": [("orders.o_custkey", "o_custkey", t("customer"), "c_custkey")],
+        "lineitem": [("lineitem.l_orderkey", "l_orderkey", t("orders"), "o_orderkey"),
+                     ("lineitem.l_partkey", "l_partkey", t("part"), "p_partkey"),
+                     ("lineitem.l_suppkey", "l_suppkey", t("supplier"), "s_suppkey")],
+        "customer": [("customer.c_nationkey", "c_nationkey", t("nation"), "n_nationkey")],
+        "supplier": [("supplier.s_nationkey", "s_nationkey", t("nation"), "n_nationkey")],
+        "nation": [("nation.n_regionkey", "n_regionkey", t("region"), "r_regionkey")],
+        "labels": [("labels.doc_id", "doc_id", t("documents"), "doc_id")],
+        "documents": [("documents.doc_id", "doc_id", t("labels"), "doc_id")],
+    }
     out = None
-    for name, child, cc, parent, pc in checks:
-        v = quality.violations_fk(child.select(cc), parent, cc, pc) \
-            .select(F.lit(name).alias("check_name"), F.col(cc).cast("long").alias("child_key"))
+    for child, refs in references.items():
+        v = quality.violations_fks(t(child), refs)
         out = v if out is None else out.unionByName(v)
     return out
 

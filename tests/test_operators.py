@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fixtures import plan_text, make_xlsx, write
-from ledgerlake.operators import dedup, grid, joins, keys, profile, reshape
+from ledgerlake.operators import dedup, grid, joins, keys, profile, quality, reshape
 from ledgerlake.sources import workbook
 
 
@@ -180,3 +180,10 @@ def test_records_from_cells_config_and_dataframe_layouts_agree(spark):
     b = grid.records_from_cells(cells, grid.layout_columns(spark, mapping), ["first", "third"], "path")
     rows = lambda df: sorted(tuple(r) for r in df.select("path", "row_idx", "first", "third").collect())
     assert rows(a) == rows(b) == [("p", 1, "a", "b"), ("p", 2, None, "c")]
+
+
+def test_references_of_a_table_are_checked_together(spark):
+    child = spark.createDataFrame([(1, 10), (2, None), (None, 99), (9, 99), (9, 10)], "a int, b long")
+    pa, pb = spark.createDataFrame([(1,), (2,)], "a int"), spark.createDataFrame([(10,)], "k int")
+    out = quality.violations_fks(child, [("t.a", "a", pa, "a"), ("t.b", "b", pb, "k")])
+    assert sorted(map(tuple, out.collect())) == [("t.a", 9), ("t.a", 9), ("t.b", 99), ("t.b", 99)]
