@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions import calendar as cal
 from ..functions import web
-from ..operators import dedup
+from ..operators import dedup, joins
 from ..session import path_exists
 
 ENTRY_SCHEMA = T.StructType([
@@ -30,6 +30,7 @@ ENTRY_SCHEMA = T.StructType([
 DOCUMENT_SCHEMA = T.StructType([T.StructField("files", T.ArrayType(ENTRY_SCHEMA))])
 TABLE_SCHEMA = T.StructType([*ENTRY_SCHEMA.fields, T.StructField("ordinal", T.LongType())])
 TABLE_COLUMNS = TABLE_SCHEMA.names
+SALT_BUCKETS = 32  # a source's reports are dealt to so many reducers: few sources hold all reports
 
 
 def read_manifest_json(spark: SparkSession, path: str) -> DataFrame:
@@ -72,11 +73,12 @@ def build_entries(reports: DataFrame, template: DataFrame, downloaded_by: str =
 
     ``reports(source, report_date DATE, sha256)`` are the chosen reports, one row
     each, and ``template`` the latest entry per source, which supplies the source's
-    name and URL. A source without a template gets no entry (inner join).
+    name and URL. A source without a template gets no entry (inner join). The template
+    is an aggregate by source, which AQE can't split a hot source against: salted.
     """
     t = template.select("source", "source_name_th", "source_url")
     fname = cal.report_file_name("report_date")
-    return (reports.select("source", "report_date", "sha256").join(t, "source")
+    return (joins.lookup_join(reports.select("source", "report_date", "sha256"), t, "source", salt_buckets=SALT_BUCKETS)
             .select("source", "source_name_th", "source_url",
                     F.concat(F.lit("raw/"), F.lower("source"), F.lit("/"), fname).alias("local_path"),
                     F.date_format("report_date", "yyyy-MM-dd").alias("report_date"),

@@ -55,6 +55,22 @@ def test_build_entries_inherits_template(spark, scratch):
     assert r.sha256 == sha and r.downloaded_by == "auto"
 
 
+def test_reports_of_one_source_are_dealt_to_many_tasks(spark, scratch):
+    e = _doc(spark, scratch, DOC)
+    chosen = spark.range(4000).select(F.lit("TIDE").alias("source"), F.to_date(F.lit("2031-06-01")).alias("report_date"), F.col("id").cast("string").alias("sha256"))
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k, None) for k in off}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        out = manifest.build_entries(chosen, manifest.latest_per_source(e))
+        held = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(held) == 4000 and max(held) < 2000                     # a plain join puts all in one
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_hash_known_and_append(spark, scratch):
     e = _doc(spark, scratch, DOC)
     incoming = spark.createDataFrame([("c3",), ("h9",)], "sha256 string")
