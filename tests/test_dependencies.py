@@ -5,6 +5,9 @@ from itertools import combinations
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from ledgerlake.operators import dependencies as module
 from ledgerlake.operators.dependencies import dependencies
 
 
@@ -45,3 +48,17 @@ def test_on_the_given_tables(spark):
         df = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
         got = {(tuple(r.left), r.right) for r in dependencies(df).collect()}
         assert got == brute([tuple(r) for r in df.collect()], df.columns, 4)
+
+
+def test_tasks_hold_a_fixed_number_of_cells(spark, monkeypatch):
+    """Four times the rows take four times the tasks, not four times the memory; a common value gathers nowhere."""
+    monkeypatch.setattr(module, "CELLS", 1000)
+    sets = [frozenset(x) for x in ("a", "b", "ab")]
+    for n in (1000, 4000):
+        rows = spark.range(0, n, 1, 2).select(F.col("id").alias("a"), F.when(F.col("id") % 10 == 0, F.col("id")).alias("b"), F.lit(0).alias("_slice_"))
+        groups = module._groups(rows, n, sets)
+        assert groups.rdd.getNumPartitions() == 3 * n // 1000
+        held = [r["count"] for r in groups.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(held) < 2 * 1000 and sum(held) == 2 * n + n // 10 + 1
+        assert {r["set"]: r["n"] for r in groups.groupBy("set").agg(F.sum("n").alias("n")).collect()} == dict.fromkeys(range(3), n)
+        assert {(tuple(r.left), r.right) for r in dependencies(rows.select("a", "b")).collect()} == {(("a",), "b")}
