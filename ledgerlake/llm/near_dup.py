@@ -16,8 +16,9 @@ A sketch is also kept as a bit table of ``SIGNATURE`` bits. The bits in which tw
 tables differ are at most the values that the sketches don't share, so pairs
 with too many of them are dropped for certain, before their texts are read.
 
-A list links its classes to its least class only. Where components still differ,
-the lists' most frequent classes become centres, and each class of such a list
+A list links its classes to its least class only. In a list of ``SHORT`` classes at
+most, the others then meet across components, by their signatures. Where components
+still differ in longer lists, their most frequent classes become centres, and each class of such a list
 whose signature is like its centre's is compared with it. Classes near the centre
 are then compared among one another, across components and in blocks, by their
 few differences to it: their exact similarity follows from those. Pairs with a
@@ -45,6 +46,7 @@ from ledgerlake.llm.store import checkpointed, release, small_batches
 K = 128
 AGREE = 80
 THRESHOLD = (4, 5)         # 0.8, as a fraction of integers
+SHORT = 8                  # classes of a list that meet pair by pair
 NEAR = 0.5                 # similarity to a centre from which differences to it are kept
 BLOCK = 1024               # classes that are compared at once
 BLOCK_BYTES = 4096         # of differences that count as one class more
@@ -223,14 +225,28 @@ def _hopeful(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").where(_alike(_differing("bits_a", "bits_b"))).select("a", "b")
 
 
+def _shared(found: DataFrame) -> DataFrame:
+    """v, cls, n, c (the list's least class), n_c, k (classes) of the lists that hold several; slim rows, shuffled by list once."""
+    one = found.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
+    lists = one.select(F.explode("keys").alias("v"), "cls", "n").repartition("v")
+    least = lists.groupBy("v").agg(F.min(F.struct("cls", "n")).alias("c"), F.count("*").alias("k")).where("k > 1")
+    return lists.join(least, "v").select("v", "cls", "n", F.col("c.cls").alias("c"), F.col("c.n").alias("n_c"), "k")
+
+
 def _star(lists: DataFrame) -> DataFrame:
     """Pairs of each list's least class with its other classes."""
-    centre = lists.groupBy("v").agg(F.min(F.struct("cls", "n")).alias("c"), F.count("*").alias("k")).where("k > 1")
-    at = lists.join(centre.select("v", "c"), "v").where("cls <> c.cls")
-    at = at.select(F.col("c.cls").alias("a"), F.col("cls").alias("b"), F.col("c.n").alias("n_a"), F.col("n").alias("n_b"))
+    at = lists.where("cls <> c").select(F.col("c").alias("a"), F.col("cls").alias("b"), F.col("n_c").alias("n_a"), F.col("n").alias("n_b"))
     return at.where(_possible("true")).select("a", "b").distinct()
 
 
+def _short_pairs(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs across components of the classes of short lists, without the least ones: those are settled."""
+    at = _relabelled(lists.where(f"k > 2 AND k <= {SHORT} AND cls <> c").select("v", "cls", "n"), labels)
+    side = lambda x: at.select("v", *(F.col(c).alias(f"{c}_{x}") for c in ("cls", "n", "comp")))
+    both = side("a").join(side("b"), "v").where(_possible("cls_a < cls_b AND comp_a <> comp_b"))
+    return both.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
+
+
 def _open(lists: DataFrame, labels: DataFrame, *more: str) -> DataFrame:
     """v, cls, n, comp and ``more`` of the lists that hold classes of more than one component."""
     at = _relabelled(lists, labels)
@@ -348,16 +364,27 @@ def link(spark: SparkSession, docs: DataFrame, size: int, doc_id: str = "doc_id"
     small_batches(spark)
     found = checkpointed(spark, postings(docs, doc_id, text, size, rarity(docs, text, size)))
     where = (found, docs, doc_id, text, size)
-    lists = found.where(F.col("cls").isNotNull()).select(F.explode("keys").alias("v"), "cls", "n").distinct()
-    classes = found.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
+    lists = checkpointed(spark, _shared(found))
+    release(spark)
+    classes = checkpointed(spark, found.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("bits")))
     tried = checkpointed(spark, _hopeful(_star(lists), classes))
+    release(spark)
     links = checkpointed(spark, _verified(tried, *where))
     release(spark)
     labels = components(spark, links)
     # Lists of two classes are settled; longer ones may hold further links.
-    longer = lists.join(lists.groupBy("v").agg(F.count("*").alias("k")).where("k > 2").select("v"), "v")
-    longer = checkpointed(spark, _centred(_open(longer, labels)))
+    short = checkpointed(spark, _hopeful(_short_pairs(lists, labels), classes).join(tried, ["a", "b"], "left_anti"))
+    release(spark)
+    tried = tried.union(short)
+    more = checkpointed(spark, _verified(short, *where))
+    release(spark)
+    if more.limit(1).count():
+        links = links.union(more)
+        labels = components(spark, links)
+    longer = checkpointed(spark, _centred(_open(lists.where(f"k > {SHORT}").select("v", "cls", "n"), labels)))
     release(spark)
+    if not longer.limit(1).count():
+        return _labelled(found, labels)
     centre = classes.select(F.col("cls").alias("c"), F.col("n").alias("n_c"), F.col("bits").alias("bits_c"))
     differing = _differing("bits", "bits_c")
     members = longer.select("c", "cls").distinct().join(classes, "cls").join(centre, "c").where(

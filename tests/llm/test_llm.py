@@ -113,6 +113,17 @@ def test_near_duplicates_equal_brute_force(spark, size):
     assert [x.kept for x in out] == [i == c for i, c in enumerate(root)]
 
 
+def test_unlike_texts_of_short_lists_are_not_read(spark, monkeypatch):
+    """Seven passages and seven texts of three, any two texts with one in common: each list holds three classes, none of them alike."""
+    r, read = random.Random(6), []
+    passages = [" ".join(f"w{r.randrange(10**9)}" for _ in range(60)) for _ in range(7)]
+    texts = [" ".join(passages[int(k)] for k in of) for of in ("012", "034", "056", "135", "146", "236", "245")]
+    own = near_dup._texts
+    monkeypatch.setattr(near_dup, "_texts", lambda need, *more: read.append(need.count()) or own(need, *more))
+    out = near_dup.link(spark, docs(spark, texts), 2).orderBy("doc_id").collect()
+    assert [x.component_id for x in out] == [x.doc_id for x in out] and sum(read) == 0
+
+
 def test_long_texts_inside_one_another_share_a_key():
     """J of 0.8, one set inside the other, its further shingles the rarest and the shared ones of random rarity."""
     r = np.random.default_rng(11)
