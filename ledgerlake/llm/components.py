@@ -26,14 +26,30 @@ def _small_star(links: DataFrame) -> DataFrame:
         near.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
 
+def _settled(links: DataFrame) -> bool:
+    """Whether every node above has one link, to a node without any of its own."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        links.select("b", F.lit(0), F.lit(1)))
+    ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not ends.where("up + down > 1").limit(1).count()
+
+
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """node, component (the least node reachable) of every linked node but the components' least ones."""
-    links = checkpointed(spark, links.select("a", "b").where("a <> b").distinct())
-    seen = None
-    while True:
+    links = checkpointed(spark, links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
+    while not _settled(links):
         links = checkpointed(spark, _small_star(_large_star(links)))
-        # Finished when every node points at its component's least node: nothing changes any more.
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == seen or now[0] == 0:
-            return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        seen = now
+    return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+
+
+def merged(spark: SparkSession, labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (of ``components``) once ``links`` (a, b) are added: only components that these join are linked anew."""
+    for end in ("a", "b"):
+        of = labels.select(F.col("node").alias(end), F.col("component").alias("comp"))
+        links = links.join(of, end, "left").withColumn(end, F.coalesce("comp", end)).drop("comp")
+    joined = components(spark, links)
+    if not joined.limit(1).count():
+        return labels
+    above = joined.select(F.col("node").alias("component"), F.col("component").alias("comp"))
+    moved = labels.join(above, "component", "left").select("node", F.coalesce("comp", "component").alias("component"))
+    return checkpointed(spark, moved.union(joined))

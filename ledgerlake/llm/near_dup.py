@@ -1,20 +1,22 @@
-"""Near-duplicates by bottom-k sketches of word shingles, exactly verified.
-
-One hash function orders all shingles; a text's sketch is its K least values.
-Texts with equal shingle sets form a class and are handled once. If two sets
-have a Jaccard similarity of ``THRESHOLD``, their sketches agree in at least
-``AGREE`` of K values (short of 1.4 pairs in a million at the threshold
-itself, one set inside the other; above it, less), so among the (K - AGREE + 1) rarest values of each at
-least one is shared, by the prefix-filter argument, whatever the order of
-rarity. Rarity comes from a table of fixed size that counts all sketch values by
-hash bucket. Inverted lists of those values generate the overlaps: a class is
-posted under each of the rarest values of its sketch, K - AGREE + 1 of them if it
-has more than K shingles; below, the sketch is the whole set, and n - ceil(0.8 n)
-+ 1 are exact (n - AGREE + 1, if more, for classes that may match a larger one).
-
-A sketch is also kept as a bit table of ``SIGNATURE`` bits. The bits in which two
-tables differ are at most the values that the sketches don't share, so pairs
-with too many of them are dropped for certain, before their texts are read.
+"""Near-duplicates by MinHash bands and bottom-k sketches of word shingles, exactly verified.
+
+Texts with equal shingle sets form a class and are handled once. A class is
+posted in an inverted list for each of ``BANDS`` bands: its least values under
+``ROWS`` hash functions each. Two sets of Jaccard similarity j share a band with
+probability j ** ROWS, so that unlike texts seldom meet however many there are;
+a pair at ``THRESHOLD`` shares none of them with 1.3 in ten million, above it, less.
+Classes of ``SMALL`` shingles at most are posted, without any such loss, under the
+n - ceil(0.8 n) + 1 rarest shingles instead, of which two similar sets share one by
+the prefix-filter argument, whatever the order of rarity (it comes from a table
+of fixed size that counts the shingles of short texts by hash bucket); those that may match a
+larger class are posted both ways.
+
+One hash function orders all shingles; a text's sketch is its K least values. If two
+sets are similar by THRESHOLD, their sketches agree in at least ``AGREE`` of K values
+(short of 1.4 pairs in a million at the threshold itself, one set inside the other;
+above it, less). A sketch is kept as a bit table of ``SIGNATURE`` bits. The bits in
+which two tables differ are at most the values that the sketches don't share, so pairs
+with too many of them are dropped before their texts are read.
 
 A list links its classes to its least class only. In a list of ``SHORT`` classes at
 most, the others then meet across components, by their signatures. Where components
@@ -40,12 +42,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import words
-from ledgerlake.llm.components import components
+from ledgerlake.llm.components import components, merged
 from ledgerlake.llm.store import checkpointed, release, small_batches
 
 K = 128
 AGREE = 80
 THRESHOLD = (4, 5)         # 0.8, as a fraction of integers
+BANDS, ROWS = 40, 5        # of hash functions
+SMALL = 32                 # shingles up to which a class is posted under the rarest
+SMALL_CHARS = 1024         # of the texts that the rarity table counts; it only orders shingles
 SHORT = 8                  # classes of a list that meet pair by pair
 NEAR = 0.5                 # similarity to a centre from which differences to it are kept
 BLOCK = 1024               # classes that are compared at once
@@ -54,6 +59,10 @@ BUCKETS = 1 << 17          # of the rarity table, whatever the corpus
 SIGNATURE = 512            # bits of a sketch's table
 LIKE = 144                 # differing bits from a centre up to which its texts are compared (unlike sketches: about 176)
 BROADCAST_ROWS = 1_000_000  # ids (8 bytes each); beyond, a shuffle
+STEP = 128                 # shingles hashed together
+_random = np.random.default_rng(1)
+FACTORS = (_random.integers(0, 1 << 32, BANDS * ROWS, np.uint64) | np.uint64(1)).astype(np.uint32)[:, None]  # a hash function each
+MIX = _random.integers(0, 1 << 63, ROWS, np.uint64) << np.uint64(1) | np.uint64(1)
 
 
 def _digest(s: np.ndarray) -> int:
@@ -75,39 +84,46 @@ def _sets(batch: pa.RecordBatch, column: int, size: int):
 
 
 def rarity(docs: DataFrame, text: str, size: int) -> np.ndarray:
-    """Counts of all sketch values by bucket: BUCKETS integers, summed in Spark."""
+    """Counts of the shingles of short texts by bucket: BUCKETS integers, summed in Spark."""
     def run(batches):
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            held, n = [], 0
-            for _, s in _sets(batch, 0, size):
-                held.append(s[:K])
-                n += 1
-                if n % 2000 == 0:
-                    total += np.bincount((np.concatenate(held) % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
-                    held = []
+            held = [s for _, s in _sets(batch, 0, size) if len(s) <= SMALL]
             if held:
                 total += np.bincount((np.concatenate(held) % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["bucket", "n"])
 
-    rows = docs.select(text).mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    short = docs.select(text).where(F.length(text) <= SMALL_CHARS)
+    rows = short.mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros(BUCKETS, np.int64)
     table[rows["bucket"].to_numpy()] = rows["n"].to_numpy()
     return table
 
 
+def minima(s: np.ndarray) -> np.ndarray:
+    """A set's least values under the hash functions."""
+    h = (s >> np.uint64(31)).astype(np.uint32)
+    least = np.full(len(FACTORS), 0xFFFFFFFF, np.uint32)
+    for k in range(0, len(h), STEP):
+        np.minimum(least, (h[None, k:k + STEP] * FACTORS).min(1), out=least)
+    return least
+
+
 def keys(s: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The inverted lists that a shingle set is posted in."""
     n = len(s)
     if not n:
         return s
-    sketch = s[:K]
-    rare = np.lexsort((sketch, counts[(sketch % np.uint64(BUCKETS)).astype(np.int64)]))
-    size = len(sketch) - AGREE + 1
-    if n <= K:
-        size = max(size, n - -(-n * THRESHOLD[0] // THRESHOLD[1]) + 1)
-    return sketch[rare[:size]]
+    num, den = THRESHOLD
+    found = []
+    if n <= SMALL:
+        rare = np.lexsort((s, counts[(s % np.uint64(BUCKETS)).astype(np.int64)]))
+        found.append(s[rare[:n - -(-n * num // den) + 1]])
+    if n * den > SMALL * num:
+        bands = (minima(s).reshape(BANDS, ROWS).astype(np.uint64) * MIX).sum(1, dtype=np.uint64)
+        found.append(words.mixed(bands + words.mixed(np.arange(1, BANDS + 1, dtype=np.uint64))))
+    return np.concatenate(found)
 
 
 def signature(s: np.ndarray) -> np.ndarray:
@@ -160,8 +176,8 @@ def similar(s: np.ndarray, t: np.ndarray) -> bool:
     return common * den >= (len(s) + len(t) - common) * num
 
 
-def _texts(need: DataFrame, found: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
-    """cls and one text of each class in ``need`` (cls)."""
+def _texts(need: DataFrame, found: DataFrame, several: bool, docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
+    """cls and one text of each class in ``need`` (cls); ``several``: an id may have several classes."""
     one = checkpointed(docs.sparkSession, found.join(need, "cls").groupBy("cls").agg(F.min("doc_id").alias("doc_id")))
     if one.count() <= BROADCAST_ROWS:
         one = F.broadcast(one)
@@ -177,16 +193,15 @@ def _texts(need: DataFrame, found: DataFrame, docs: DataFrame, doc_id: str, text
             yield batch.filter(pa.array(keep))
 
     sets = at.select("cls", "text")
-    several = found.where(F.col("cls").isNotNull()).groupBy("doc_id").agg(F.min("cls").alias("x"), F.max("cls").alias("y"))
-    if several.where("x <> y").limit(1).count():
+    if several:
         sets = sets.mapInArrow(own, "cls long, text string")
     return sets.dropDuplicates(["cls"])
 
 
-def _verified(pairs: DataFrame, found: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
+def _verified(pairs: DataFrame, found: DataFrame, several: bool, docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     """The pairs (a, b) of classes that are similar by their full sets."""
     need = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    sets = _texts(need, found, docs, doc_id, text, size)
+    sets = _texts(need, found, several, docs, doc_id, text, size)
     both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(sets.select(F.col("cls").alias("b"), F.col("text").alias("text_b")), "b")
 
@@ -363,7 +378,8 @@ def link(spark: SparkSession, docs: DataFrame, size: int, doc_id: str = "doc_id"
     """doc_id, n_shingles, component_id, kept of every row."""
     small_batches(spark)
     found = checkpointed(spark, postings(docs, doc_id, text, size, rarity(docs, text, size)))
-    where = (found, docs, doc_id, text, size)
+    ids = found.where(F.col("cls").isNotNull()).groupBy("doc_id").agg(F.min("cls").alias("x"), F.max("cls").alias("y"))
+    where = (found, ids.where("x <> y").limit(1).count() > 0, docs, doc_id, text, size)
     lists = checkpointed(spark, _shared(found))
     release(spark)
     classes = checkpointed(spark, found.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("bits")))
@@ -375,12 +391,10 @@ def link(spark: SparkSession, docs: DataFrame, size: int, doc_id: str = "doc_id"
     # Lists of two classes are settled; longer ones may hold further links.
     short = checkpointed(spark, _hopeful(_short_pairs(lists, labels), classes).join(tried, ["a", "b"], "left_anti"))
     release(spark)
-    tried = tried.union(short)
-    more = checkpointed(spark, _verified(short, *where))
-    release(spark)
-    if more.limit(1).count():
-        links = links.union(more)
-        labels = components(spark, links)
+    if short.limit(1).count():
+        tried = tried.union(short)
+        labels = merged(spark, labels, checkpointed(spark, _verified(short, *where)))
+        release(spark)
     longer = checkpointed(spark, _centred(_open(lists.where(f"k > {SHORT}").select("v", "cls", "n"), labels)))
     release(spark)
     if not longer.limit(1).count():
@@ -393,22 +407,20 @@ def link(spark: SparkSession, docs: DataFrame, size: int, doc_id: str = "doc_id"
     members = checkpointed(spark, _differences(members, _texts(members.select("cls").distinct(), *where), size))
     num, den = THRESHOLD
     linked = F.expr(f"o * {den} >= (n + n_c - o) * {num}")
-    links = links.union(members.where("c <> cls").where(linked).select(
-        F.least("c", "cls").alias("a"), F.greatest("c", "cls").alias("b")))
+    links = members.where("c <> cls").where(linked).select(
+        F.least("c", "cls").alias("a"), F.greatest("c", "cls").alias("b"))
     # What is linked to the centre is in the centre's component.
     centres = labels.select(F.col("node").alias("c"), F.col("component").alias("comp_c"))
     near = _relabelled(members.where(f"j >= {NEAR}"), labels).join(centres, "c", "left")
     near = near.withColumn("comp", F.when(linked, F.coalesce("comp_c", "c")).otherwise(F.col("comp"))).drop("comp_c")
-    links = links.union(checkpointed(spark, _near_links(near)))
+    labels = merged(spark, labels, links.union(checkpointed(spark, _near_links(near))))
     release(spark)
-    labels = components(spark, links)
     longer = longer.join(members.select("c", "cls", "j"), ["c", "cls"], "left").withColumn("j", F.coalesce("j", F.lit(-1.0)))
     longer = _open(longer, labels, "j").join(classes.select("cls", "bits"), "cls")
     rest = checkpointed(spark, _far_pairs(checkpointed(spark, longer)).join(tried, ["a", "b"], "left_anti"))
-    more = checkpointed(spark, _verified(rest, *where))
-    release(spark)
-    if more.limit(1).count():
-        labels = components(spark, links.union(more))
+    if rest.limit(1).count():
+        labels = merged(spark, labels, checkpointed(spark, _verified(rest, *where)))
+        release(spark)
     return _labelled(found, labels)
 
 

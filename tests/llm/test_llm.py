@@ -135,6 +135,27 @@ def test_long_texts_inside_one_another_share_a_key():
         assert len(np.intersect1d(near_dup.keys(s, counts), near_dup.keys(t, counts)))
 
 
+def test_short_texts_share_a_key_whatever_the_order():
+    r = np.random.default_rng(13)
+    for _ in range(2000):
+        n = int(r.integers(1, near_dup.SMALL + 9))
+        large = r.integers(0, 1 << 63, n, np.uint64)
+        s = np.sort(large[n // int(r.integers(5, 12)):])
+        counts = r.integers(1, 1 << 30, near_dup.BUCKETS)
+        t = np.sort(large)
+        assert not near_dup.similar(s, t) or len(np.intersect1d(near_dup.keys(s, counts), near_dup.keys(t, counts)))
+
+
+def test_unlike_texts_of_few_words_meet_in_few_lists(spark):
+    """Word pairs that a fixed share of all texts holds: lists under the rarest of them grew with the corpus, rows with its square."""
+    def in_lists(n):
+        r = random.Random(14)
+        rows = docs(spark, [prose(r, 150, vocabulary=60) for _ in range(n)])
+        found = near_dup.postings(rows, "doc_id", "text", 2, near_dup.rarity(rows, "text", 2))
+        return near_dup._shared(found).count()
+    assert in_lists(400) < 40
+
+
 def test_signatures_never_drop_similar_sketches():
     r = np.random.default_rng(12)
     for shared in (20, 80, 100, 128):
@@ -152,6 +173,16 @@ def test_components(spark):
     assert components.components(spark, spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_merged_equal_those_of_all_links(spark):
+    r = random.Random(15)
+    first, more = ([(r.randrange(200), r.randrange(200)) for _ in range(n)] for n in (90, 60))
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    labelled = lambda df: sorted((x.node, x.component) for x in df.collect())
+    found = components.components(spark, frame(first))
+    assert labelled(components.merged(spark, found, frame(more))) == labelled(components.components(spark, frame(first + more)))
+    assert labelled(components.merged(spark, found, frame(first))) == labelled(found)
+
+
 def test_lm_base_is_exact_and_the_model_is_a_distribution(spark):
     r = random.Random(4)
     texts = [prose(r, 80, 60) for _ in range(60)] + ["", None, "unseen words here"]
