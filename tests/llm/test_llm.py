@@ -8,12 +8,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerlake.llm import bpe, components, decontam, html_text, langid, lm, mil, near_dup, quality_rules, secrets_scan, shards
+from ledgerlake.llm import bpe, components, decontam, html_text, langid, lm, mil, near_dup, quality_rules, secrets_scan, shards, word_contexts, words
 
 PATH, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -199,6 +200,57 @@ def test_lm_base_is_exact_and_the_model_is_a_distribution(spark):
     assert sum(x.score for x in out[50:60]) > 0.6 * blind  # held out, far better than bytes at random
 
 
+def test_lm_knows_the_words_before(spark):
+    r = random.Random(21)
+    follows = {f"w{i}": [f"w{r.randrange(200)}" for _ in range(2)] for i in range(200)}
+
+    def chain(n):
+        out = ["w0"]
+        while len(out) < n:
+            out.append(r.choice(follows[out[-1]]))
+        return out
+
+    texts = [chain(100) for _ in range(400)]
+    shuffled = [r.sample(t, len(t)) for t in texts[320:]]
+    d = docs(spark, [" ".join(t) for t in texts + shuffled]).withColumn("learn", F.col("doc_id") < 320)
+    out = {x.doc_id: x for x in lm.score(spark, d, "learn", ["doc_id"], label="lang").collect()}
+    ordered, mixed = (sum(out[i].score for i in range(a, a + 80)) for a in (320, 400))
+    base = sum(out[i].base_score for i in range(320, 400))
+    assert sum(out[i].base_score for i in range(400, 480)) == pytest.approx(base)  # the same words
+    assert ordered > 0.35 * base > 0.8 * base > mixed  # one bit a word, not eight; out of order they surprise
+
+
+def test_word_contexts_counted_as_by_hand():
+    r = np.random.default_rng(5)
+    n = r.integers(2, 50, 40).astype(float)
+    code = word_contexts.Code(n, np.zeros((40, 0)))
+    assert sum(2.0 ** -code.size.astype(float)) == 1 and len(set(zip(code.bits.tolist(), code.size.tolist()))) == 40
+    assert all(code.counts[code.nodes[s - 1][w], 0] == n[w] for w, s in enumerate(code.size.tolist()))
+    # A held-out word in a known context: the bits' probabilities sum to one over all words.
+    rank, context = np.tile(np.arange(40), 2), np.repeat(np.array([7, 9], np.uint32), 40)
+    seen = np.array([3, 3, 3, 5, 11], np.int32)
+    what = np.concatenate((rank << 5, seen << 5 | 1)).astype(np.int32)
+    context = np.concatenate((context, np.full(5, 7, np.uint32)))
+    got = 10 ** word_contexts.costs(context, what, np.zeros(len(what), np.uint16), code)
+    assert got[:40].sum() == pytest.approx(1, abs=1e-4) and got[40:80].sum() == pytest.approx(1, abs=1e-4)
+    assert got[3] > 2 * got[43] and got[3] > got[80]  # known here; the words of training texts are coded without themselves
+
+
+def test_word_contexts_survive_packing():
+    words_of = next(words.blocks(pa.array(["a b a b", "", "b a c", "a b"])))[2]
+    h = {w.tobytes(): k for k, w in enumerate(np.unique(words_of.hashes))}
+    rank = np.array([h[x.tobytes()] for x in words_of.hashes])
+    none = np.full(9, -1)
+    found = [(task, *map(list, word_contexts.unpack(b))) for task, b in word_contexts.pack(
+        words_of, rank, none, none[:4], np.array([1, 0, 1, 0]), np.array([1] * 9 + [3]), 5, 2)]
+    rows = collections.Counter((d, w >> 5, w & 1) for _, _, what, _, doc in found for w, d in zip(what, doc, strict=True))
+    first = words_of.first.tolist()
+    want = collections.Counter((d, int(k), int(d % 2 == 0)) for d in range(4) for k in [*rank[first[d]:first[d + 1]], 6])
+    assert rows == want
+    row, cost = word_contexts.unpack_sums(word_contexts.pack_sums(np.array([9, 2, 9]), np.array([1.0, 2.0, 3.0])))
+    assert row.tolist() == [2, 9] and cost.tolist() == [2, 4]
+
+
 def test_language_id_held_out(spark):
     words = {"en": "the of and with that from ing tion".split(), "de": "der die und nicht über schön straße".split(), "fr": "le où était garçon être pour".split()}
     r = random.Random(2)
